@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, token_counts
+from . import (
+    bpe,
+    exact_dedup,
+    hnsw,
+    language_id,
+    mixing,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    window_dedup,
+)
 from .common import table
 
 
@@ -15,10 +26,22 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path(token_counts.TOKENIZER))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = suffix_dedup.without_earlier_substrings(table(spark, sf_dir, "documents"))
+    return rest.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.learn(docs))
@@ -39,12 +62,30 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = window_dedup.without_repeated_windows(table(spark, sf_dir, "documents"))
+    return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_source_mixing": op3_source_mixing,
+    "op4_quality": op4_quality,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_simhash": op9_simhash,
+    "op10_window_dedup": op10_window_dedup,
 }
 
 ORACLE_SQL = {
