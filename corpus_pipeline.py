@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agroloom.llm import bpe, exact_dedup, language_id, mixing
+from agroloom.llm import bpe, exact_dedup, language_id, mixing, simhash
 from agroloom.llm.common import cut, table
 
 
@@ -20,16 +20,18 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_exact_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose fingerprints are linked: that with the smallest id."""
+    return simhash.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed_documents(docs)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows (doc_id, source, lang, n_tokens, ids, exact): the texts as token ids.
-
-    ``exact`` says whether the ids decode to the very bytes of the text.
-    """
+    """Rows (doc_id, n_tokens, ids, decoded_sha256): the texts as token ids, and what those decode to."""
     path = public_tokenizers.path(bpe.RANKS)
     return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
@@ -42,6 +44,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("language ID", identify_language),
     ("exact dedup", drop_exact_copies),
+    ("SimHash near-dedup", drop_near_copies),
     ("mixing", mix_sources),
     ("byte-level BPE", encode_texts),
 ]
