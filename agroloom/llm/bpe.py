@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import cache
 from heapq import heappop, heappush
 from pathlib import Path
@@ -18,95 +19,94 @@ from .pretokens import splitters
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens that each of the two generations of a worker's cache holds.
-CACHED = 250_000
+CACHED = 600_000
 #: Bits of a rank that index within one leaf of the bitmap.
 LEAF_BITS = 8
 _LEAF = (1 << LEAF_BITS) - 1
+_BIT = [1 << k for k in range(1 << 12)]
 
 
-class RankQueue:
-    """Positions by merge rank; ``pop`` gives the leftmost position of the smallest rank.
+class Ranks(dict):
+    """Token bytes to merge rank, which is the id; ``pairs`` has the ranks of two-byte tokens."""
 
-    One summary bit per leaf and one bit per rank in its leaf say which buckets hold something, so
-    finding the next rank is two find-first-sets, whatever the number of positions.
-    """
+    def __init__(self, tokens) -> None:
+        super().__init__(tokens)
+        self.pairs = [self.get(bytes([x >> 8, x & 255])) for x in range(1 << 16)]
 
-    __slots__ = ("summary", "leaves", "buckets")
-
-    def __init__(self) -> None:
-        self.summary, self.leaves, self.buckets = 0, {}, {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        leaf = rank >> LEAF_BITS
-        self.leaves[leaf] = self.leaves.get(leaf, 0) | 1 << (rank & _LEAF)
-        self.summary |= 1 << leaf
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.summary:
-            return None
-        leaf = (self.summary & -self.summary).bit_length() - 1
-        bits = self.leaves[leaf]
-        low = bits & -bits
-        rank = leaf << LEAF_BITS | low.bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            self.leaves[leaf] = bits = bits ^ low
-            if not bits:
-                self.summary ^= 1 << leaf
-        return rank, position
 
-
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge(piece: bytes, ranks: Ranks) -> list[int]:
     """The ids of one pre-token: the pair of the smallest rank merges first, of ties the leftmost.
 
-    Parts are a doubly linked list over byte positions. A queue entry is stale if its part is gone
-    or the pair that begins there now has another rank; it is skipped when it comes up.
+    Parts are a doubly linked list over byte positions. The queue has a bucket for each rank, with
+    the positions of the parts whose pair has it, under a bitmap of two levels: a bit a rank in its
+    leaf, and a summary bit a leaf. Finding the next rank is two find-first-sets, however long the
+    piece. An entry is stale if its part is gone or the pair that begins there now has another
+    rank; it is skipped when it comes up.
     """
-    whole = ranks.get(piece)
+    find = ranks.get
+    whole = find(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
-    if n < 2:
-        return [ranks[piece]] if n else []
+    pair: list[int | None] = list(map(ranks.pairs.__getitem__, [a << 8 | b for a, b in zip(piece, piece[1:])]))
+    pair.append(None)
+    buckets: dict[int, list[int]] = {}
+    leaves: dict[int, int] = {}
+    summary = 0
+    for i, rank in enumerate(pair):
+        if rank is None:
+            continue
+        if rank in buckets:
+            buckets[rank].append(i)
+        else:
+            buckets[rank] = [i]
+            leaf = rank >> LEAF_BITS
+            leaves[leaf] = leaves.get(leaf, 0) | _BIT[rank & _LEAF]
+            summary |= _BIT[leaf]
     after = list(range(1, n + 1))  # where the next part begins
     before = list(range(-1, n - 1))
-    pair = [-1] * n  # rank of the pair that begins here, -1: none
-    queue = RankQueue()
-    find = ranks.get
-    for i in range(n - 1):
-        rank = find(piece[i : i + 2])
-        if rank is not None:
-            pair[i] = rank
-            queue.push(rank, i)
-    pop, push = queue.pop, queue.push
-    while (top := pop()) is not None:
-        rank, i = top
+    while summary:
+        leaf = (summary & -summary).bit_length() - 1
+        bits = leaves[leaf]
+        low = bits & -bits
+        rank = (leaf << LEAF_BITS) + low.bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            i = heappop(bucket)
+        else:
+            i = bucket.pop()
+            leaves[leaf] = bits = bits ^ low
+            if not bits:
+                summary ^= _BIT[leaf]
         if pair[i] != rank:
             continue
         j = after[i]
-        k = after[j]
-        after[i] = k
-        pair[j] = -1
-        new = -1
+        after[i] = k = after[j]
+        pair[j] = None
         if k < n:
             before[k] = i
-            new = find(piece[i : after[k]], -1)
-        pair[i] = new
-        if new >= 0:
-            push(new, i)
+            pair[i] = find(piece[i : after[k]])
+        else:
+            pair[i] = None
+        changed = (i,)
         h = before[i]
         if h >= 0:
-            new = find(piece[h:k], -1)
-            if new != pair[h]:
-                pair[h] = new
-                if new >= 0:
-                    push(new, h)
+            rank = find(piece[h:k])
+            if rank != pair[h]:
+                pair[h] = rank
+                changed = (i, h)
+        for at in changed:
+            rank = pair[at]
+            if rank is None:
+                continue
+            bucket = buckets.get(rank)
+            if bucket:
+                heappush(bucket, at)
+            else:
+                buckets[rank] = [at]
+                leaf = rank >> LEAF_BITS
+                leaves[leaf] = leaves.get(leaf, 0) | _BIT[rank & _LEAF]
+                summary |= _BIT[leaf]
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
@@ -115,23 +115,23 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 @cache
-def load_ranks(path: str) -> dict[bytes, int]:
+def load_ranks(path: str) -> Ranks:
     """The vocabulary of a rank file: lines of a token in base 64 and its rank."""
     lines = Path(path).read_bytes().splitlines()
-    return {base64.b64decode(t): int(r) for t, r in (x.split() for x in lines if x)}
+    return Ranks((base64.b64decode(t), int(r)) for t, r in (x.split() for x in lines if x))
 
 
 class _Pieces(dict):
     """Pre-token to its ids' bytes; two generations bound the memory and keep what is in use."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
+    def __init__(self, ranks: Ranks) -> None:
         super().__init__()
         self.ranks, self.old = ranks, {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+            ids = array("I", merge(piece.encode(), self.ranks)).tobytes()
         if len(piece) > 256:
             return ids
         if len(self) >= CACHED:
