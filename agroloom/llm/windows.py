@@ -39,24 +39,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a * _COMBINE
+def _joined(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Hash of a gram from those of its first ``size`` symbols and of its last.
+
+    Linear, with an odd factor for each size; symbols have scrambled 64-bit values, so grams as
+    short as these collide no more than random numbers do.
+    """
+    x = a * np.uint64(int(_COMBINE) * (2 * size + 1) % 2**64 | 1)
     x += b
-    return mixed(x)
+    return x
 
 
 def gram_hashes(h: np.ndarray, *lengths: int) -> list[np.ndarray]:
     """For each length, the hashes of all grams of that many symbols, from hashes of symbols."""
     powers, size = {1: h}, 1
     while 2 * size <= max(lengths):
-        h = _joined(h[:-size], h[size:])
+        h = _joined(h[:-size], h[size:], size)
         size *= 2
         powers[size] = h
     out = []
     for length in lengths:
         size = 1 << (length.bit_length() - 1)
-        h = powers[size]
-        out.append(h if size == length else _joined(h[: len(h) - (length - size)], h[length - size :]))
+        h, rest = powers[size], length - size
+        out.append(mixed(_joined(h[: len(h) - rest], h[rest:], rest) if rest else h.copy()))
     return out
 
 
@@ -85,7 +90,7 @@ def _runs_of(h: np.ndarray, ends: np.ndarray, width: int, gram: int) -> Runs:
     begin, n = begin[good], n[good]
     owner = own[begin]
     place = ((owner - begin) << 16 | n).astype("u8")
-    context = _joined(_joined(windows[begin], windows[begin + n - 1]), place)
+    context = mixed(_joined(mixed(_joined(windows[begin], windows[begin + n - 1], width)), place, gram))
     return Runs(grams[owner], context, begin, n, owner)
 
 
