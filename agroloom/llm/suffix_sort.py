@@ -54,23 +54,22 @@ class BucketQueue:
         return out
 
 
+def _repeats(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each stretch of one symbol ends, and how long it is."""
+    ends = np.append(np.flatnonzero(t[:-1] != t[1:]), len(t) - 1)
+    return ends, np.diff(ends, prepend=-1)
+
+
 def _types(t: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the one after it."""
-    n = len(t)
-    differs = np.flatnonzero(t[:-1] != t[1:])
-    small = np.zeros(n, bool)
-    if len(differs):
-        at = np.searchsorted(differs, np.arange(n))
-        known = at < len(differs)
-        d = differs[at[known]]
-        small[known] = t[d] < t[d + 1]
-    return small
+    ends, lengths = _repeats(t)
+    return np.repeat(np.append(t[ends[:-1]] < t[ends[:-1] + 1], False), lengths)
 
 
 def _run_lengths(t: np.ndarray) -> np.ndarray:
     """How often each symbol repeats from its place on."""
-    ends = np.append(np.flatnonzero(t[:-1] != t[1:]), len(t) - 1)
-    return ends[np.searchsorted(ends, np.arange(len(t)))] - np.arange(len(t)) + 1
+    ends, lengths = _repeats(t)
+    return np.repeat(ends, lengths) - np.arange(len(t)) + 1
 
 
 class _Induction:
@@ -107,19 +106,25 @@ class _Induction:
 
 
 def _shared(t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefixes of the suffixes at a and b, up to ``cap``."""
-    out = np.zeros(len(a), "i8")
-    live = np.arange(len(a))
+    """Common prefixes of the suffixes at a and b, up to ``cap``; several symbols at a time."""
     n = len(t)
-    for depth in range(cap):
-        x, y = a[live] + depth, b[live] + depth
-        inside = (x < n) & (y < n)
-        live, x, y = live[inside], x[inside], y[inside]
-        live = live[t[x] == t[y]]
-        if not len(live):
-            break
-        out[live] += 1
-    return out
+    bits = max(1, int(t.max() + 1).bit_length())  # the largest value stands for the end
+    each = 63 // bits
+    padded = np.append(t, np.full(each, (1 << bits) - 1))
+    word = np.full(n + 1, -1)
+    word[:n] = 0
+    for k in range(each):
+        word[:n] |= padded[k : k + n] << (bits * k)
+    out = np.zeros(len(a), "i8")
+    live, depth = np.arange(len(a)), 0
+    while depth < cap and len(live):
+        differ = word[np.minimum(a[live] + depth, n)] ^ word[np.minimum(b[live] + depth, n)]
+        same = differ == 0
+        first = np.bitwise_count((differ & -differ) - 1) // bits
+        out[live] += np.where(same, each, first)
+        live = live[same]
+        depth += each
+    return np.minimum(out, cap)
 
 
 def rank_by_doubling(t: np.ndarray, cap: int) -> np.ndarray:
