@@ -19,8 +19,9 @@ THRESHOLD = 0.93
 SHARD = 20_000
 #: Links of a vector in each layer (twice as many at the bottom), and the beam that finds them.
 LINKS, BUILD_BEAM = 10, 48
-#: First beam of a query, queries that an audit compares with brute force, and what it asks for.
-BEAM, AUDITED, RECALL = 32, 96, 0.95
+#: First beam of a query, queries that an audit compares with brute force, and the share of their
+#: links that it asks for.
+BEAM, AUDITED, RECALL = 32, 512, 0.95
 #: Vectors of a component that one task counts links among.
 COUNT_BLOCK = 1024
 
@@ -134,8 +135,8 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
 def _query(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     """A spanning forest of the links that one block of queries has with one shard.
 
-    The beam is widened until, for the audited queries, enough of their links and of their four
-    nearest vectors come back; at the width of the shard the search is exhaustive.
+    The beam is widened until enough links of the audited queries come back, as many as it has room
+    for; at the width of the shard the search is exhaustive.
     """
     none = pd.DataFrame({"src": np.array([], "i8"), "dst": np.array([], "i8")})
     if not len(graphs) or not len(queries):
@@ -153,11 +154,12 @@ def _query(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     while True:
         asked = got = 0
         for k, sims in zip(audited, near, strict=True):
-            truth = np.argsort(-sims, kind="stable")[:width]
-            rank = np.arange(len(truth))
-            truth = truth[(rank < 5) | (sims[truth] >= THRESHOLD)]
-            found = {n for _, n in graph.search(q4[k], width, own[k])}
-            asked, got = asked + len(truth), got + len(found.intersection(truth.tolist()))
+            truth = np.flatnonzero(sims >= THRESHOLD)
+            truth = truth[truth != own[k]] if own[k] is not None else truth
+            if len(truth):
+                found = {n for _, n in graph.search(q4[k], width, own[k])}
+                asked += min(len(truth), width - (own[k] is not None))
+                got += len(found.intersection(truth.tolist()))
         if got >= RECALL * asked or width >= len(ids):
             break
         width = min(2 * width, len(ids))
