@@ -18,7 +18,8 @@ HASH_BITS = 14
 RANK = 8
 BINS = 12
 THRESHOLD = 0.3
-EPOCHS, BATCH, RATE, DECAY = 8, 64, 0.08, 1e-5
+#: Passes over the sample, of which small samples take more, to make so many steps of a batch.
+EPOCHS, STEPS, BATCH, RATE, DECAY = 8, 400, 64, 0.08, 1e-5
 STATISTICS = ("upper", "digit", "symbol", "space", "lines", "distinct", "top", "word_length", "run", "size")
 N_FEATURES = (1 << HASH_BITS) + BINS * len(STATISTICS)
 
@@ -79,7 +80,7 @@ def fit(labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], seed: int
     g_w, g_v, g_b = np.full(N_FEATURES, 1e-2, "f4"), np.full(factors.shape, 1e-2, "f4"), 1e-2
     if not len(labels) or labels.min() == labels.max():
         return bias, weights, factors * 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(labels)))):
         order = random.permutation(len(labels))
         for start in range(0, len(order), BATCH):
             picked = order[start : start + BATCH]
