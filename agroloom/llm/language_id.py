@@ -25,8 +25,12 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
-    return _WORD.findall(text.lower())
+    """Runs of letters, in lower case; number signs such as fractions count into them.
+
+    Without any letter there are no words.
+    """
+    found = _WORD.findall(text.lower())
+    return found if any(c.isalpha() for word in found for c in word) else []
 
 
 def grams(word: str, n: int) -> list[str]:

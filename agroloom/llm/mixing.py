@@ -156,10 +156,11 @@ def mixed(
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say, perhaps never.
 
-    Documents without words are in no one's share and drop out. ``doc_id`` should be unique.
+    Documents without words drop out. ``doc_id`` should be unique: rows that repeat one are all
+    taken as often as the most taken of them, and rows without one drop out.
     """
     taken = mixed(docs, weights, max_copies).where("taken > 0")
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies"))
+    taken = taken.groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
     rows = docs.join(taken, F.col("doc_id") == F.col("__id"))
     rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return rows.select(*docs.columns)
