@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,7 +33,7 @@ _HASHES = _Hashes()
 def _symbols(texts: list[bytes]):
     words = [t.split() for t in texts]  # of bytes: the six white-space bytes of the contract
     bounds = np.cumsum([0, *map(len, words)])
-    hashes = np.fromiter((_HASHES[w] for part in words for w in part), "<u8", int(bounds[-1]))
+    hashes = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(words)), "<u8", int(bounds[-1]))
     return hashes, bounds, hashes
 
 
