@@ -3,9 +3,10 @@
 Texts are dealt to *chunks* by a hash of their id. A chunk's task describes its windows by runs
 (:mod:`.windows`): one small record for each distinct run, with the hash of the gram that owns it.
 Records are dealt to *shards* by that hash, where equal windows must meet. Owner grams that occur
-once in the corpus are done with; of the others, each distinct run's symbols are sent to the
-shard once, however common it is. There an index over those texts decides every window, and the
-answers go back to the chunks, which mark what their documents lose.
+once in the corpus are done with. Where every occurrence has the same run, its windows occur as
+often as it does. Of the others, each distinct run's symbols are sent to the shard once, however
+common it is; there an index over those texts decides every window. The answers go back to the
+chunks, which mark what their documents lose.
 
 A run that fills a third of the corpus is one record per chunk and one text in its shard.
 """
@@ -55,6 +56,7 @@ class _Chunk(NamedTuple):
     run: np.ndarray  # for each run: its record
     begin: np.ndarray  # for each run: its first window's start, in its group's symbols
     bounds: np.ndarray  # of groups, in runs
+    symbols: list  # for each group: the bounds of its texts and their symbols
     shard: np.ndarray  # for each record, ascending
     key: np.ndarray
     context: np.ndarray
@@ -74,9 +76,10 @@ def _chunk(table: pa.Table, task: Task, shards: int) -> _Chunk:
         if size >= GROUP_BYTES or k == len(texts) - 1:
             groups.append((start, k + 1))
             start, size = k + 1, 0
-    parts, bounds = [], [0]
+    parts, bounds, symbols = [], [0], []
     for a, b in groups:
-        hashes, ends, _ = task.symbols(texts[a:b])
+        hashes, ends, sent = task.symbols(texts[a:b])
+        symbols.append((ends, sent))
         r = runs(hashes, ends, task.width, task.gram)
         document = np.searchsorted(ends, r.begin, "right") - 1 + a
         parts.append((r.key, r.context, r.begin, r.n, ids[document]))
@@ -85,19 +88,26 @@ def _chunk(table: pa.Table, task: Task, shards: int) -> _Chunk:
         parts = [(np.zeros(0, "u8"), np.zeros(0, "u8"), *[np.zeros(0, "i8")] * 3)]
     key, context, begin, n, owner_id = map(np.concatenate, zip(*parts, strict=True))
     shard = (key >> np.uint64(32)) % np.uint64(shards)
-    order = np.lexsort((owner_id, context, shard))
+    order = np.argsort(context, kind="stable")
     new = np.ones(len(order), bool)
-    new[1:] = (context[order[1:]] != context[order[:-1]]) | (shard[order[1:]] != shard[order[:-1]])
+    new[1:] = context[order[1:]] != context[order[:-1]]
     first = np.flatnonzero(new)
-    record = np.empty(len(order), "i8")
-    record[order] = np.cumsum(new) - 1
+    if len(first):
+        least, most = (f.reduceat(owner_id[order], first) for f in (np.minimum, np.maximum))
+    else:
+        least = most = owner_id
     sizes = np.diff(np.append(first, len(order)))
-    least = owner_id[order[first]]
-    most = owner_id[order[first + sizes - 1]] if len(first) else least
     many = most > least if task.other_document else sizes > 1
     sample = order[first]
+    # records by shard
+    by_shard = np.argsort(shard[sample], kind="stable")
+    place = np.empty(len(first), "i8")
+    place[by_shard] = np.arange(len(first))
+    record = np.empty(len(order), "i8")
+    record[order] = place[np.cumsum(new) - 1]
+    sample, least, many = sample[by_shard], least[by_shard], many[by_shard]
     low = (key[sample] & np.uint64(0x7FFFFFFF)).astype("u4")
-    return _Chunk(ids, texts, groups, record, begin, np.array(bounds), shard[sample].astype("i4"), low, context[sample], least, many, sample, n[sample])
+    return _Chunk(ids, texts, groups, record, begin, np.array(bounds), symbols, shard[sample].astype("i4"), low, context[sample], least, many, sample, n[sample])
 
 
 def _summaries(task: Task, shards: int):
@@ -137,6 +147,7 @@ class _Shard(NamedTuple):
     least: np.ndarray  # its smallest id
     first: np.ndarray  # for each distinct run: the record that sends its text
     count: np.ndarray  # for each distinct run: occurrences that count, 2 at most
+    alone: np.ndarray  # for each distinct run: whether no other run has its owner gram
 
 
 def _shard(table: pa.Table) -> _Shard:
@@ -161,17 +172,21 @@ def _shard(table: pa.Table) -> _Shard:
     live = order[total[np.cumsum(new) - 1] > 1] if len(order) else order
     live = live[np.lexsort((least[live], context[live], key[live]))]
     k, x = key[live], context[live]
-    new = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1])])[: len(live)]
+    new_key = np.concatenate([[True], k[1:] != k[:-1]])[: len(live)]
+    new = new_key | np.concatenate([[True], x[1:] != x[:-1]])[: len(live)]
     first = np.flatnonzero(new)
     count = np.minimum(np.add.reduceat(n[live], first), 2) if len(live) else n[:0]
-    return _Shard(chunk[live], index[live], np.cumsum(new) - 1, least[live], first, count)
+    starts = new_key[first]
+    alone = starts & np.append(starts[1:], True)[: len(first)]
+    return _Shard(chunk[live], index[live], np.cumsum(new) - 1, least[live], first, count, alone)
 
 
 def _wanted(shard_table: pa.Table) -> pa.Table:
     """For each chunk, the records whose text it is to send."""
     s = _shard(shard_table)
     shard = shard_table.column("shard")[0].as_py()
-    chunk, index = s.chunk[s.first], s.index[s.first]
+    senders = s.first[~s.alone]
+    chunk, index = s.chunk[senders], s.index[senders]
     order = np.lexsort((index, chunk))
     chunk, index = chunk[order], index[order]
     rows = []
@@ -193,8 +208,7 @@ def _texts(task: Task, shards: int):
             order = flat[np.argsort(c.sample[flat], kind="stable")]
             group = np.searchsorted(c.bounds, c.sample[order], "right") - 1
             for g in np.unique(group).tolist():
-                a, b = c.groups[g]
-                symbols = task.symbols(c.texts[a:b])[2]
+                symbols = c.symbols[g][1]
                 for r in order[group == g].tolist():
                     start = int(c.begin[c.sample[r]])
                     sent[r] = symbols[start : start + int(c.n[r]) + task.width - 1].copy()
@@ -207,37 +221,50 @@ def _texts(task: Task, shards: int):
     return run
 
 
+def _decided(task: Task, s: _Shard, several: np.ndarray, sent: pa.Table):
+    """(run, length, value): pieces of the runs whose windows other runs may hold."""
+    senders = s.first[several]
+    at = {x: k for k, x in enumerate(zip(s.chunk[senders].tolist(), s.index[senders].tolist(), strict=True))}
+    kind = task.symbols([])[2].dtype
+    texts: list = [None] * len(several)
+    windows = np.zeros(len(several), "i8")
+    for chunk, index, n, body in zip(*(sent.column(x).to_pylist() for x in ("chunk", "index", "n", "body")), strict=True):
+        n = np.frombuffer(n, "<u4").astype("i8")
+        symbols = np.frombuffer(body, kind)
+        ends = np.cumsum(n + task.width - 1)
+        for i, size, end in zip(np.frombuffer(index, "<u4").tolist(), n.tolist(), ends.tolist(), strict=True):
+            k = at[chunk, i]
+            texts[k], windows[k] = symbols[end - size - task.width + 1 : end], size
+    values = task.resolve(texts, windows, s.least[senders], s.count[several], task.width)
+    begins = np.cumsum(windows) - windows
+    change = np.ones(len(values), bool)
+    change[1:] = values[1:] != values[:-1]
+    change[begins] = True
+    edge = np.flatnonzero(change)
+    of = several[np.searchsorted(begins, edge, "right") - 1]
+    return of, np.diff(np.append(edge, len(values))), values[edge]
+
+
 def _answers(task: Task):
     def run(records: pa.Table, sent: pa.Table) -> pa.Table:
         rows: list = []
         columns = [("chunk", pa.int32()), ("shard", pa.int32()), ("index", pa.binary()), ("n", pa.binary()), ("values", pa.binary())]
-        if not len(records) or not len(sent):
+        if not len(records):
             return _table(rows, columns)
         s = _shard(records)
         shard = records.column("shard")[0].as_py()
-        at = {(c, i): k for k, (c, i) in enumerate(zip(s.chunk[s.first].tolist(), s.index[s.first].tolist(), strict=True))}
-        kind = task.symbols([])[2].dtype
-        texts: list = [None] * len(s.first)
-        windows = np.zeros(len(s.first), "i8")
-        for chunk, index, n, body in zip(*(sent.column(x).to_pylist() for x in ("chunk", "index", "n", "body")), strict=True):
-            n = np.frombuffer(n, "<u4").astype("i8")
-            symbols = np.frombuffer(body, kind)
-            ends = np.cumsum(n + task.width - 1)
-            for i, size, end in zip(np.frombuffer(index, "<u4").tolist(), n.tolist(), ends.tolist(), strict=True):
-                k = at[chunk, i]
-                texts[k], windows[k] = symbols[end - size - task.width + 1 : end], size
-        values = task.resolve(texts, windows, s.least[s.first], s.count, task.width)
-        begins = np.cumsum(windows) - windows
-        # runs of one value; a record is answered only where some window has a use for it
-        change = np.ones(len(values), bool)
-        change[1:] = values[1:] != values[:-1]
-        change[begins] = True
-        edge = np.flatnonzero(change)
-        run_of = np.searchsorted(begins, edge, "right") - 1
-        length = np.diff(np.append(edge, len(values)))
-        value = values[edge]
-        first_piece = np.searchsorted(run_of, np.arange(len(windows) + 1))
-        lowest = np.minimum.reduceat(values, begins)
+        alone, several = np.flatnonzero(s.alone), np.flatnonzero(~s.alone)
+        ids = s.least[s.first]
+        # pieces: stretches of a run's windows with one value; length 0 stands for the whole run
+        of, length, value = alone, np.zeros(len(alone), "i8"), ids[alone] if task.other_document else 0 * alone
+        if len(several):
+            pieces = _decided(task, s, several, sent)
+            of, length, value = (np.concatenate(x) for x in zip((of, length, value), pieces, strict=True))
+            order = np.argsort(of, kind="stable")
+            of, length, value = of[order], length[order], value[order]
+        first_piece = np.searchsorted(of, np.arange(len(ids) + 1))
+        lowest = np.minimum.reduceat(value, first_piece[:-1]) if len(ids) else ids
+        # a record is answered only where some window has a use for it
         useful = (lowest[s.run] < s.least) | (s.count[s.run] > 1) if task.other_document else lowest[s.run] < NO_ID
         live = np.flatnonzero(useful)
         live = live[np.lexsort((s.index[live], s.chunk[live]))]
@@ -267,12 +294,13 @@ def _marked(task: Task, shards: int, columns: list):
         record, length, value = map(np.concatenate, (record, length, value))
         order = np.argsort(record, kind="stable")
         record, length, value = record[order], length[order], value[order]
+        length = np.where(length > 0, length, c.n[record])
         before = np.cumsum(length) - length
         offset = before - before[np.searchsorted(record, record)] if len(record) else before
         first = np.searchsorted(record, np.arange(len(c.key) + 1))
         out = []
         for g, (a, b) in enumerate(c.groups):
-            _, bounds, _ = task.symbols(c.texts[a:b])
+            bounds, _ = c.symbols[g]
             change = np.zeros(int(bounds[-1]) + 1, "i4")
             here = np.arange(c.bounds[g], c.bounds[g + 1])
             pieces = first[c.run[here] + 1] - first[c.run[here]]

@@ -11,7 +11,7 @@ from .suffix_sort import suffix_array
 from .windows import mixed
 
 LENGTH = 50
-GRAM = 20
+GRAM = 24
 _TABLE = mixed(np.arange(1, 257, dtype="u8"))
 
 
