@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +41,20 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is ``spark.checkpoint.dir`` of the session; one of this machine serves only where
     that is unset, as in tests.
     """
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The application's own folder below the shared checkpoint folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written as Parquet to the shared folder and read back."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

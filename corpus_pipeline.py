@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroloom.llm import bpe, exact_dedup, language_id, mixing, simhash
-from agroloom.llm.common import cut, table
+from agroloom.llm.common import stored, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +54,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each stage's rows written before the next one reads them."""
+    """All stages over ``documents``; each stage's rows are written as Parquet and read by the next."""
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = cut(docs)
+            docs = stored(docs)
     return docs
