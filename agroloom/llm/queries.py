@@ -89,6 +89,49 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_suffix_dedup": """
+        with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+        w as (select doc_id, i, substr(h, 2 * i + 1, 100) as s
+              from (select doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) as i from d)),
+        f as (select s, min(doc_id) as first from w group by s having count(*) > 1),
+        hit as (select distinct w.doc_id, unnest(range(w.i, w.i + 50)) as p from w join f using (s) where f.first < w.doc_id),
+        span as (select doc_id, count(*) as n_removed,
+                 count(*) filter (p - 1 <> coalesce(before, -9)) as n_spans
+                 from (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from hit) group by 1),
+        kept as (select b.doc_id, string_agg(substr(d.h, 2 * b.p + 1, 2), '' order by b.p) as k
+                 from (select doc_id, unnest(range(0, length(h) // 2)) as p from d where doc_id in (select doc_id from span)) b
+                 join d using (doc_id) anti join hit on hit.doc_id = b.doc_id and hit.p = b.p group by 1)
+        select d.doc_id, length(d.h) // 2 as n_bytes, coalesce(span.n_removed, 0) as n_removed,
+               coalesce(span.n_spans, 0) as n_spans,
+               sha256(unhex(case when span.doc_id is null then d.h else coalesce(kept.k, '') end)) as kept_sha256
+        from d left join span using (doc_id) left join kept using (doc_id)
+    """,
+    "op8_embedding_dedup": """
+        with recursive v as (
+            select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings),
+        ok as (select * from v where label is not null and e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+               and list_dot_product(e, e) > 0),
+        pairs as (select a.vec_id as u, b.vec_id as w from ok a join ok b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+                  where list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+        reach(u, w) as (select vec_id, vec_id from embeddings union select r.u, p.w from reach r join pairs p on r.w = p.u),
+        least as (select u, min(w) as component_id from reach group by 1),
+        links as (select u, count(*) as n from pairs group by 1)
+        select vec_id, coalesce(links.n, 0) as n_links, component_id, vec_id = component_id as kept
+        from embeddings join least on least.u = vec_id left join links on links.u = vec_id
+    """,
+    "op10_window_dedup": r"""
+        with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+        w as (select doc_id, i, array_to_string(words[i:i + 34], ' ') as s
+              from (select doc_id, words, unnest(range(1, greatest(1, len(words) - 33))) as i from d)),
+        f as (select s from w group by s having count(*) > 1),
+        hit as (select distinct doc_id, unnest(range(i, i + 35)) as p from w where s in (select s from f)),
+        n as (select doc_id, count(*) as n_removed from hit group by 1),
+        kept as (select b.doc_id, string_agg(b.word, ' ' order by b.p) as k
+                 from (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as p from d) b
+                 anti join hit on hit.doc_id = b.doc_id and hit.p = b.p group by 1)
+        select d.doc_id, len(words) as n_words, coalesce(n.n_removed, 0) as n_removed, sha256(coalesce(kept.k, '')) as kept_sha256
+        from d left join n using (doc_id) left join kept using (doc_id)
+    """,
     "op6_exact_dedup": r"""
         with n as (
             select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm
