@@ -19,9 +19,15 @@ THRESHOLD = 0.93
 SHARD = 20_000
 #: Links of a vector in each layer (twice as many at the bottom), and the beam that finds them.
 LINKS, BUILD_BEAM = 10, 48
-#: First beam of a query, queries that an audit compares with brute force, and the share of their
-#: links that it asks for.
-BEAM, AUDITED, RECALL = 32, 512, 0.95
+#: First beam of a query, and the beam beyond which it is compared with the whole shard.
+BEAM, WIDEST = 32, 128
+#: Queries that an audit compares with brute force, queries planted near vectors of the shard, and
+#: the share of their links that the audit asks for.
+AUDITED, PLANTED, RECALL = 512, 64, 0.95
+#: What single precision may take from a cosine.
+SLACK = 1e-4
+#: Queries that are compared with a shard at once, and links that are held before they are folded.
+EXACT_BLOCK, HELD = 256, 2_000_000
 #: Vectors of a component that one task counts links among.
 COUNT_BLOCK = 1024
 
@@ -132,50 +138,113 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"label": rows["label"].iloc[:1], "dim": rows["dim"].iloc[0], "shard": rows["shard"].iloc[0], "graph": [body]})
 
 
+def _linked(graph: Graph, q: np.ndarray, own: int | None, width: int) -> list[int] | None:
+    """Nodes that may link with ``q``: the beam is widened until its farthest hit does not.
+
+    None if that takes a beam over WIDEST, or one that all nodes within reach don't fill.
+    """
+    while True:
+        found = graph.search(q, width, own)
+        if found[-1][0] < THRESHOLD - SLACK:
+            return [n for s, n in found if s >= THRESHOLD - SLACK and n != own]
+        if len(found) < width or width >= WIDEST:
+            return None
+        width *= 2
+
+
+def _planted(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Vectors just within THRESHOLD of some of ``x``."""
+    base = x[np.linspace(0, len(x) - 1, min(PLANTED, len(x))).astype(int)]
+    off = rng.normal(0, 1, base.shape)
+    off -= (off * base).sum(axis=1, keepdims=True) * base
+    norm = np.sqrt((off * off).sum(axis=1, keepdims=True))
+    near = THRESHOLD + 0.01
+    return near * base + np.sqrt(1 - near * near) * off / np.maximum(norm, 1e-12)
+
+
+def _first_beam(graph: Graph, x: np.ndarray, q: np.ndarray, own: list[int | None]) -> int | None:
+    """The beam at which the graph gives enough of the audited queries' links; None: none up to WIDEST.
+
+    All links of a query count. Those of planted queries are asked for as well, so the audit says
+    something of the graph even where no audited query has a link. Queries that the beam does not
+    decide are compared with the whole shard anyway, and prove nothing.
+    """
+    audited = np.linspace(0, len(q) - 1, min(AUDITED, len(q))).astype(int)
+    planted = _planted(x, np.random.default_rng(7))
+    asked = np.concatenate([q[audited], planted])
+    own = [own[k] for k in audited] + [None] * len(planted)
+    truth = []
+    for sims, node in zip(asked @ x.T, own, strict=True):
+        linked = np.flatnonzero(sims >= THRESHOLD)
+        truth.append(linked[linked != node] if node is not None else linked)
+    width = BEAM
+    while width <= WIDEST:
+        # the rows' own links and the planted ones each have to come back
+        for part in (slice(0, len(audited)), slice(len(audited), None)):
+            owed = got = 0
+            for v, wanted, node in zip(asked[part].astype("f4"), truth[part], own[part], strict=True):
+                found = _linked(graph, v, node, width) if len(wanted) else None
+                if found is not None:
+                    owed += len(wanted)
+                    got += len(set(found).intersection(wanted.tolist()))
+            if got < RECALL * owed:
+                break
+        else:
+            return width
+        width *= 2
+    return None
+
+
 def _query(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     """A spanning forest of the links that one block of queries has with one shard.
 
-    The beam is widened until enough links of the audited queries come back, as many as it has room
-    for; at the width of the shard the search is exhaustive.
+    Each query's beam is widened until it holds all that may link; a query with more links than the
+    widest beam, and all of them where the audit never passes, are compared with the whole shard.
     """
-    none = pd.DataFrame({"src": np.array([], "i8"), "dst": np.array([], "i8")})
     if not len(graphs) or not len(queries):
-        return none
+        return pd.DataFrame({"src": np.array([], "i8"), "dst": np.array([], "i8")})
     ids, graph = pickle.loads(graphs["graph"].iloc[0])
     queries = queries.sort_values("rep")
     reps, q = queries["rep"].to_numpy(), _unit(queries["embedding"])
     x = graph.x.astype("f8")
     at = {r: k for k, r in enumerate(ids.tolist())}
     own = [at.get(r) for r in reps.tolist()]
-    q4 = q.astype("f4")
-    audited = np.linspace(0, len(reps) - 1, min(AUDITED, len(reps))).astype(int)
-    near = q[audited] @ x.T
-    width = min(BEAM, len(ids))
-    while True:
-        asked = got = 0
-        for k, sims in zip(audited, near, strict=True):
-            truth = np.flatnonzero(sims >= THRESHOLD)
-            truth = truth[truth != own[k]] if own[k] is not None else truth
-            if len(truth):
-                found = {n for _, n in graph.search(q4[k], width, own[k])}
-                asked += min(len(truth), width - (own[k] is not None))
-                got += len(found.intersection(truth.tolist()))
-        if got >= RECALL * asked or width >= len(ids):
-            break
-        width = min(2 * width, len(ids))
-    i, j = [], []
-    for k in range(len(reps)):
-        near_k = [n for s, n in graph.search(q4[k], width, own[k]) if s >= THRESHOLD - 1e-4 and n != own[k]]
-        if near_k:
-            close = np.array(near_k)[x[near_k] @ q[k] >= THRESHOLD]
-            i += [k] * len(close)
-            j += close.tolist()
-    if not i:
-        return none
-    nodes, flat = np.unique(np.concatenate([reps[i], ids[j]]), return_inverse=True)
-    label = spanning(len(nodes), flat[: len(i)], flat[len(i) :])
-    moved = label != np.arange(len(nodes))
-    return pd.DataFrame({"src": nodes[moved], "dst": nodes[label[moved]]})
+    names = np.concatenate([ids, reps])
+    node = np.array([len(ids) + k if n is None else n for k, n in enumerate(own)])
+    label = np.arange(len(names))
+    i, j, held = [], [], 0
+
+    def fold() -> None:
+        nonlocal label, held
+        label = spanning(len(names), np.concatenate([np.arange(len(names)), *i]), np.concatenate([label, *j]))
+        i.clear()
+        j.clear()
+        held = 0
+
+    width = _first_beam(graph, x, q, own)
+    rest = []
+    for k, v in enumerate(q.astype("f4")):
+        found = None if width is None else _linked(graph, v, own[k], width)
+        if found is None:
+            rest.append(k)
+        elif found:
+            close = np.array(found)[x[found] @ q[k] >= THRESHOLD]
+            i.append(np.full(len(close), node[k]))
+            j.append(close)
+            held += len(close)
+            if held > HELD:
+                fold()
+    for start in range(0, len(rest), EXACT_BLOCK):
+        block = np.array(rest[start : start + EXACT_BLOCK])
+        a, b = np.nonzero(q[block] @ x.T >= THRESHOLD)
+        i.append(node[block[a]])
+        j.append(b)
+        held += len(b)
+        if held > HELD:
+            fold()
+    fold()
+    moved = label != np.arange(len(names))
+    return pd.DataFrame({"src": names[moved], "dst": names[label[moved]]})
 
 
 def _count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

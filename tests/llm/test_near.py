@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
@@ -141,6 +142,40 @@ def test_embedding_groups(spark, monkeypatch):
     assert hnsw.embedding_groups(vectors(spark, [])).count() == 0
 
 
+def test_tight_groups_larger_than_the_beam_link_across(spark):
+    random = np.random.default_rng(4)
+    angle = np.arccos(0.94)
+    centres = np.zeros((2, 32))
+    centres[0, 0], centres[1, :2] = 1, (np.cos(angle), np.sin(angle))
+    x = np.repeat(centres, 200, axis=0)
+    x[:, 2:] += random.normal(0, 0.005, (400, 30))
+    x = x.astype("f4").astype("f8")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T
+    assert near[:200, :200].min() > 0.99 and near[:200, 200:].min() > 0.93 and near[:200, 200:].max() < 0.95
+    rows = [(i, v.tolist(), 0, None) for i, v in enumerate(x)]
+    got = hnsw.embedding_groups(vectors(spark, rows)).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(399, 0)}
+
+
+def test_links_are_folded_in_parts(monkeypatch):
+    random = np.random.default_rng(9)
+    x = random.normal(0, 1, (90, 16))
+    x[30:] = x[:30].repeat(2, axis=0) + random.normal(0, 0.05, (60, 16))
+    graphs = pd.DataFrame({"label": "0", "dim": 16, "shard": 0, "rep": np.arange(90) * 2, "embedding": list(x)})
+    graphs = hnsw._build(graphs)
+    queries = pd.DataFrame({"rep": np.arange(90) * 2 + 1, "embedding": list(x + 1e-6)})
+    whole = hnsw._query(graphs, queries)
+    monkeypatch.setattr(hnsw, "HELD", 5)
+    parts = hnsw._query(graphs, queries)
+    monkeypatch.setattr(hnsw, "RECALL", 2)  # no beam passes the audit: all are compared
+    monkeypatch.setattr(hnsw, "EXACT_BLOCK", 7)
+    exact = hnsw._query(graphs, queries)
+    assert len(whole) == 150
+    for other in (parts, exact):
+        assert sorted(other.itertuples(index=False)) == sorted(whole.itertuples(index=False))
+
+
 def test_the_graph_recalls_neighbours():
     x = np.random.default_rng(1).normal(0, 1, (1500, 24)).astype("f4")
     x /= np.linalg.norm(x, axis=1, keepdims=True)
