@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agroloom.llm import bpe, exact_dedup, language_id, mixing, simhash
+from agroloom.llm import bpe, exact_dedup, language_id, mixing, similar
 from agroloom.llm.common import stored, table
 
 
@@ -21,8 +21,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints are linked: that with the smallest id."""
-    return simhash.drop_near_copies(docs)
+    """One document of each group linked by similar five-word shingles: that with the smallest id."""
+    return similar.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
