@@ -35,6 +35,42 @@ def uniform(*columns: Column) -> Column:
     return F.xxhash64(*columns).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
 
 
+#: Rows of two or three numbers that may be broadcast: some 15 MB.
+FEW = 200_000
+
+
+def few(rows: DataFrame) -> bool:
+    """Whether the narrow ``rows`` are so few that each task can hold them; counts FEW + 1 at most."""
+    return rows.limit(FEW + 1).count() <= FEW
+
+
+def content_key(*more: str) -> Column:
+    """A hash of the text, null as the empty text, and of more columns: with the id, what tells rows apart."""
+    return F.xxhash64(text_of(), *[F.col(c).cast("string") for c in more])
+
+
+def row_key(doc_id: str, key: str) -> Column:
+    """(absent, id, key): a row's place in the order by id, null last, and then by a hash of its text."""
+    return F.struct(F.col(doc_id).isNull().alias("absent"), F.col(doc_id).alias("id"), F.col(key).alias("key"))
+
+
+def keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """Rows (doc_id, key, __row): each row whole, in a struct, so that its columns' names don't clash."""
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), content_key(*more).alias("key"), F.struct("*").alias("__row")
+    )
+
+
+def semi(docs: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
+    """``docs`` (doc_id, key, …) that have a row (id, key) in ``rows``, or that have none (``left_anti``).
+
+    Few rows are broadcast, so that no text is moved; more meet the documents by a shuffle.
+    """
+    rows = rows.select(F.col("id").alias("__id"), F.col("key").alias("__key"))
+    rows = F.broadcast(rows) if few(rows) else rows
+    return docs.join(rows, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), how)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared checkpoint folder, so that lost executors cost no recomputation.
 
