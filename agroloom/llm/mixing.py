@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, cut, text_of, uniform
+from .common import WORD_PATTERN, content_key, cut, keyed, text_of, uniform
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
@@ -64,103 +64,124 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPI
 _STEP = """
 aggregate(
   units,
-  named_struct('left', cast(null as struct<u:double,doc_id:bigint,size:bigint,p:double>),
-               'done', cast(array() as array<struct<doc_id:bigint,size:bigint,extra:int>>)),
+  named_struct('left', cast(null as struct<u:double,unit:struct<doc_id:bigint,key:bigint,m:bigint,sure:bigint>,size:bigint,p:double>),
+               'done', cast(array() as array<struct<unit:struct<doc_id:bigint,key:bigint,m:bigint,sure:bigint>,size:bigint,extra:int>>)),
   (s, x) -> if(s.left is null, named_struct('left', x, 'done', s.done),
     element_at(transform(array(named_struct(
         'up', least(s.left.size * (1 - s.left.p), x.size * x.p),
         'down', least(s.left.size * s.left.p, x.size * (1 - x.p)))),
       m -> case
         when x.u * (m.up + m.down) < m.down and s.left.size * (1 - s.left.p) <= x.size * x.p then
-          named_struct('left', named_struct('u', x.u, 'doc_id', x.doc_id, 'size', x.size, 'p', x.p - m.up / x.size),
-                       'done', concat(s.done, array(named_struct('doc_id', s.left.doc_id, 'size', s.left.size, 'extra', 1))))
+          named_struct('left', named_struct('u', x.u, 'unit', x.unit, 'size', x.size, 'p', x.p - m.up / x.size),
+                       'done', concat(s.done, array(named_struct('unit', s.left.unit, 'size', s.left.size, 'extra', 1))))
         when x.u * (m.up + m.down) < m.down then
-          named_struct('left', named_struct('u', s.left.u, 'doc_id', s.left.doc_id, 'size', s.left.size, 'p', s.left.p + m.up / s.left.size),
-                       'done', concat(s.done, array(named_struct('doc_id', x.doc_id, 'size', x.size, 'extra', 0))))
+          named_struct('left', named_struct('u', s.left.u, 'unit', s.left.unit, 'size', s.left.size, 'p', s.left.p + m.up / s.left.size),
+                       'done', concat(s.done, array(named_struct('unit', x.unit, 'size', x.size, 'extra', 0))))
         when s.left.size * s.left.p <= x.size * (1 - x.p) then
-          named_struct('left', named_struct('u', x.u, 'doc_id', x.doc_id, 'size', x.size, 'p', x.p + m.down / x.size),
-                       'done', concat(s.done, array(named_struct('doc_id', s.left.doc_id, 'size', s.left.size, 'extra', 0))))
+          named_struct('left', named_struct('u', x.u, 'unit', x.unit, 'size', x.size, 'p', x.p + m.down / x.size),
+                       'done', concat(s.done, array(named_struct('unit', s.left.unit, 'size', s.left.size, 'extra', 0))))
         else
-          named_struct('left', named_struct('u', s.left.u, 'doc_id', s.left.doc_id, 'size', s.left.size, 'p', s.left.p - m.down / s.left.size),
-                       'done', concat(s.done, array(named_struct('doc_id', x.doc_id, 'size', x.size, 'extra', 1))))
+          named_struct('left', named_struct('u', s.left.u, 'unit', s.left.unit, 'size', s.left.size, 'p', s.left.p - m.down / s.left.size),
+                       'done', concat(s.done, array(named_struct('unit', x.unit, 'size', x.size, 'extra', 1))))
       end), 1)))
 """
 
 
-def mixed(
-    docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED
-) -> DataFrame:
-    """Rows (doc_id, size, source_size, target, taken, copies), one for each row of ``docs``.
-
-    ``size`` counts words; a document of a source with target t and size s gets floor(t/s) copies
-    and one more with the rest of t/s as its probability. The probabilities are rounded in blocks
-    of about ``BLOCK`` documents of one source, dealt by a hash; what stays fractional in each
-    block goes to the next level, with a block for about ``BLOCK`` blocks, and so on: a reduction
-    tree in which no array grows with the source. Every step keeps the words taken, so a source
-    misses its target by less than its last document.
-
-    Equal tables give equal results, whatever their partitions. A null text has size 0 and is
-    taken 0 times; a null source is a source; rows that repeat a ``doc_id`` are rounded as
-    separate documents, in one block; empty tables give no rows. Other columns are ignored.
-    """
-    sized = cut(
-        docs.select(
-            F.col("doc_id").cast("bigint"),
-            F.col("source").cast("string"),
-            F.regexp_count(text_of(), F.lit(WORD_PATTERN)).cast("bigint").alias("size"),
-        )
-    )
-    targets = cut(source_targets(sized, weights, max_copies).withColumnRenamed("source", "of"))
+def _mixed(docs: DataFrame, weights, max_copies: int, seed: int) -> DataFrame:
+    """Rows (doc_id, key, m, size, source_size, target, base, extra), one for ``m`` equal rows of ``docs``:
+    each of them is taken ``base`` times, and the first ``extra`` of them once more."""
+    sized = docs.select(
+        F.col("doc_id").cast("bigint"), content_key("source").alias("key"), F.col("source").cast("string"),
+        F.regexp_count(text_of(), F.lit(WORD_PATTERN)).cast("bigint").alias("size"),
+    )
+    sized = cut(sized.groupBy("doc_id", "key", "source", "size").agg(F.count("*").alias("m")))
+    targets = source_targets(sized.select("source", (F.col("size") * F.col("m")).alias("size")), weights, max_copies)
+    targets = cut(targets.withColumnRenamed("source", "of"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    base = F.floor(ratio)
+    spread = (ratio - base) * F.col("m")  # copies that equal rows are to share beyond their base
     units = sized.join(targets, F.col("source").eqNullSafe(F.col("of"))).withColumns(
-        {"base": F.floor(ratio).cast("int"), "p": ratio - F.floor(ratio)}
+        {"base": base.cast("int"), "sure": F.floor(spread).cast("bigint"), "p": spread - F.floor(spread)}
     )
     open_ = (F.col("size") > 0) & (F.col("p") > 0)
     group = ["of", "source_size", "target", "base", "n"]
-    decided = units.where(~open_).select("doc_id", "size", *group[1:4], F.lit(0).alias("extra"))
-    units = units.where(open_).withColumnRenamed("n_docs", "n").select("doc_id", "size", "p", *group)
+    unit = F.struct("doc_id", "key", "m", "sure").alias("unit")
+    decided = units.where(~open_).select(unit, "size", *group[1:4], F.lit(0).alias("extra"))
+    units = units.where(open_).withColumnRenamed("n_docs", "n").select(unit, "size", "p", *group)
     most = targets.agg(F.max("n_docs")).first()[0] or 0
     level = 0
     while most > 1 or level == 0:
         blocks = F.ceil(F.col("n") / BLOCK)
         dealt = units.withColumns(
             {
-                "block": F.pmod(F.xxhash64(F.lit(seed + level), "doc_id", "size"), blocks),
-                "u": uniform(F.lit(-seed - level), F.col("doc_id"), F.col("size")),
+                "block": F.pmod(F.xxhash64(F.lit(seed + level), "unit"), blocks),
+                "u": uniform(F.lit(-seed - level), F.col("unit")),
             }
         )
         folded = cut(
             dealt.groupBy(*group, "block")
-            .agg(F.sort_array(F.collect_list(F.struct("u", "doc_id", "size", "p"))).alias("units"))
+            .agg(F.sort_array(F.collect_list(F.struct("u", "unit", "size", "p"))).alias("units"))
             .withColumn("state", F.expr(_STEP))
             .drop("units")
         )
         done = folded.select(*group[1:4], F.explode("state.done").alias("x"))
-        decided = decided.unionByName(done.select("x.doc_id", "x.size", *group[1:4], "x.extra"))
+        decided = decided.unionByName(done.select("x.unit", "x.size", *group[1:4], "x.extra"))
         left = folded.where("state.left is not null").select(
-            "state.left.doc_id", "state.left.size", "state.left.p", *group[:4],
+            "state.left.unit", "state.left.size", "state.left.p", *group[:4],
             F.ceil(F.col("n") / BLOCK).alias("n"),
         )
         units, most, level = left, math.ceil(most / BLOCK), level + 1
-    last = uniform(F.lit(seed), F.col("doc_id"), F.col("size")) < F.col("p")
+    last = uniform(F.lit(seed), F.col("unit")) < F.col("p")
     decided = decided.unionByName(
-        units.select("doc_id", "size", *group[1:4], last.cast("int").alias("extra"))
+        units.select("unit", "size", *group[1:4], last.cast("int").alias("extra"))
     )
-    copies = F.col("base") + F.col("extra")
     return decided.select(
+        "unit.doc_id", "unit.key", "unit.m", "size", "source_size", "target", "base",
+        (F.col("unit.sure") + F.col("extra")).alias("extra"),
+    )
+
+
+def mixed(
+    docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED
+) -> DataFrame:
+    """Rows (doc_id, size, source_size, target, taken, copies), one for each row of ``docs``.
+
+    ``size`` counts words; a document of a source with target t and size s gets floor(t/s) copies
+    and one more with the rest of t/s as its probability. The probabilities are rounded in blocks
+    of about ``BLOCK`` documents of one source, dealt by a hash; what stays fractional in each
+    block goes to the next level, with a block for about ``BLOCK`` blocks, and so on: a reduction
+    tree in which no array grows with the source. Every step keeps the words taken, so a source
+    misses its target by less than its last document.
+
+    Equal tables give equal results, whatever their partitions. A null text has size 0 and is
+    taken 0 times; a null source is a source. Rows equal in id, text and source are one unit with
+    a count, so that no block grows with them, and share its copies as evenly as whole copies can;
+    other rows that repeat a ``doc_id``, and those without one, are documents of their own. Empty
+    tables give no rows. Other columns are ignored.
+    """
+    rows = _mixed(docs, weights, max_copies, seed)
+    rows = rows.withColumn("__nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m"))))
+    copies = F.col("base") + (F.col("__nth") <= F.col("extra")).cast("int")
+    return rows.select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * copies).alias("taken"), copies.alias("copies"),
     )
 
 
-def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED
+) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say, perhaps never.
 
-    Documents without words drop out. ``doc_id`` should be unique: rows that repeat one are all
-    taken as often as the most taken of them, and rows without one drop out.
+    Documents without words drop out; an empty table stays empty. Rows meet their copies by id,
+    text and source together, so ids may be null or repeat; rows equal in all three are each taken
+    as often as they are on average, rounded. All columns stay, whatever their names.
     """
-    taken = mixed(docs, weights, max_copies).where("taken > 0")
-    taken = taken.groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
-    rows = docs.join(taken, F.col("doc_id") == F.col("__id"))
-    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return rows.select(*docs.columns)
+    taken = _mixed(docs, weights, max_copies, seed)
+    copies = F.col("base") + F.round(F.col("extra") / F.col("m")).cast("int")
+    # a row is taken max_copies times at most: an explode of so short an array is no growth
+    taken = taken.where("size > 0").select(
+        F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.sequence(F.lit(1), copies).alias("__copies"), copies.alias("__n")
+    ).where("__n > 0")
+    rows = keyed(docs, "source").join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")))
+    return rows.select("__row", F.explode("__copies")).select("__row.*")
