@@ -8,7 +8,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, held_out, text_of, uniform
@@ -16,7 +16,8 @@ from .common import cut, held_out, text_of, uniform
 UNKNOWN = "und"
 #: Bound of the training sample: about so many documents of each language.
 SAMPLE = 1500
-#: Bounds of the model: the most frequent words and n-grams of the sample.
+#: Bounds of the model: so many words, and as many n-grams, over all languages. Each language has
+#: an equal share, for its own most frequent ones, so that no language crowds out another.
 WORDS, GRAMS = 60_000, 60_000
 LONGEST = 4
 #: Words whose scores a worker keeps; a full cache is emptied.
@@ -68,7 +69,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> dict:
     """The model: languages, and by unit its row of log frequencies per language.
 
     Learns from text and non-null lang of documents that are not held out: about ``sample`` of
-    each language, picked by a hash of the id. The model's size is bounded by WORDS and GRAMS.
+    each language, picked by a hash of the id. The model's size is bounded by WORDS and GRAMS,
+    which the languages share equally.
     """
     known = docs.where(~held_out() & F.col("lang").isNotNull()).select(
         "doc_id", F.col("lang").cast("string"), text_of().alias("text")
@@ -90,15 +92,16 @@ def _model(tally: DataFrame) -> dict:
     totals = {(r["lang"], r["n"]): r["total"] for r in tally.groupBy("lang", "n").agg(F.sum("count").alias("total")).collect()}
     langs = sorted({lang for lang, _ in totals})
     at = {lang: i for i, lang in enumerate(langs)}
-    by_unit = tally.groupBy("n", "unit").agg(F.sum("count").alias("all"))
-    order = [F.desc("all"), "n", "unit"]
-    kept = by_unit.where("n = 0").orderBy(*order).limit(WORDS).unionByName(
-        by_unit.where("n > 0").orderBy(*order).limit(GRAMS)
-    )
-    rows = tally.join(kept.select("n", "unit"), ["n", "unit"]).toPandas()
+    kind = F.when(F.col("n") == 0, 0).otherwise(1).alias("kind")
+    share = F.when(F.col("kind") == 0, WORDS // max(1, len(langs))).otherwise(GRAMS // max(1, len(langs)))
+    # a window holds the units of one language's share of the sample, which is bounded
+    place = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("count"), "n", "unit"))
+    ranked = tally.withColumn("kind", kind).withColumn("place", place)
+    kept = ranked.where(F.col("place") <= F.greatest(share, F.lit(1))).select("n", "unit").distinct()
+    rows = tally.join(kept, ["n", "unit"]).toPandas()
     index: dict[tuple[int, str], int] = {}
-    counts = np.zeros((WORDS + GRAMS, max(1, len(langs))))
-    for n, unit, lang, count in rows[["n", "unit", "lang", "count"]].itertuples(index=False):
+    counts = np.zeros((len(rows), max(1, len(langs))))
+    for n, unit, lang, count in rows[["n", "unit", "lang", "count"]].sort_values(["n", "unit"]).itertuples(index=False):
         counts[index.setdefault((n, unit), len(index)), at[lang]] = count
     counts = counts[: len(index)]
     sums = np.zeros((LONGEST + 1, max(1, len(langs))))
@@ -143,6 +146,27 @@ class _Scores(dict):
         return self[word]
 
 
+def _predictor(model, token: str):
+    """A function from a text to (language, score); a worker's scores live as long as it does."""
+    if _CACHE.get("of") != token:
+        _CACHE.update({"of": token, "scores": _Scores(model)})
+    langs = model["langs"]
+
+    def predict(text: str | None) -> tuple[str, float]:
+        scores = _CACHE["scores"]
+        found = words(text or "")
+        if not found or not langs:
+            return UNKNOWN, 0.0
+        rows = list(map(scores.__getitem__, found))
+        total = scores.rows[rows].sum(axis=0, dtype="f8")
+        best = int(total.argmax())
+        if len(scores) > CACHED:
+            _CACHE["scores"] = _Scores(model)
+        return langs[best], float(1 / np.exp(total - total[best]).sum())
+
+    return predict
+
+
 def identify(docs: DataFrame, model: dict) -> DataFrame:
     """Rows (doc_id, held_out, lang_pred, score), one for each row of ``docs``.
 
@@ -154,43 +178,37 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
     """
     shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid4().hex
 
-    def predict(batches):
-        if _CACHE.get("of") != token:
-            _CACHE.update({"of": token, "scores": _Scores(shared.value)})
-        langs = shared.value["langs"]
+    def run(batches):
+        predict = _predictor(shared.value, token)
         for batch in batches:
-            names, values = [], []
-            for text in batch.column("text").to_pylist():
-                scores = _CACHE["scores"]
-                found = words(text)
-                if not found or not langs:
-                    names.append(UNKNOWN)
-                    values.append(0.0)
-                    continue
-                rows = list(map(scores.__getitem__, found))
-                total = scores.rows[rows].sum(axis=0, dtype="f8")
-                best = int(total.argmax())
-                names.append(langs[best])
-                values.append(float(1 / np.exp(total - total[best]).sum()))
-                if len(scores) > CACHED:
-                    _CACHE["scores"] = _Scores(shared.value)
+            found = list(map(predict, batch.column("text").to_pylist()))
+            names, scores = ([f[k] for f in found] for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(values, pa.float64())],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"],
             )
 
     rows = docs.select(
         F.col("doc_id").cast("bigint"), held_out().alias("held_out"), text_of().alias("text")
     )
-    return rows.mapInArrow(predict, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without those whose language can't be told: ``und``, or a score under ``least``.
 
-    The verdicts meet the rows by a left semi join on ``doc_id``, so all columns stay. A document
-    without an id can't be judged by it and goes only with the rows that have none.
+    Each row is judged by its own text where it is read: no join, no shuffle. So ids may be null or
+    repeat, and all columns stay, whatever their names. A null or empty text goes; an empty table
+    stays empty.
     """
-    verdict = identify(docs, learn(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    ids = verdict.select(F.col("doc_id").alias("__id"))
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    shared, token = docs.sparkSession.sparkContext.broadcast(learn(docs)), uuid4().hex
+    rows = docs.select(text_of().alias("text"), F.struct("*").alias("row"))
+
+    def run(batches):
+        predict = _predictor(shared.value, token)
+        for batch in batches:
+            found = map(predict, batch.column("text").to_pylist())
+            good = [lang != UNKNOWN and score >= least for lang, score in found]
+            yield batch.select(["row"]).filter(pa.array(good, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.select("row").schema).select("row.*")
