@@ -34,7 +34,11 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = list(map(b" ".join, zip(*(words[i:] for i in range(shingle_words)), strict=False)))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(HASH_SEED)), "<u8", len(shingles))
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(HASH_SEED)), "<u8", len(shingles)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each set where more than half of the hashes have it."""
     ones = np.zeros(64, "i8")
     for i in range(0, len(hashes), 65_536):
         part = hashes[i : i + 65_536].view("u1").reshape(-1, 8)

@@ -1,4 +1,9 @@
-"""Near copies by an exact join of word-shingle sets: all pairs of a Jaccard similarity of 0.8 or more."""
+"""Near copies by word shingles: SimHash links first, completed to all pairs of a Jaccard similarity of 0.8.
+
+SimHash alone can't give that threshold: such pairs differ in about 10 of 64 bits, where a trie
+prunes nothing. So the trie self-join finds what lies within its budget, and an exact prefix join
+completes it; every link of either is decided by the sets themselves.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +12,19 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_of, uniform
+from . import simhash
+from .common import content_key, cut, keyed, row_key, semi, text_of, uniform
 from .components import connected_labels
 
 SHINGLE_WORDS = 5
-HASH_SEED = 42
 #: Documents (about) that common shingles are learnt from, how often one occurs there at least, and
-#: how many are kept.
+#: how many are kept. They order the tokens of a set, which changes the speed, never a link.
 SAMPLE, COMMON, MOST_COMMON = 4000, 3, 65_536
+#: Tokens for each counter of a sketch, on average.
+EACH = 4
 
 
 def shingles(text: str, words_each: int = SHINGLE_WORDS) -> np.ndarray:
@@ -29,7 +36,8 @@ def shingles(text: str, words_each: int = SHINGLE_WORDS) -> np.ndarray:
         parts = [b" ".join(words)]
     else:
         parts = list(map(b" ".join, zip(*(words[i:] for i in range(words_each)), strict=False)))
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(HASH_SEED)), "<u8", len(parts)).view("<i8"))
+    hashes = map(xxhash.xxh64_intdigest, parts, repeat(simhash.HASH_SEED))
+    return np.unique(np.fromiter(hashes, "<u8", len(parts)).view("<i8"))
 
 
 def nodes_of(sets: list[np.ndarray]) -> pa.Array:
@@ -52,8 +60,24 @@ def prefix(tokens: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.nda
     return tokens[np.lexsort((tokens, weight))[:size]] if n else tokens
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
+def sketch(tokens: np.ndarray) -> bytes:
+    """How many tokens fall on each value of their low bits, a byte a counter; empty if one is too large."""
+    size = 8
+    while size * EACH < len(tokens):
+        size *= 2
+    counts = np.bincount(tokens & (size - 1), minlength=size)
+    return counts.astype("u1").tobytes() if counts.max() < 256 else b""
+
+
+def may_be_similar(a: bytes, b: bytes) -> bool:
+    """False only where the sketches prove a similarity under 0.8: what two sets share of each
+    counter is no more than the lesser of its counts."""
+    if not a or not b:
+        return True
+    x, y = (np.frombuffer(v, "u1").astype("i4") for v in (a, b))
+    total, size = int(x.sum() + y.sum()), min(len(x), len(y))
+    shared = np.minimum(x.reshape(-1, size).sum(axis=0), y.reshape(-1, size).sum(axis=0)).sum()
+    return 9 * int(shared) >= 4 * total
 
 
 def _sets(batches):
@@ -67,7 +91,8 @@ def _sets(batches):
 def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that occur in several documents of a sample, ascending, and how often."""
     share = SAMPLE / max(1, docs.count())
-    sets = docs.where(uniform(F.lit(23), F.col("doc_id")) < share).mapInArrow(_sets, "node bigint, tokens array<bigint>")
+    sets = docs.where(uniform(F.lit(23), F.col("doc_id")) < share).select("text")
+    sets = sets.mapInArrow(_sets, "node bigint, tokens array<bigint>")
     counts = sets.select(F.explode("tokens").alias("token")).groupBy("token").count()
     counts = counts.where(F.col("count") >= COMMON).orderBy(F.desc("count"), "token").limit(MOST_COMMON)
     rows = sorted((r["token"], r["count"]) for r in counts.collect())
@@ -75,75 +100,134 @@ def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, node, n, prefix), one for each row of ``docs``."""
+    """Rows (doc_id, key, node, n, fp, sketch, prefix), one for each row of ``docs``."""
     order = docs.sparkSession.sparkContext.broadcast(_common(docs))
 
     def run(batches):
         common, counts = order.value
         for batch in batches:
             found = [shingles(t) for t in batch.column("text").to_pylist()]
+            fps = np.array([simhash.majority(t.view("u8")) for t in found], "<u8").view("<i8")
             columns = [
-                batch.column("doc_id"), nodes_of(found),
-                pa.array(list(map(len, found)), pa.int32()),
+                batch.column("doc_id"), batch.column("key"), nodes_of(found),
+                pa.array(list(map(len, found)), pa.int32()), pa.array(fps),
+                pa.array(list(map(sketch, found)), pa.binary()),
                 pa.array([prefix(t, common, counts) for t in found], pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "node", "n", "fp", "sketch", "prefix"])
+
+    schema = "doc_id bigint, key bigint, node bigint, n int, fp bigint, sketch binary, prefix array<bigint>"
+    return docs.mapInArrow(run, schema)
+
+
+def _bounded(batches):
+    """The pairs that their sketches leave open."""
+    for batch in batches:
+        a, b = (batch.column(c).to_pylist() for c in ("x", "y"))
+        yield batch.select(["src", "dst"]).filter(pa.array(list(map(may_be_similar, a, b)), pa.bool_()))
+
 
-    return docs.mapInArrow(run, "doc_id bigint, node bigint, n int, prefix array<bigint>")
+def _with_both(pairs: DataFrame, facts: DataFrame, value: str) -> DataFrame:
+    """Rows (src, dst, x, y): the value of each end. ``facts`` has a row (node, value) for each."""
+    x = facts.select(F.col("node").alias("src"), F.col(value).alias("x"))
+    y = facts.select(F.col("node").alias("dst"), F.col(value).alias("y"))
+    return pairs.join(x, "src").join(y, "dst")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """Those of the ``pairs`` (src, dst) of nodes whose sets have a similarity of 0.8 or more."""
-    wanted = cut(pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct())
-    ids = marked.select("doc_id", "node").join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("__id"))
-    # ids of candidates are few and narrow: broadcast, so that no other text is moved
-    few = F.broadcast(cut(ids.select("__id").distinct()))
-    some = docs.join(few, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    sets = some.mapInArrow(_sets, "node bigint, tokens array<bigint>")
-    sets = cut(sets.join(F.broadcast(wanted), "node", "left_semi").dropDuplicates(["node"]))
-    both = pairs.join(sets.select(F.col("node").alias("src"), F.col("tokens").alias("x")), "src")
-    both = both.join(sets.select(F.col("node").alias("dst"), F.col("tokens").alias("y")), "dst")
+    """Those of the ``pairs`` (src, dst) of nodes whose sets have a similarity of 0.8 or more.
+
+    Sketches, a byte for four tokens, come first. Whole sets are made and moved only for the ends
+    of pairs that these leave open, which are nearly all links.
+    """
+    sketches = marked.select("node", "sketch").join(_ends(pairs), "node", "left_semi")
+    open_ = _with_both(pairs, cut(sketches.dropDuplicates(["node"])), "sketch")
+    open_ = cut(open_.mapInArrow(_bounded, "src bigint, dst bigint"))
+    rows = marked.select("node", "doc_id", "key").join(_ends(open_), "node", "left_semi")
+    rows = rows.groupBy("node").agg(F.min(row_key("doc_id", "key")).alias("row")).select("row.*").distinct()
+    sets = semi(docs, cut(rows)).select("text").mapInArrow(_sets, "node bigint, tokens array<bigint>")
+    both = _with_both(open_, cut(sets.dropDuplicates(["node"])), "tokens")
     shared = F.size(F.array_intersect("x", "y"))
     return both.where(9 * shared >= 4 * (F.size("x") + F.size("y"))).select("src", "dst")
 
 
-def near_links(docs: DataFrame, marked: DataFrame) -> DataFrame:
+def _ordered(a: str | Column, b: str | Column) -> list[Column]:
+    return [F.least(a, b).alias("src"), F.greatest(a, b).alias("dst")]
+
+
+def _simhash_pairs(marked: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs of nodes that span the classes of fingerprints within ``max_bits``, found by the trie."""
+    nodes = cut(marked.where("n > 0").groupBy("fp").agg(F.min("node").alias("rep"), F.max("node").alias("most")))
+    edges = cut(simhash.near_links(nodes.select("fp"), max_bits))
+    a = nodes.select(F.col("fp").alias("src"), F.col("rep").alias("a"))
+    b = nodes.select(F.col("fp").alias("dst"), F.col("rep").alias("b"))
+    across = edges.join(a, "src").join(b, "dst").select(*_ordered("a", "b"))
+    several = nodes.where("rep != most").select("fp", "rep")
+    same = marked.where("n > 0").select("fp", "node").join(several, "fp").where("node != rep")
+    return across.union(same.select(*_ordered("node", "rep"))).distinct()
+
+
+def near_links(docs: DataFrame, marked: DataFrame, max_bits: int = simhash.MAX_BITS) -> DataFrame:
     """Edges (src, dst) of nodes that span the classes of similar sets.
 
-    Sets meet by the tokens of their prefixes. First each is compared with one other of each token;
-    then, for tokens whose sets aren't all of one class by now, every pair of different classes. So
-    no pair that could join two classes is left out, and a large group of copies costs no square.
+    The trie self-join over fingerprints gives the first links. Then sets meet by the tokens of
+    their prefixes: each is compared with one other of each token that is not of its class, and
+    last, for tokens whose sets aren't all of one class by now, every pair of different classes.
+    So no pair that could join two classes is left out, and a large group of copies costs no square.
     """
-    rows = marked.where("n > 0").select("node", "n", F.explode("prefix").alias("token"))
-    rows = rows.repartition("token")  # one exchange, for both sides of the join below
-    facts = rows.groupBy("token").agg(F.min(F.struct("n", "node")).alias("centre"), F.min("node").alias("low"), F.max("node").alias("high"))
-    met = cut(rows.join(facts.where("low != high").select("token", "centre"), "token").distinct())
-    near = met.where((F.col("node") != F.col("centre.node")) & (5 * F.col("centre.n") >= 4 * F.col("n")))
-    pairs = cut(near.select(F.least("node", "centre.node").alias("src"), F.greatest("node", "centre.node").alias("dst")).distinct())
-    links = cut(_similar(pairs, docs, marked))
+    links = cut(_similar(cut(_simhash_pairs(marked, max_bits)), docs, marked))
     labels = cut(connected_labels(links))
-    met = met.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
-    mixed = met.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    met = cut(met.join(mixed.select("token"), "token", "left_semi"))
+    facts = marked.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
+    facts = cut(facts.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label")))
+    rows = marked.where("n > 0").select("node", F.explode("prefix").alias("token"))
+    shared = rows.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    met = rows.join(shared.where("low != high").select("token"), "token")
+    met = cut(cut(met.distinct()).join(facts, "node"))
+
+    def mixed(met: DataFrame) -> DataFrame:
+        """The tokens whose sets are of several classes, with the smallest of the sets."""
+        of = met.groupBy("token").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("n", "node", "label")).alias("centre")
+        )
+        return of.where("low != high").select("token", "centre")
+
+    near = met.join(mixed(met), "token")
+    near = near.where((F.col("label") != F.col("centre.label")) & (5 * F.col("centre.n") >= 4 * F.col("n")))
+    pairs = cut(near.select(*_ordered("node", "centre.node")).distinct())
+    links = links.union(cut(_similar(pairs, docs, marked)))
+    labels = cut(connected_labels(links)).withColumnRenamed("label", "now")
+    met = met.join(labels, "node", "left").select("token", "node", "n", F.coalesce("now", "node").alias("label"))
+    met = cut(met)
+    met = cut(met.join(mixed(met).select("token"), "token", "left_semi"))
     a, b = met.alias("a"), met.alias("b")
     fits = (F.col("a.label") < F.col("b.label")) & (5 * F.col("a.n") >= 4 * F.col("b.n")) & (5 * F.col("b.n") >= 4 * F.col("a.n"))
     rest = a.join(b, (F.col("a.token") == F.col("b.token")) & fits)
-    rest = rest.select(F.least("a.node", "b.node").alias("src"), F.greatest("a.node", "b.node").alias("dst")).distinct()
+    rest = rest.select(*_ordered("a.node", "b.node")).distinct()
     rest = cut(rest.join(pairs, ["src", "dst"], "left_anti"))
     return links.union(_similar(rest, docs, marked))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, max_bits: int = simhash.MAX_BITS) -> DataFrame:
     """``docs`` with one document of each group of near copies: that with the smallest id.
 
     Documents link if the sets of their five-word shingles, without regard to case, have a Jaccard
     similarity of 0.8 or more; groups are what links reach. Texts without a word are one group. A
-    null text counts as empty, and null ids never name a group that has another id.
+    null text counts as empty. Rows are told apart by id and text together, so ids may be null or
+    repeat; a null id comes after all others, and of rows that share an id the one first by its
+    text's hash stays. Rows equal in both go or stay together. All columns stay, whatever their
+    names; an empty table stays empty.
     """
-    texts = _texts(docs)
+    texts = docs.select(F.col("doc_id").cast("bigint"), content_key().alias("key"), text_of().alias("text"))
     marked = cut(_marked(texts))
-    labels = connected_labels(cut(near_links(texts, marked)))
-    least = cut(marked.groupBy("node").agg(F.min("doc_id").alias("least")))
-    named = cut(least.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label")))
-    keep = named.groupBy("label").agg(F.min("least").alias("__id")).select("__id").distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    labels = connected_labels(cut(near_links(texts, marked, max_bits)))
+    rows = marked.select("node", row_key("doc_id", "key").alias("row"))
+    least = cut(rows.groupBy("node").agg(F.min("row").alias("least"), F.max("row").alias("most")))
+    named = cut(least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    first = named.groupBy("label").agg(F.min("least").alias("first"), F.max("most").alias("last"))
+    classes = named.join(first.where("first != last"), "label").select("node", "first")
+    gone = cut(rows.join(classes, "node").where("row != first").select("row.*").distinct())
+    return semi(keyed(docs), gone, "left_anti").select("__row.*")
