@@ -18,10 +18,11 @@ from .pretokens import splitters
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
-#: Entries of the broadcast table, and of each summary that the table is made from.
-FREQUENT = 32_768
-#: Entries of a worker's cache beside that table; a full one is emptied.
-CACHED = 400_000
+#: Entries of the broadcast table, and of each summary that the table is made from, and the
+#: characters of the longest: together a bound of some megabytes.
+FREQUENT, LONGEST = 32_768, 64
+#: Entries of a worker's cache beside that table, and the characters of the longest; a full one is emptied.
+CACHED, LONGEST_CACHED = 400_000, 256
 #: Summaries that one step of the reduction merges.
 FAN_IN = 16
 #: Characters of texts that are split before the misses among them are encoded.
@@ -41,20 +42,39 @@ def _library(path: str):
     return tokenizer, re.compile("|".join(added) or "(?!)")
 
 
-def _count_frequent(batches):
+@cache
+def _splitter(path: str):
+    """A function from a text to its pre-tokens; outside the blocks on which all Unicode versions
+    agree, they are those of the library's own pre-tokenizer."""
+    split, odd = splitters()
+    library = _library(path)[0].pre_tokenizer.pre_tokenize_str
+
+    def pretokens(text: str) -> list[str]:
+        if odd(text):
+            return [text[a:b] for _, (a, b) in library(text)]
+        return split(text)
+
+    return pretokens
+
+
+def _count_frequent(path: str):
     """Each task's summary of its pre-tokens: after Misra and Gries, in FREQUENT counters."""
-    split, _ = splitters()
-    counts: Counter = Counter()
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(split(text))
-            if len(counts) > 8 * FREQUENT:
-                counts = _pruned(counts)
-    counts = _pruned(counts)
-    yield pa.RecordBatch.from_pydict(
-        {"words": [list(counts)], "counts": [list(counts.values())]},
-        pa.schema([("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]),
-    )
+
+    def run(batches):
+        split = _splitter(path)
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(w for w in split(text) if len(w) <= LONGEST)
+                if len(counts) > 8 * FREQUENT:
+                    counts = _pruned(counts)
+        counts = _pruned(counts)
+        yield pa.RecordBatch.from_pydict(
+            {"words": [list(counts)], "counts": [list(counts.values())]},
+            pa.schema([("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]),
+        )
+
+    return run
 
 
 def _pruned(counts: Counter) -> Counter:
@@ -77,15 +97,15 @@ def _merged(rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def frequent_pretokens(docs: DataFrame) -> list[str]:
-    """The most frequent pre-tokens of all texts, FREQUENT at most.
+def frequent_pretokens(docs: DataFrame, path: str) -> list[str]:
+    """The most frequent pre-tokens of all texts, FREQUENT at most, of LONGEST characters at most.
 
     Every task summarises its own texts; a tree merges the summaries, FAN_IN at a time, so no
     task holds more than that many and the driver gets one. A pre-token that makes up more than
     one in FREQUENT of the corpus is in it. Which ones are in it changes the speed, never a count.
     """
     level = docs.select(text_of().alias("text")).mapInArrow(
-        _count_frequent, "words array<string>, counts array<bigint>"
+        _count_frequent(path), "words array<string>, counts array<bigint>"
     )
     level = cut(level.withColumn("node", F.spark_partition_id()))
     nodes = (level.agg(F.max("node")).first()[0] or 0) + 1
@@ -104,32 +124,29 @@ _TIERS: dict = {}
 def _counter(path: str, frequent, token: str):
     """A function from texts to token counts; its tables live as long as the worker."""
     tokenizer, special = _library(path)
-    split, odd = splitters()
+    split = _splitter(path)
     if _TIERS.get("of") != token:
         _TIERS.update({"of": token, "first": frequent.value})
         _TIERS["all"] = dict(_TIERS["first"])
 
+    def encoded(words: list[str]):
+        return zip(words, map(len, tokenizer.encode_batch_fast(words, add_special_tokens=False)), strict=True)
+
     def counts(texts: list[str]) -> list[int]:
         if len(_TIERS["all"]) > len(_TIERS["first"]) + CACHED:
             _TIERS["all"] = dict(_TIERS["first"])
-        lengths, whole, words, missing = _TIERS["all"], {}, [], set()
-        for i, text in enumerate(texts):
-            if odd(text):  # outside the blocks on which all Unicode versions agree
-                whole[i] = len(tokenizer.encode(text, add_special_tokens=False))
-                words.append(())
-                continue
+        lengths, whole, words, missing = _TIERS["all"], [], [], set()
+        for text in texts:
             found = special.findall(text)
-            whole[i] = len(found)
-            if found:
-                words.append([w for piece in special.split(text) for w in split(piece)])
-            else:
-                words.append(split(text))
+            whole.append(len(found))
+            words.append([w for piece in special.split(text) for w in split(piece)] if found else split(text))
             missing.update(set(words[-1]).difference(lengths))
-        if missing:
-            todo = list(missing)
-            for word, x in zip(todo, tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True):
-                lengths[word] = len(x)
-        return [whole[i] + sum(map(lengths.__getitem__, w)) for i, w in enumerate(words)]
+        long = {}
+        for word, n in encoded(list(missing)):
+            (lengths if len(word) <= LONGEST_CACHED else long)[word] = n
+        if long:
+            return [n + sum(lengths[x] if x in lengths else long[x] for x in w) for n, w in zip(whole, words, strict=True)]
+        return [n + sum(map(lengths.__getitem__, w)) for n, w in zip(whole, words, strict=True)]
 
     return counts
 
@@ -139,14 +156,14 @@ def token_counts(docs: DataFrame, path: str, limit: int = TOKEN_LIMIT) -> DataFr
 
     ``path`` names a byte-level tokenizer for the library ``tokenizers``; counts are the library's,
     with special strings in a text as single tokens (its default) and none added. The first tier
-    is a broadcast table of at most FREQUENT pre-token lengths, about a megabyte; misses are
-    encoded together and kept in the worker's bounded cache.
+    is a broadcast table of at most FREQUENT pre-token lengths, of LONGEST characters at most;
+    misses are encoded together and kept in the worker's bounded cache, long ones apart.
 
     A null text counts as empty and has no tokens; ids may be null or repeat, row for row. Other
     columns are ignored; an empty table gives no rows.
     """
     tokenizer, _ = _library(path)
-    words = frequent_pretokens(docs)
+    words = frequent_pretokens(docs, path)
     encoded = tokenizer.encode_batch_fast(words, add_special_tokens=False)
     frequent = docs.sparkSession.sparkContext.broadcast(
         {w: len(x) for w, x in zip(words, encoded, strict=True)}
