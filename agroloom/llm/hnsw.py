@@ -28,8 +28,9 @@ AUDITED, PLANTED, RECALL = 512, 64, 0.95
 SLACK = 1e-4
 #: Queries that are compared with a shard at once, and links that are held before they are folded.
 EXACT_BLOCK, HELD = 256, 2_000_000
-#: Vectors of a component that one task counts links among.
-COUNT_BLOCK = 1024
+#: Vectors of a block, when links are counted in pairs of blocks of a component; components of
+#: some thousands have FEW_BLOCKS smaller ones, so that no task gets most of one.
+COUNT_BLOCK, SMALL_BLOCK, FEW_BLOCKS = 1024, 64, 16
 
 
 class Graph:
@@ -309,7 +310,8 @@ def embedding_groups(vectors: DataFrame) -> DataFrame:
         labels.groupBy("class").agg(F.min("node").alias("component_id"), F.count("*").alias("members"))
     )
     members = labels.join(classes, "class").join(reps, F.col("node") == F.col("rep"))
-    blocks = F.ceil(F.col("members") / COUNT_BLOCK).cast("int")
+    small = F.least(F.ceil(F.col("members") / SMALL_BLOCK), F.lit(FEW_BLOCKS))
+    blocks = F.greatest(small, F.ceil(F.col("members") / COUNT_BLOCK)).cast("int")
     members = members.withColumn("block", F.pmod(F.xxhash64(F.lit(2), "rep"), blocks).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     members = members.select(
