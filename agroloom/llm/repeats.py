@@ -8,7 +8,13 @@ often as it does. Of the others, each distinct run's symbols are sent to the sha
 common it is; there an index over those texts decides every window. The answers go back to the
 chunks, which mark what their documents lose.
 
-A run that fills a third of the corpus is one record per chunk and one text in its shard.
+A run that fills a third of the corpus is one record per chunk and one text in its shard. A line in
+a third of the documents has other neighbours in each; its grams are learnt from a sample and own
+no window that holds another gram, so the windows over its edges are dealt to many shards.
+
+Runs count as equal if 95 bits or more of hashes agree: 64 of all symbols under the run, 31 of the
+owner gram, and its shard, from hash functions of their own. Among 10^13 runs, the chance that two
+different ones agree is below one in a thousand.
 """
 
 from __future__ import annotations
@@ -21,12 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
-from .windows import runs
+from .common import content_key, text_of, uniform
+from .windows import common_table, gram_hashes, runs
 
 #: Bytes of text in a chunk, on average, and bytes that are hashed together.
 CHUNK_BYTES = 8_000_000
 GROUP_BYTES = 1_000_000
+#: Symbols of runs that one index holds, unless those of a single owner gram are more.
+INDEXED = 4_000_000
+#: Documents (about) that common grams are learnt from, by so many tasks; how many of these
+#: documents hold one at least, and how many grams are kept. They decide which task does what,
+#: never what is found.
+SAMPLE, SAMPLERS, COMMON, MOST_COMMON = 1500, 4, 3, 65_536
 NO_ID = np.iinfo("i8").max
 _RECORD = np.dtype([("key", "<u4"), ("context", "<u8"), ("order", "<u4")])
 _MANY = np.uint32(1 << 31)
@@ -66,8 +78,8 @@ class _Chunk(NamedTuple):
     n: np.ndarray  # its windows
 
 
-def _chunk(table: pa.Table, task: Task, shards: int) -> _Chunk:
-    table = table.sort_by("doc_id")
+def _chunk(table: pa.Table, task: Task, shards: int, common) -> _Chunk:
+    table = table.sort_by([("doc_id", "ascending"), ("key", "ascending")])  # one order in all passes
     ids = table.column("doc_id").fill_null(NO_ID).to_numpy()
     texts = [t.encode() for t in table.column("text").to_pylist()]
     groups, start, size = [], 0, 0
@@ -80,7 +92,7 @@ def _chunk(table: pa.Table, task: Task, shards: int) -> _Chunk:
     for a, b in groups:
         hashes, ends, sent = task.symbols(texts[a:b])
         symbols.append((ends, sent))
-        r = runs(hashes, ends, task.width, task.gram)
+        r = runs(hashes, ends, task.width, task.gram, common.value)
         document = np.searchsorted(ends, r.begin, "right") - 1 + a
         parts.append((r.key, r.context, r.begin, r.n, ids[document]))
         bounds.append(bounds[-1] + len(r.n))
@@ -110,16 +122,14 @@ def _chunk(table: pa.Table, task: Task, shards: int) -> _Chunk:
     return _Chunk(ids, texts, groups, record, begin, np.array(bounds), symbols, shard[sample].astype("i4"), low, context[sample], least, many, sample, n[sample])
 
 
-def _summaries(task: Task, shards: int):
+def _summaries(task: Task, shards: int, common):
     def run(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
-        c = _chunk(table, task, shards)
+        c = _chunk(table, task, shards, common)
         rows = []
-        edges = np.searchsorted(c.shard, np.arange(shards + 1))
-        for s in range(shards):
-            a, b = edges[s], edges[s + 1]
-            if a == b:
-                continue
+        edges = np.append(np.flatnonzero(np.diff(c.shard, prepend=-1)), len(c.shard)).tolist()
+        for a, b in zip(edges, edges[1:]):
+            s = int(c.shard[a])
             base = int(c.least[a:b].min())
             wide = int(c.least[a:b].max()) - base >= 1 << 32
             body = np.empty(b - a, _RECORD)
@@ -148,6 +158,7 @@ class _Shard(NamedTuple):
     first: np.ndarray  # for each distinct run: the record that sends its text
     count: np.ndarray  # for each distinct run: occurrences that count, 2 at most
     alone: np.ndarray  # for each distinct run: whether no other run has its owner gram
+    owner: np.ndarray  # for each distinct run: the number of its owner gram
 
 
 def _shard(table: pa.Table) -> _Shard:
@@ -178,7 +189,7 @@ def _shard(table: pa.Table) -> _Shard:
     count = np.minimum(np.add.reduceat(n[live], first), 2) if len(live) else n[:0]
     starts = new_key[first]
     alone = starts & np.append(starts[1:], True)[: len(first)]
-    return _Shard(chunk[live], index[live], np.cumsum(new) - 1, least[live], first, count, alone)
+    return _Shard(chunk[live], index[live], np.cumsum(new) - 1, least[live], first, count, alone, np.cumsum(starts))
 
 
 def _wanted(shard_table: pa.Table) -> pa.Table:
@@ -195,13 +206,13 @@ def _wanted(shard_table: pa.Table) -> pa.Table:
     return _table(rows, [("chunk", pa.int32()), ("shard", pa.int32()), ("body", pa.binary())])
 
 
-def _texts(task: Task, shards: int):
+def _texts(task: Task, shards: int, common):
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         rows = []
         if len(texts) and len(wanted):
             chunk = texts.column("chunk")[0].as_py()
-            c = _chunk(texts, task, shards)
-            edges = np.searchsorted(c.shard, np.arange(shards + 1))
+            c = _chunk(texts, task, shards, common)
+            edges = _Edges(c.shard)
             asked = {s: np.frombuffer(b, "<u4") for s, b in zip(wanted.column("shard").to_pylist(), wanted.column("body").to_pylist(), strict=True)}
             flat = np.concatenate([edges[s] + i for s, i in asked.items()])
             sent: dict[int, np.ndarray] = {}
@@ -221,6 +232,29 @@ def _texts(task: Task, shards: int):
     return run
 
 
+class _Edges:
+    """Where a shard's records begin among those of a chunk."""
+
+    def __init__(self, shard: np.ndarray) -> None:
+        self.shard = shard
+
+    def __getitem__(self, s: int) -> int:
+        return int(np.searchsorted(self.shard, s))
+
+
+def _batches(owner: np.ndarray, symbols: np.ndarray):
+    """Ranges of runs with about INDEXED symbols; runs of one owner gram stay together."""
+    if not len(owner):
+        return
+    ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(owner))
+    reached = np.cumsum(symbols)[ends - 1]
+    start, done = 0, 0
+    while start < len(owner):
+        k = max(int(np.searchsorted(reached, done + INDEXED, "right")) - 1, int(np.searchsorted(ends, start, "right")))
+        yield start, int(ends[k])
+        start, done = int(ends[k]), int(reached[k])
+
+
 def _decided(task: Task, s: _Shard, several: np.ndarray, sent: pa.Table):
     """(run, length, value): pieces of the runs whose windows other runs may hold."""
     senders = s.first[several]
@@ -235,7 +269,13 @@ def _decided(task: Task, s: _Shard, several: np.ndarray, sent: pa.Table):
         for i, size, end in zip(np.frombuffer(index, "<u4").tolist(), n.tolist(), ends.tolist(), strict=True):
             k = at[chunk, i]
             texts[k], windows[k] = symbols[end - size - task.width + 1 : end], size
-    values = task.resolve(texts, windows, s.least[senders], s.count[several], task.width)
+    least, count = s.least[senders], s.count[several]
+    values = np.concatenate(
+        [
+            task.resolve(texts[a:b], windows[a:b], least[a:b], count[a:b], task.width)
+            for a, b in _batches(s.owner[several], windows + task.width - 1)
+        ]
+    )
     begins = np.cumsum(windows) - windows
     change = np.ones(len(values), bool)
     change[1:] = values[1:] != values[:-1]
@@ -280,12 +320,12 @@ def _answers(task: Task):
     return run
 
 
-def _marked(task: Task, shards: int, columns: list):
+def _marked(task: Task, shards: int, common, columns: list):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(texts):
             return _table([], columns)
-        c = _chunk(texts, task, shards)
-        edges = np.searchsorted(c.shard, np.arange(shards + 1))
+        c = _chunk(texts, task, shards, common)
+        edges = _Edges(c.shard)
         record, length, value = [np.zeros(0, "i8")], [np.zeros(0, "i8")], [np.zeros(0, "i8")]
         for s, index, n, v in zip(*(answers.column(x).to_pylist() for x in ("shard", "index", "n", "values")), strict=True):
             record.append(edges[s] + np.frombuffer(index, "<u4"))
@@ -321,28 +361,56 @@ def _marked(task: Task, shards: int, columns: list):
     return run
 
 
+def _sampled(task: Task):
+    """Rows (gram, n): in how many of the task's documents a gram occurs, if in several."""
+
+    def run(batches):
+        found = []
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                hashes = task.symbols([text.encode()])[0]
+                if len(hashes) >= task.gram:
+                    found.append(np.unique(gram_hashes(hashes, task.gram)[0]))
+        grams, n = np.unique(np.concatenate(found or [np.zeros(0, "u8")]), return_counts=True)
+        grams, n = grams[n > 1], n[n > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(grams.view("i8")), pa.array(n, pa.int64())], ["gram", "n"])
+
+    return run
+
+
+def _common_grams(rows: DataFrame, n_docs: int, task: Task) -> np.ndarray | None:
+    """The table of grams that several documents of a sample hold; None if there are none."""
+    share = SAMPLE / max(1, n_docs)
+    sample = rows.where(uniform(F.lit(31), F.col("doc_id"), F.col("key")) < share).select("text").repartition(SAMPLERS)
+    counts = sample.mapInArrow(_sampled(task), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    counts = counts.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "gram").limit(MOST_COMMON)
+    grams = np.array([r["gram"] for r in counts.select("gram").collect()], "i8").view("u8")
+    return common_table(grams) if len(grams) else None
+
+
 def without_repeats(docs: DataFrame, task: Task, columns: list) -> DataFrame:
     """A row for each row of ``docs``: ``columns`` (name, Arrow type), made by the task's ``finish``.
 
     The texts cross the network once; that exchange serves the three passes over the chunks.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // CHUNK_BYTES))
-    chunk = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(parts)).cast("int")
+    rows = docs.select(F.col("doc_id").cast("bigint"), content_key().alias("key"), text_of().alias("text"))
+    n_docs, total = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    parts = max(1, -(-(total or 0) // CHUNK_BYTES))
+    common = docs.sparkSession.sparkContext.broadcast(_common_grams(rows, n_docs, task))
+    chunk = F.pmod(F.xxhash64(F.lit(17), "doc_id", "key"), F.lit(parts)).cast("int")
     texts = rows.withColumn("chunk", chunk)
     by_chunk = texts.groupBy("chunk")
     records = by_chunk.applyInArrow(
-        _summaries(task, parts), "shard int, chunk int, base bigint, body binary, ids binary"
+        _summaries(task, parts, common), "shard int, chunk int, base bigint, body binary, ids binary"
     )
     by_shard = records.groupBy("shard")
     wanted = by_shard.applyInArrow(_wanted, "chunk int, shard int, body binary")
     sent = by_chunk.cogroup(wanted.groupBy("chunk")).applyInArrow(
-        _texts(task, parts), "shard int, chunk int, index binary, n binary, body binary"
+        _texts(task, parts, common), "shard int, chunk int, index binary, n binary, body binary"
     )
     answers = by_shard.cogroup(sent.groupBy("shard")).applyInArrow(
         _answers(task), "chunk int, shard int, index binary, n binary, values binary"
     )
     return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(
-        _marked(task, parts, columns), task.schema
+        _marked(task, parts, common, columns), task.schema
     )

@@ -4,6 +4,9 @@ Every window of ``width`` symbols is owned by the smallest hash (of ties the lef
 grams of ``gram`` symbols inside it. Which gram that is depends on the window's content alone, so
 equal windows anywhere have equal owners at equal offsets. Consecutive windows share an owner: a
 *run* of about (width - gram) / 2 windows is one record instead of one per window.
+
+Grams that are known to be common own a window only if it holds no other: a line that many
+documents share would otherwise own the windows over its edges, which differ in every document.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ _SHIFT = np.uint64(29)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 #: Symbols that are hashed at once.
 AT_ONCE = 400_000
+#: High bits of a gram's hash that say whether it counts as common.
+COMMON_BITS = 22
 
 
 class Runs(NamedTuple):
@@ -74,11 +79,22 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def _runs_of(h: np.ndarray, ends: np.ndarray, width: int, gram: int) -> Runs:
+def common_table(grams: np.ndarray) -> np.ndarray:
+    """Whether a gram is common, by the high bits of its hash. A few others share them, which does no harm."""
+    table = np.zeros(1 << COMMON_BITS, bool)
+    table[grams >> np.uint64(64 - COMMON_BITS)] = True
+    return table
+
+
+def _runs_of(h: np.ndarray, ends: np.ndarray, width: int, gram: int, common: np.ndarray | None) -> Runs:
     """Runs of a block; ``ends`` says for each symbol where its sequence ends."""
     grams, windows = gram_hashes(h, gram, width)
-    at = np.arange(len(grams), dtype="u8")
-    own = (_sliding_min((grams & _HIGH) | at, width - gram + 1) & np.uint64(0xFFFFFFFF)).astype("i8")
+    rank = grams >> np.uint64(1)
+    if common is not None:
+        rank |= common[grams >> np.uint64(64 - COMMON_BITS)].astype("u8") << np.uint64(63)
+    rank &= _HIGH
+    rank |= np.arange(len(grams), dtype="u8")
+    own = (_sliding_min(rank, width - gram + 1) & np.uint64(0xFFFFFFFF)).astype("i8")
     start = np.arange(len(own))
     valid = start + width <= ends[: len(own)]
     edge = np.empty(len(own), bool)
@@ -94,9 +110,11 @@ def _runs_of(h: np.ndarray, ends: np.ndarray, width: int, gram: int) -> Runs:
     return Runs(grams[owner], context, begin, n, owner)
 
 
-def runs(h: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> Runs:
+def runs(h: np.ndarray, bounds: np.ndarray, width: int, gram: int, common: np.ndarray | None = None) -> Runs:
     """Runs over sequences that lie one after another; sequence k is bounds[k]:bounds[k + 1].
 
+    ``common`` is a :func:`common_table`, the same for all sequences whose windows are to meet.
+
     Blocks of AT_ONCE symbols bound the memory; a run that crosses from one block to the next is
     given as two, which are the same windows.
     """
@@ -106,7 +124,7 @@ def runs(h: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> Runs:
         stop = min(len(h), start + AT_ONCE + width - 1)
         if stop - start < width:
             break
-        r = _runs_of(h[start:stop], ends[start:stop] - start, width, gram)
+        r = _runs_of(h[start:stop], ends[start:stop] - start, width, gram, common)
         parts.append(r._replace(begin=r.begin + start, owner=r.owner + start))
     if not parts:
         none = np.zeros(0, "i8")
