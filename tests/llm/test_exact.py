@@ -120,6 +120,20 @@ def test_token_counts_are_the_librarys(spark):
     assert token_counts.token_counts(docs(spark, []), path).count() == 0
 
 
+def test_pretokens_of_all_scripts_are_looked_up(spark, monkeypatch):
+    path = public_tokenizers.path(token_counts.TOKENIZER)
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["中文 字符 中文。", "สวัสดี ครับ", "مرحبا بالعالم 123", "ok 😀😀 ™ x", "नमस्ते दुनिया", "a\u2028b \u3000 c", "한국어 텍스트 <|endoftext|> 中", "Ⅷ ½ ٣٤ x\u00a0y", "q" * 400 + " 中", "\U0001f468\u200d\U0001f469"]
+    split = token_counts._splitter(path)
+    for text in texts[:6]:
+        assert "".join(split(text)) == text
+    monkeypatch.setattr(token_counts, "AT_ONCE", 5)
+    got = token_counts.token_counts(docs(spark, list(zip(range(len(texts)), texts, [None] * len(texts), strict=True))), path)
+    assert {r["doc_id"]: r["n_tokens"] for r in got.collect()} == {i: len(tokenizer.encode(t, add_special_tokens=False)) for i, t in enumerate(texts)}
+    frequent = token_counts.frequent_pretokens(docs(spark, [(1, "中文 中文", None), (2, "y" * 100, None)]), path)
+    assert sorted(frequent) == [" 中文", "中文"]  # none that is longer than the bound
+
+
 def test_a_full_summary_keeps_the_most_frequent(monkeypatch):
     from collections import Counter
 

@@ -41,6 +41,45 @@ def test_language_by_words_and_by_grams(spark):
     assert language_id.identify(df.limit(0), language_id.learn(df.limit(0))).count() == 0
 
 
+def brute_language(model, text):
+    """Languages' sums of log frequencies, unit by unit: a word, else the longest n-grams that are known."""
+    total = np.zeros(len(model["langs"]))
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        if (0, word) in model["index"]:
+            total += model["table"][model["index"][0, word]]
+            continue
+        for n in (4, 3, 2, 1):
+            marked = word if n == 1 else f"\x02{word}\x03"
+            rows = [model["index"][n, marked[i : i + n]] for i in range(len(marked) - n + 1) if (n, marked[i : i + n]) in model["index"]]
+            if rows:
+                total += np.mean([model["table"][r] for r in rows], axis=0)
+                break
+    share = np.exp(total - total.max())
+    return model["langs"][int(total.argmax())], float(share.max() / share.sum())
+
+
+def test_scores_and_shares_of_unequal_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "WORDS", 160)
+    monkeypatch.setattr(language_id, "GRAMS", 800)
+    random.seed(4)
+    rows, vocabulary = [], {}
+    for k in range(8):
+        letters = [chr(97 + 3 * k + j) for j in range(3)]
+        vocabulary[f"l{k}"] = ["".join(random.choices(letters, k=random.randint(3, 7))) for _ in range(400 if k < 2 else 20)]
+        rows += [(len(rows) + j, " ".join(random.choices(vocabulary[f"l{k}"], k=40)), f"l{k}") for j in range(300 if k < 2 else 12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.learn(df)
+    for k in range(8):
+        known = sum((0, w) in model["index"] for w in set(vocabulary[f"l{k}"]))
+        assert known >= 15  # none is crowded out by the large ones
+    assert sum(n == 0 for n, _ in model["index"]) <= 160 and sum(n > 0 for n, _ in model["index"]) <= 800
+    texts = [" ".join(random.choices(vocabulary[f"l{random.randrange(8)}"], k=5)) + " zyx qrst " + random.choice("abz") for _ in range(60)]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in language_id.identify(asked, model).collect():
+        lang, score = brute_language(model, texts[r["doc_id"]])
+        assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-3)
+
+
 @needs_tables
 def test_held_out_accuracy_of_language(spark):
     got = queries.op5_language_id(spark, SF_DIR)

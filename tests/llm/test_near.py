@@ -158,6 +158,32 @@ def test_tight_groups_larger_than_the_beam_link_across(spark):
     assert {(r["n_links"], r["component_id"]) for r in got} == {(399, 0)}
 
 
+def brute_links(x):
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    return near
+
+
+def test_a_chain_of_dense_groups_over_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD", 150)
+    monkeypatch.setattr(hnsw, "SMALL_BLOCK", 16)
+    random = np.random.default_rng(14)
+    step = np.arccos(0.945)
+    groups = []
+    for k, size in enumerate((120, 60, 40, 90)):
+        centre = np.zeros(24)
+        centre[:2] = np.cos(k * step), np.sin(k * step)
+        groups.append(centre + np.concatenate([np.zeros((size, 2)), random.normal(0, 0.006, (size, 22))], axis=1))
+    x = np.concatenate([*groups, random.normal(0, 1, (100, 24))]).astype("f4").astype("f8")
+    near = brute_links(x)
+    assert near[0, 120:180].all() and not near[0, 180:310].any()
+    group = groups_of(len(x), list(zip(*np.nonzero(near), strict=True)))
+    rows = [(i, v.tolist(), 0, None) for i, v in enumerate(x)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in hnsw.embedding_groups(vectors(spark, rows)).collect()}
+    assert got == {i: (int(near[i].sum()), group[i]) for i in range(len(x))}
+
+
 def test_links_are_folded_in_parts(monkeypatch):
     random = np.random.default_rng(9)
     x = random.normal(0, 1, (90, 16))

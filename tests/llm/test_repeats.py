@@ -149,3 +149,78 @@ def test_far_apart_ids_and_an_empty_table(spark):
     assert got == {2**62: len(text), -(2**62): 0, 5: len(text)}
     assert suffix_dedup.without_earlier_substrings(df.limit(0)).count() == 0
     assert window_dedup.without_repeated_windows(df.limit(0)).count() == 0
+
+
+def lines_in_every_document(n, seed=1):
+    """Documents of random text around one line that all of them hold."""
+    source = random.Random(seed)
+    line = "This text may be used, copied and passed on by anyone, as long as this line stays in it."
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+
+    def noise(k):
+        return "".join(source.choice(letters) for _ in range(k))
+
+    return [(i, noise(300) + line + noise(300)) for i in range(n)]
+
+
+@pytest.mark.parametrize("common", [3, 10**9])
+def test_a_line_in_every_document_is_dealt_to_all_shards(spark, monkeypatch, common):
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 40_000)
+    monkeypatch.setattr(repeats, "COMMON", common)
+    monkeypatch.setattr(repeats, "INDEXED", 3_000)
+    rows = lines_in_every_document(600)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sent = []
+    plain = repeats._wanted
+
+    def counted(table):
+        out = plain(table)
+        shard = table.column("shard")[0].as_py()
+        total = sum(len(b) // 4 for b in out.column("body").to_pylist())
+        return repeats._table([(shard, -1, total.to_bytes(8, "little"))], [("chunk", repeats.pa.int32()), ("shard", repeats.pa.int32()), ("body", repeats.pa.binary())])
+
+    monkeypatch.setattr(repeats, "_wanted", counted)
+    task = repeats.Task(50, 24, suffix_dedup._symbols, suffix_dedup.first_ids, suffix_dedup._finish, "", True)
+    texts = df.select("doc_id", repeats.content_key().alias("key"), "text")
+    grams = repeats._common_grams(texts, len(rows), task)
+    shards = 10
+    common_table = spark.sparkContext.broadcast(grams)
+    chunks = texts.withColumn("chunk", repeats.F.expr(f"cast(doc_id % {shards} as int)"))
+    records = chunks.groupBy("chunk").applyInArrow(repeats._summaries(task, shards, common_table), "shard int, chunk int, base bigint, body binary, ids binary")
+    for r in records.groupBy("shard").applyInArrow(counted, "chunk int, shard int, body binary").collect():
+        sent.append(int.from_bytes(r["body"], "little"))
+    # grams that are told to be common spread what lies over the line's edges
+    assert (max(sent) <= 3 * sorted(sent)[len(sent) // 2]) == (common == 3)
+    monkeypatch.setattr(repeats, "_wanted", plain)
+    got = suffix_dedup.without_earlier_substrings(df).collect()
+    found = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got)
+    assert found == brute_bytes(rows, 50)
+
+
+def test_word_windows_of_the_contracts_width(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(repeats, "INDEXED", 500)
+    source = random.Random(6)
+    words = [f"w{i}" for i in range(60)]
+    shared = [[source.choice(words) for _ in range(k)] for k in (34, 35, 36, 60, 90)]
+    rows = []
+    for i in range(150):
+        parts = [source.choice(words) for _ in range(source.randint(0, 60))]
+        for _ in range(source.randint(0, 2)):
+            piece = source.choice(shared)
+            parts += piece[source.randint(0, 10) :] + [source.choice(words) for _ in range(source.randint(0, 9))]
+        rows.append((None if i % 7 == 0 else i % 40, " ".join(parts)))
+    rows += [(None, "x y " * 60), (3, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = window_dedup.without_repeated_windows(df).collect()
+    found = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"]) for r in got)
+    assert found == brute_words(rows, 35)
+
+
+def test_batches_hold_whole_owner_grams(monkeypatch):
+    monkeypatch.setattr(repeats, "INDEXED", 10)
+    owner = np.repeat([1, 2, 3, 9, 10], [2, 1, 5, 1, 1])
+    symbols = np.array([4, 4, 3, 9, 9, 9, 9, 9, 1, 1])
+    found = list(repeats._batches(owner, symbols))
+    assert found == [(0, 2), (2, 3), (3, 8), (8, 10)]
+    assert [b for _, b in found][-1] == len(owner) and list(repeats._batches(owner[:0], symbols[:0])) == []
