@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,9 +51,33 @@ def label_vector(value: Column, length: int, low: Column | None = None, high: Co
     return F.transform(places, lambda t: F.when((t >= low) & (t <= high), value).otherwise(NODATA).cast("int"))
 
 
-def label_positions(positions: Column, length: int, value: Column, window: int = 0) -> Column:
-    """Labels around one or more positions: from the first less to the last plus ``window``."""
-    return label_vector(value, length, F.array_min(positions) - window, F.array_max(positions) + window)
+def label_at(position: Column, length: int, value: Column, jitter: int = 0, window: int = 0, seed: int = 42, key: Column | None = None) -> Column:
+    """Labels at one position, moved by ``jitter`` and then widened by ``window``; everywhere if it is null."""
+    moved = jittered(position, length, jitter, seed, key) if jitter else position
+    return F.when(position.isNull(), label_vector(value, length)).otherwise(
+        label_vector(value, length, moved - window, moved + window)
+    )
+
+
+def label_positions(positions: Column, length: int, value: Column, window: int = 0, jitter: int = 0, seed: int = 42, key: Column | None = None) -> Column:
+    """Labels at the positions of a list and nowhere between them; everywhere if it is null.
+
+    With ``window``, from the first less to the last plus so many. With ``jitter``, all positions
+    move together by up to so many, within the series. With both, a hash of the key takes one.
+    """
+    places = F.sequence(F.lit(0), F.lit(length - 1))
+    moved = positions
+    if jitter:
+        move = (hash_number(seed, key) % (2 * jitter + 1)).cast("int") - jitter
+        moved = F.transform(positions, lambda p: clip(p + move, 0, length - 1))
+    exact = F.transform(places, lambda t: F.when(F.array_contains(moved, t), value).otherwise(NODATA).cast("int"))
+    if not window:
+        out = exact
+    else:
+        out = label_vector(value, length, F.array_min(positions) - window, F.array_max(positions) + window)
+        if jitter:
+            out = F.when(hash_number(seed + 1, key) % 2 == 0, exact).otherwise(out)
+    return F.when(positions.isNull(), label_vector(value, length)).otherwise(out)
 
 
 def class_index(cls: Column, classes: list[str]) -> Column:
@@ -72,6 +98,29 @@ def masked_from(values: Column, position) -> Column:
     return F.transform(values, lambda v, i: F.when(i >= position, float(NODATA)).otherwise(v))
 
 
+def uniform_number(seed: int, *columns: Column) -> Column:
+    """A number between 0 and 1, both left out, by the columns' text."""
+    return (hash_number(seed, *columns) + 0.5) / float(1 << 32)
+
+
+def skewed_number(seed: int, key: Column) -> Column:
+    """A draw from the beta distribution of 1.5 and 2.5, which leans to 0, by a hash.
+
+    Gamma variables of those shapes are exponentials plus half a squared normal; the two normals
+    come from one Box-Muller pair.
+    """
+    u = [uniform_number(seed + k, key) for k in range(5)]
+    radius, angle = -F.ln(u[3]), 2 * math.pi * u[4]
+    a = -F.ln(u[0]) + radius * F.cos(angle) * F.cos(angle)
+    b = -F.ln(u[1]) - F.ln(u[2]) + radius * F.sin(angle) * F.sin(angle)
+    return a / (a + b)
+
+
+def mask_position(low: int, high: int, seed: int, key: Column) -> Column:
+    """A position from ``low`` to ``high``, early ones likelier, by a hash."""
+    return clip(F.floor(low + skewed_number(seed, key) * (high - low)).cast("int"), low, high)
+
+
 def sigmoid(logit: Column) -> Column:
     return 1 / (1 + F.exp(-logit))
 

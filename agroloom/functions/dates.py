@@ -21,6 +21,11 @@ def align(date: Column, frequency: str) -> Column:
     return F.make_date(F.year(date), F.month(date), start)
 
 
+def timesteps_per_year(frequency: Column) -> Column:
+    """Timesteps of a year by the name of a frequency; null for another."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in PER_YEAR.items() for x in pair]), frequency)
+
+
 def timestamps(start: Column, end: Column, frequency: str) -> Column:
     """An array of (day, month, year): the windows from that of ``start`` to that of ``end``."""
     first, last = align(start, frequency), align(end, frequency)

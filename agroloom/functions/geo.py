@@ -20,14 +20,26 @@ FALSE_NORTHING = 10000000.0
 # End of fixed values.
 
 _N = FLATTENING / (2 - FLATTENING)
-#: Radius of the rectifying sphere, and the coefficients of Krüger's series, to the third order.
+#: Radius of the rectifying sphere, and the coefficients of Krüger's series to the third order: from
+#: the sphere, back to it, and from its latitudes to those of the ellipsoid.
 _RECTIFYING = SEMI_MAJOR / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
 _ALPHA = (
     _N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16,
     13 * _N**2 / 48 - 3 * _N**3 / 5,
     61 * _N**3 / 240,
 )
+_BETA = (
+    _N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96,
+    _N**2 / 48 + _N**3 / 15,
+    17 * _N**3 / 480,
+)
+_DELTA = (
+    2 * _N - 2 * _N**2 / 3 - 2 * _N**3,
+    7 * _N**2 / 3 - 8 * _N**3 / 5,
+    56 * _N**3 / 15,
+)
 _ECC = 2 * math.sqrt(_N) / (1 + _N)
+WGS84, WEB_MERCATOR = 4326, 3857
 
 
 def point(x: Column, y: Column) -> Column:
@@ -40,6 +52,11 @@ def rectangle(west: Column, south: Column, east: Column, north: Column) -> Colum
     return F.array(F.array(*[point(x, y) for x, y in corners]))
 
 
+def box_rectangle(box: Column) -> Column:
+    """The polygon of a box (west, south, east, north)."""
+    return rectangle(*[box[c] for c in ("west", "south", "east", "north")])
+
+
 def mercator_x(lon: Column) -> Column:
     return F.radians(lon) * SEMI_MAJOR
 
@@ -64,19 +81,78 @@ def utm(lon: Column, lat: Column, epsg: Column) -> Column:
     """(x, y) in the UTM zone of each row's own code; null for other codes."""
     away = F.radians(lon - (utm_zone(epsg) * 6 - 183))
     sine = F.sin(F.radians(lat))
-    t = F.sinh(F.atanh(sine) - _ECC * F.atanh(_ECC * sine))
-    xi = F.atan2(t, F.cos(away))
-    eta = F.atanh(F.sin(away) / F.sqrt(1 + t * t))
-    east, north = eta, xi
-    for j, a in enumerate(_ALPHA, 1):
-        east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        north = north + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    false_north = F.when(epsg > 32700, FALSE_NORTHING).otherwise(0.0)
-    known = epsg.between(32601, 32660) | epsg.between(32701, 32760)
-    place = point(
-        FALSE_EASTING + UTM_SCALE * _RECTIFYING * east, false_north + UTM_SCALE * _RECTIFYING * north
+
+    def conformal(s: Column) -> Column:
+        t = _bound(F.sinh(F.atanh(s["sine"]) - _ECC * F.atanh(_ECC * s["sine"])))
+        return t(lambda t: point(F.atanh(F.sin(s["away"]) / F.sqrt(1 + t * t)), F.atan2(t, F.cos(s["away"]))))
+
+    def projected(p: Column) -> Column:
+        east, north = _series(p, _ALPHA)
+        scale = UTM_SCALE * _RECTIFYING
+        return point(FALSE_EASTING + scale * east, _false_north(epsg) + scale * north)
+
+    start = _bound(F.struct(away.alias("away"), sine.alias("sine")))
+    return F.when(_in_utm(epsg), _bound(start(conformal))(projected))
+
+
+def utm_lonlat(x: Column, y: Column, epsg: Column) -> Column:
+    """(longitude, latitude) as (x, y) from the UTM zone of each row's own code; null for other codes."""
+    scale = UTM_SCALE * _RECTIFYING
+    flat = _bound(point((x - FALSE_EASTING) / scale, (y - _false_north(epsg)) / scale))
+
+    def sphere(p: Column) -> Column:
+        east, north = _series(p, [-b for b in _BETA])
+        return point(east, north)
+
+    def angles(p: Column) -> Column:
+        latitude = _bound(F.asin(F.sin(p["y"]) / F.cosh(p["x"])))
+        lat = latitude(
+            lambda c: sum((d * F.sin(2 * j * c) for j, d in enumerate(_DELTA, 1)), c)
+        )
+        lon = F.degrees(F.atan2(F.sinh(p["x"]), F.cos(p["y"]))) + (utm_zone(epsg) * 6 - 183)
+        return point(lon, F.degrees(lat))
+
+    return F.when(_in_utm(epsg), _bound(flat(sphere))(angles))
+
+
+def _bound(value: Column):
+    """A function that gives ``use(value)``, in which ``value`` is computed once however often it is used."""
+    return lambda use: F.transform(F.array(value), use)[0]
+
+
+def _series(p: Column, factors) -> tuple[Column, Column]:
+    """Krüger's series at (x, y), with these factors."""
+    east, north = p["x"], p["y"]
+    for j, a in enumerate(factors, 1):
+        east = east + a * F.cos(2 * j * p["y"]) * F.sinh(2 * j * p["x"])
+        north = north + a * F.sin(2 * j * p["y"]) * F.cosh(2 * j * p["x"])
+    return east, north
+
+
+def _false_north(epsg: Column) -> Column:
+    return F.when(epsg > 32700, FALSE_NORTHING).otherwise(0.0)
+
+
+def _in_utm(epsg: Column) -> Column:
+    return epsg.between(32601, 32660) | epsg.between(32701, 32760)
+
+
+def reprojected(x: Column, y: Column, source: Column, target: Column) -> Column:
+    """(x, y) from one code to another: WGS84, Web Mercator or a UTM zone; null for other codes."""
+    lonlat = (
+        F.when(source == WGS84, point(x, y))
+        .when(source == WEB_MERCATOR, point(mercator_lon(x), mercator_lat(y)))
+        .otherwise(utm_lonlat(x, y, source))
     )
-    return F.when(known, place)
+
+    def onward(p: Column) -> Column:
+        return (
+            F.when(target == WGS84, p)
+            .when(target == WEB_MERCATOR, point(mercator_x(p["x"]), mercator_y(p["y"])))
+            .otherwise(utm(p["x"], p["y"], target))
+        )
+
+    return F.when(source == target, point(x, y)).otherwise(_bound(lonlat)(onward))
 
 
 def mapped(rings: Column, place) -> Column:

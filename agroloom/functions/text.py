@@ -22,9 +22,14 @@ def label_tokens(label: Column) -> Column:
     return F.transform(F.split(label, " "), lambda t: F.replace(t, F.lit("yes_"), F.lit("")))
 
 
+def distinct_sorted(values: Column) -> Column:
+    """The distinct values of a list, in order."""
+    return F.array_sort(F.array_distinct(values))
+
+
 def split_label(label: Column) -> Column:
     """The distinct crops that a label names, sorted."""
-    return F.array_sort(F.array_distinct(label_tokens(label)))
+    return distinct_sorted(label_tokens(label))
 
 
 def mgrs_to_epsg(tile: Column) -> Column:

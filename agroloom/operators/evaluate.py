@@ -9,17 +9,21 @@ from ..functions.arrays import argmax, index_class, masked_from, sigmoid, softma
 from ..functions.bands import NODATA
 
 
-def confusion_matrix(df: DataFrame, true: str, pred: str, labels: list[str] | None = None) -> DataFrame:
-    """Rows (true_class, pred_class, n) for all pairs of labels; by default the labels that occur."""
-    counts = df.groupBy(F.col(true).alias("true_class"), F.col(pred).alias("pred_class")).agg(F.count("*").alias("n"))
+def confusion_matrix(df: DataFrame, true: str, pred: str, labels: list[str] | None = None, by: list[str] = ()) -> DataFrame:
+    """Rows (true_class, pred_class, n) for all pairs of labels; by default the labels that occur.
+
+    ``by`` names columns that each have a matrix for each of their values.
+    """
+    counts = df.groupBy(*by, F.col(true).alias("true_class"), F.col(pred).alias("pred_class")).agg(F.count("*").alias("n"))
+    # classes are few by nature: a row for each group holds their list
     if labels is None:
-        names = counts.select(F.col("true_class").alias("c")).union(counts.select("pred_class")).distinct()
+        both = F.array_distinct(F.flatten(F.collect_set(F.array("true_class", "pred_class"))))
+        names = counts.groupBy(*by).agg(both.alias("c"))
     else:
-        names = df.sparkSession.createDataFrame([(c,) for c in labels], "c string")
-    # the grid has a cell for each pair of classes, which are few by nature
-    grid = names.select(F.col("c").alias("true_class")).crossJoin(names.select(F.col("c").alias("pred_class")))
-    return grid.join(counts, ["true_class", "pred_class"], "left").select(
-        "true_class", "pred_class", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+        names = counts.groupBy(*by).agg(F.array(*map(F.lit, labels)).alias("c"))
+    grid = names.select(*by, F.explode("c").alias("true_class"), "c").select(*by, "true_class", F.explode("c").alias("pred_class"))
+    return grid.join(counts, [*by, "true_class", "pred_class"], "left").select(
+        *by, "true_class", "pred_class", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
     )
 
 
@@ -33,28 +37,28 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(0.0)
 
 
-def class_figures(matrix: DataFrame) -> DataFrame:
+def class_figures(matrix: DataFrame, by: list[str] = ()) -> DataFrame:
     """Rows (class, precision, recall, f1, support, hits) from a confusion matrix."""
     hit = F.when(F.col("true_class") == F.col("pred_class"), F.col("n")).otherwise(0)
-    by_true = matrix.groupBy(F.col("true_class").alias("class")).agg(F.sum("n").alias("support"), F.sum(hit).alias("hits"))
-    by_pred = matrix.groupBy(F.col("pred_class").alias("class")).agg(F.sum("n").alias("predicted"))
-    rows = by_true.join(by_pred, "class")
+    by_true = matrix.groupBy(*by, F.col("true_class").alias("class")).agg(F.sum("n").alias("support"), F.sum(hit).alias("hits"))
+    by_pred = matrix.groupBy(*by, F.col("pred_class").alias("class")).agg(F.sum("n").alias("predicted"))
+    rows = by_true.join(by_pred, [*by, "class"])
     precision, recall = _ratio(F.col("hits"), F.col("predicted")), _ratio(F.col("hits"), F.col("support"))
     rows = rows.withColumns({"precision": precision, "recall": recall})
     f1 = _ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-    return rows.select("class", "precision", "recall", f1.alias("f1"), F.col("support").cast("double"), "hits")
+    return rows.select(*by, "class", "precision", "recall", f1.alias("f1"), F.col("support").cast("double"), "hits")
 
 
-def classification_report(matrix: DataFrame) -> DataFrame:
+def classification_report(matrix: DataFrame, by: list[str] = ()) -> DataFrame:
     """Rows (class, precision, recall, f1, support): each class, then accuracy and two averages.
 
-    The accuracy stands in all four columns of its row.
+    The accuracy stands in all four columns of its row. ``by`` as in :func:`confusion_matrix`.
     """
-    figures = class_figures(matrix)
+    figures = class_figures(matrix, by)
     names = ["precision", "recall", "f1"]
     support = F.sum("support")
     accuracy = _ratio(F.sum("hits").cast("double"), support)
-    total = figures.agg(
+    total = figures.groupBy(*by).agg(
         accuracy.alias("accuracy"), support.alias("support"),
         *[F.avg(c).alias(f"macro_{c}") for c in names],
         *[_ratio(F.sum(F.col(c) * F.col("support")), support).alias(f"weighted_{c}") for c in names],
@@ -66,7 +70,7 @@ def classification_report(matrix: DataFrame) -> DataFrame:
             for kind in ("macro", "weighted")
         ],
     )
-    summary = total.select(F.inline(rows))
+    summary = total.select(*by, F.inline(rows))
     return figures.drop("hits").unionByName(summary)
 
 
@@ -110,11 +114,9 @@ def valid_timesteps(df: DataFrame, true: str, pred: str) -> DataFrame:
 def masked_reports(df: DataFrame, series: str, true: str, positions: list[int], predict) -> DataFrame:
     """A report for each position from which the series is masked, tagged with the position.
 
-    ``predict`` maps a table and the series' name to the table with ``y_pred``.
+    ``predict`` maps a table and the series' name to the table with ``y_pred``. The positions are
+    exploded beside each row, so the table is read once.
     """
-    out = None
-    for k in positions:
-        masked = predict(df.withColumn(series, masked_from(F.col(series), k)), series)
-        report = classification_report(confusion_matrix(masked, true, "y_pred")).withColumn("masked_from", F.lit(k))
-        out = report if out is None else out.unionByName(report)
-    return out
+    rows = df.withColumn("masked_from", F.explode(F.array(*map(F.lit, positions))))
+    masked = predict(rows.withColumn(series, masked_from(F.col(series), F.col("masked_from"))), series)
+    return classification_report(confusion_matrix(masked, true, "y_pred", by=["masked_from"]), ["masked_from"])

@@ -17,9 +17,12 @@ def reset_failed(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("status", status)
 
 
-def build_job_table(grid: DataFrame, columns: list[str], start: str, end: str, shuffle: bool = False, seed: int = 42) -> DataFrame:
-    """A row for each tile: the columns, which must exist, and the dates of the job."""
-    jobs = keep_columns(grid, columns).withColumns({"start_date": F.lit(start), "end_date": F.lit(end)})
+def build_job_table(
+    grid: DataFrame, columns: list[str], start: str, end: str, shuffle: bool = False, seed: int = 42, renamed: dict[str, str] | None = None
+) -> DataFrame:
+    """A row for each tile: the columns, which must exist, some under new names, and the job's dates."""
+    dates = {name: F.to_date(F.lit(day)) for name, day in (("start_date", start), ("end_date", end))}
+    jobs = keep_columns(grid, columns).withColumnsRenamed(renamed or {}).withColumns(dates)
     return in_random_order(jobs, "tile_name", seed) if shuffle else jobs
 
 
@@ -29,6 +32,6 @@ def select_tiles(grid: DataFrame, names: list[str]) -> DataFrame:
 
 def latest_images(links: DataFrame, key: str, link_json: str) -> DataFrame:
     """Rows (key, latest_image): the latest date among the images that a key's links name."""
-    title = F.from_json(F.col(link_json), "title string")["title"]
+    title = F.get_json_object(F.col(link_json), "$.title")
     dated = links.select(key, image_date(title).alias("__d"))
     return dated.groupBy(key).agg(F.max("__d").alias("latest_image"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer
@@ -12,25 +13,31 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .evaluate import confusion_matrix, summary_metrics
+from .evaluate import classification_report, confusion_matrix, summary_metrics
 from .splits import stratified_folds
 
 
 def embed(df: DataFrame, load: Callable[[], Callable], key: str, column: str) -> DataFrame:
     """Rows (key, embedding) by a supplied encoder.
 
-    ``load`` runs once a task and gives a function from a list of inputs to a list of vectors; it
-    gets an Arrow batch at a time. The key travels with its row, so order never matters.
+    ``load`` runs once a task and gives a function from an Arrow batch's inputs, an array of a row
+    each, to their vectors, one row each. The key travels with its row, so order never matters.
+    Inputs of one batch have equal lengths; null inputs are the caller's to leave out.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load()
         for batch in batches:
-            vectors = [[float(v) for v in e] for e in encode(list(batch[column]))]
-            yield pd.DataFrame({key: batch[key], "embedding": vectors})
+            if not batch.num_rows:
+                continue
+            values = batch.column(column).flatten().to_numpy(zero_copy_only=False)
+            vectors = np.asarray(encode(values.reshape(batch.num_rows, -1)), "f4")
+            ends = pa.array(np.arange(0, vectors.size + 1, vectors.shape[1]), pa.int32())
+            rows = pa.ListArray.from_arrays(ends, pa.array(vectors.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column(key), rows], [key, "embedding"])
 
     kind = dict(df.dtypes)[key]
-    return df.select(key, column).mapInPandas(run, f"{key} {kind}, embedding array<float>")
+    return df.select(key, column).mapInArrow(run, f"{key} {kind}, embedding array<float>")
 
 
 def embedding_columns(df: DataFrame, column: str, length: int, prefix: str = "emb_") -> DataFrame:
@@ -75,23 +82,40 @@ def predict(df: DataFrame, model) -> DataFrame:
 
 
 def select_by_folds(df: DataFrame, label: str, key: str, n_classes: int, grid: list[int], k: int = 5, seed: int = 42):
-    """(rows (fold, trees, F1), the median of the best sizes): for each fold the size with the best F1.
+    """(rows (fold, trees, loss), the median of the best sizes): for each fold the size with the least loss.
 
-    The driver walks folds and sizes; each fit and each figure is a Spark job.
+    Of two classes, one fit of the largest size gives the loss on the fold's rest after each of its
+    trees, as boosting with early stopping has it, and the grid's sizes are read from that; of more
+    classes, each size is fitted, and the loss is 1 - F1. The driver walks folds and sizes; each
+    fit and each figure is a Spark job.
     """
     folded = stratified_folds(df, label, key, k, seed)
     rows = []
     for fold in range(k):
         train, rest = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        if n_classes == 2:
+            model = fit_classifier(train, label, n_classes, max(grid), seed=seed)
+            scored = model.stages[0].transform(with_features(rest))
+            losses = model.stages[-1].evaluateEachIteration(scored)
+            rows += [(fold, trees, float(losses[trees - 1])) for trees in grid]
+            continue
         for trees in grid:
             model = fit_classifier(train, label, n_classes, trees, seed=seed)
             figures = summary_metrics(confusion_matrix(predict(rest, model), label, "y_pred")).first()
-            rows.append((fold, trees, figures["F1"]))
-    table = df.sparkSession.createDataFrame(rows, "fold int, trees int, F1 double")
-    best = table.groupBy("fold").agg(F.max_by("trees", F.struct("F1", -F.col("trees"))).alias("trees"))
+            rows.append((fold, trees, 1 - figures["F1"]))
+    table = df.sparkSession.createDataFrame(rows, "fold int, trees int, loss double")
+    best = table.groupBy("fold").agg(F.min_by("trees", F.struct("loss", "trees")).alias("trees"))
     return table, median_iterations(best, "trees").first()[0]
 
 
+def fit_and_test(df: DataFrame, test: DataFrame, label: str, key: str, n_classes: int, grid: list[int], k: int = 5, seed: int = 42):
+    """(model, report): the size that folds of ``df`` select, fitted on all of ``df``, and the
+    classification report of its predictions on ``test``."""
+    _, trees = select_by_folds(df, label, key, n_classes, grid, k, seed)
+    model = fit_classifier(df, label, n_classes, trees, seed=seed)
+    return model, classification_report(confusion_matrix(predict(test, model), label, "y_pred"))
+
+
 def median_iterations(df: DataFrame, column: str) -> DataFrame:
     """One row: the median, without its fraction."""
     return df.agg(F.median(column).cast("int").alias("iterations"))

@@ -60,6 +60,19 @@ def nearest(points: DataFrame, known: DataFrame, radius: float, attributes: list
     return points.join(found, "point_id", "left")
 
 
+def align_crs(left: DataFrame, right: DataFrame, x: str = "x", y: str = "y", epsg: str = "epsg") -> DataFrame:
+    """``right`` with its coordinates in the code of ``left``, which must be one for the whole table.
+
+    Rows whose code is that one stay as they are; other known ones are moved.
+    """
+    codes = [r[0] for r in left.select(epsg).distinct().limit(2).collect()]
+    if len(codes) != 1 or codes[0] is None:
+        raise ValueError(f"the left table needs one code, not {codes}")
+    target = F.lit(codes[0])
+    moved = right.withColumn("__p", geo.reprojected(F.col(x), F.col(y), F.col(epsg), target))
+    return moved.withColumns({x: F.col("__p.x"), y: F.col("__p.y"), epsg: target}).drop("__p")
+
+
 def tile_cover(boxes: DataFrame, size: float, in_metres: bool = False) -> DataFrame:
     """A row for each tile of each box (west, south, east, north), clipped to the box.
 
@@ -106,6 +119,24 @@ def country_grid(boxes: DataFrame, border: Column, size: float, prefix: str, in_
     return block_names(tiles_meeting(tile_cover(boxes, size, in_metres), border), prefix)
 
 
+def country_grid_job(borders: DataFrame, country: str, epsg: int, size: float, prefix: str) -> DataFrame:
+    """Rows (tile_name, west, south, east, north, rings) of a country's tiles, in metres.
+
+    The country's row of ``borders`` (name, polygons) is found by name; its first polygon, moved
+    from longitude and latitude to the UTM zone, gives the box that tiles cover and the border that
+    they have to meet. No row of that name is an error.
+    """
+    found = borders.where(F.col("name") == country).select(geo.first_polygon(F.col("polygons")).alias("first"))
+    code = F.lit(epsg)
+    found = found.select(geo.mapped(F.col("first"), lambda x, y: geo.utm(x, y, code)).alias("__border"))
+    if found.isEmpty():
+        raise ValueError(f"no border of {country!r}")
+    boxes = found.select("__border", geo.bounds(F.col("__border")).alias("b")).select("__border", "b.*")
+    tiles = tiles_meeting(tile_cover(boxes, size, in_metres=True), F.col("__border")).drop("__border")
+    named = block_names(tiles, prefix)
+    return named.withColumn("rings", geo.rectangle(*[F.col(c) for c in ("west", "south", "east", "north")]))
+
+
 def utm_enriched(units: DataFrame, tiles: DataFrame, key: str, cell: float, web_mercator: bool = False) -> DataFrame:
     """Units (key, rings) with their MGRS tile, its UTM code and the polygon's text in that zone.
 

@@ -39,13 +39,18 @@ def recode_land_use(df: DataFrame) -> DataFrame:
     df = df.withColumn("lu_code", F.coalesce("lu_code", F.lit(UNDECIDED)))
     df = df.withColumn("lu_code", F.coalesce(code_from_number(F.col("lu_code")), F.col("lu_code")))
     number = code_from_number(F.col("landuse"))
-    named = F.when(F.col("landuse").rlike(r"^[1-9]\.0(e0)?$"), land_use_name(number)).otherwise(F.col("landuse"))
+    named = F.when(F.col("landuse").rlike(r"^[1-9]\.0$"), land_use_name(number)).otherwise(F.col("landuse"))
     df = df.withColumn("landuse", F.coalesce(named, land_use_name(F.col("lu_code"))))
     return df.withColumn("croptype", F.coalesce("croptype", "landuse"))
 
 
-def join_survey(survey: DataFrame, desk: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
-    """All desk rows with their survey rows; other columns that both have end in ``_x`` and ``_y``."""
+def join_survey(survey: DataFrame, desk: DataFrame, key: tuple[str, ...] = KEY, geometry: str | None = None) -> DataFrame:
+    """All desk rows with their survey rows; other columns that both have end in ``_x`` and ``_y``.
+
+    ``geometry`` names a column that is the desk's alone in the result, under its own name.
+    """
+    if geometry:
+        survey = survey.drop(geometry)
     clash = (set(survey.columns) & set(desk.columns)) - set(key)
     survey = survey.withColumnsRenamed({c: f"{c}_x" for c in clash})
     desk = desk.withColumnsRenamed({c: f"{c}_y" for c in clash})

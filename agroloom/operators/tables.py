@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -54,9 +54,36 @@ def null_count(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def random_order(key: str, seed: int = 42) -> Column:
+    """What puts rows in an order that depends on their keys and the seed alone."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
+
+
 def in_random_order(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """The rows in an order that depends on the keys and the seed alone."""
-    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), key)
+    return df.orderBy(random_order(key, seed), key)
+
+
+def with_position(df: DataFrame, order: list, bucket: Column, name: str = "position") -> DataFrame:
+    """The rows in order, each with its place from 0.
+
+    ``bucket`` never falls along the order. Rows are numbered within their bucket, after the counts
+    of the buckets before it, so no task holds more than a bucket.
+    """
+    rows = df.withColumn("__b", bucket)
+    counts = rows.groupBy("__b").agg(F.count("*").alias("__n"))
+    # a row for each bucket: few enough for a running sum in one place
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("__b").alias("__sb"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
+    rows = rows.join(starts, F.col("__b").eqNullSafe(F.col("__sb")))
+    place = F.col("__s") + F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1
+    return rows.withColumn(name, place).drop("__b", "__sb", "__s").orderBy(name)
+
+
+def missing_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """Rows (name) of the columns that the table lacks."""
+    missing = sorted(set(names) - set(df.columns))
+    return df.sparkSession.createDataFrame([(n,) for n in missing], "name string")
 
 
 def last_values(df: DataFrame, key: str, order: Column, columns: list[str]) -> DataFrame:

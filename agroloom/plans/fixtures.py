@@ -61,7 +61,7 @@ VIEWS = {
             "cast(floor((extract(day from ts)-1)/2) as int) as pos",
             "case event_type when 'view' then 'B2' when 'click' then 'B8' when 'purchase' then 'VV'"
             " when 'signup' then 'precipitation' else 'temperature' end as band",
-            "round(avg(value),6) as value",
+            "round(sum(cast(round(value * 1000000) as bigint)) / count(value)) / 1000000.0e0 as value",
         ),
         group_by=3,
     ),
@@ -137,7 +137,7 @@ VIEWS = {
             "cast(c_custkey % 10 as int) as box_id",
             "c_custkey as id_ssu",
             "cast(1 + c_custkey % 8 as varchar(2)) as lu_code",
-            "case when c_custkey % 3 = 0 then '3.0e0' when c_custkey % 3 = 1 then lower(c_mktsegment)"
+            "case when c_custkey % 3 = 0 then '3.0' when c_custkey % 3 = 1 then lower(c_mktsegment)"
             " else cast(null as varchar(10)) end as landuse",
             "case when c_custkey % 2 = 0 then concat('2025-06-', lpad(cast(1 + c_custkey % 28 as varchar(2)),2,'0'))"
             " else cast(null as varchar(10)) end as start_text",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..operators import spatial, tables
-from ..sources import writers
+from ..sources import readers, writers
 from .fixtures import Tables
 from .registry import query
 from .table_queries import with_rings
@@ -269,3 +269,98 @@ def utm_enrich(t: Tables) -> DataFrame:
     return rows.select(
         "unit_id", "tile", "epsg_utm", F.round(corner["x"], 3).alias("x"), F.round(corner["y"], 3).alias("y")
     )
+
+
+@query("""
+    select unit_id, round(west, 6) as west, round(south, 6) as south, cast(5 as int) as n_points,
+           cast(3 as int) as n_polygons from fx_units
+""")
+def multipolygon_first(t: Tables) -> DataFrame:
+    """The first polygon of three, made from its box and back; its first corner's coordinates."""
+    box = F.struct("west", "south", "east", "north")
+    rows = t("fx_units").withColumn("first", geo.box_rectangle(geo.bounds(geo.box_rectangle(box))))
+    moved = geo.mapped(F.col("first"), lambda x, y: geo.point(x + 1, y + 1))
+    rows = rows.withColumn("polygons", F.array(F.col("first"), moved, moved))
+    corner = geo.first_polygon(F.col("polygons"))[0][0]
+    return rows.select(
+        "unit_id", F.round(corner["x"], 6).alias("west"), F.round(corner["y"], 6).alias("south"),
+        F.size(geo.first_polygon(F.col("polygons"))[0]).alias("n_points"), F.size("polygons").alias("n_polygons"),
+    )
+
+
+@query("""
+    select point_id, cast(case point_id % 4 when 0 then 4326 when 1 then 3857 when 2 then 32635 else 32735 end as int) as source,
+           4326 as epsg, round(lon, 6) as x, round(lat, 6) as y from fx_points
+""")
+def crs_alignment(t: Tables) -> DataFrame:
+    """Points in four projections, brought to the one of another table."""
+    code = F.element_at(F.array(*map(F.lit, (4326, 3857, 32635, 32735))), (F.col("point_id") % 4 + 1).cast("int"))
+    rows = t("fx_points").withColumn("source", code)
+    place = geo.reprojected(F.col("lon"), F.col("lat"), F.lit(geo.WGS84), F.col("source"))
+    rows = rows.withColumn("p", place).select("point_id", "source", F.col("source").alias("epsg"), "p.x", "p.y")
+    aligned = spatial.align_crs(t("fx_units").select(F.lit(geo.WGS84).alias("epsg")), rows)
+    return aligned.select("point_id", "source", "epsg", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+_METRES, COUNTRY = 20_000, "NATION_6"
+
+
+def borders(t: Tables) -> DataFrame:
+    """A border for each nation, the further east the larger its key; a second part lies apart."""
+    shift = F.col("n_nationkey") / 100.0
+    shape = F.array(F.array(*[geo.point(F.lit(x) + shift, F.lit(y)) for x, y in BORDER]))
+    apart = geo.mapped(shape, lambda x, y: geo.point(x + 10, y))
+    return t("nation").select(F.col("n_name").alias("name"), F.array(shape, apart).alias("polygons"))
+
+
+_VERTICES = "v as (select i, x + n_nationkey / 100.0::double as lon, y as lat, 32635 as epsg from nation, (values " + ", ".join(
+    f"({i}, {x}::double, {y}::double)" for i, (x, y) in enumerate(BORDER)
+) + f") as c(i, x, y) where n_name = '{COUNTRY}')"
+
+
+@query(f"""
+    with {_VERTICES}, {_utm_sql('v', 'lon', 'lat', 'epsg')},
+    b as (select a.ux as x1, a.uy as y1, c.ux as x2, c.uy as y2 from utm a join utm c on c.i = a.i + 1),
+    box as (select min(ux) as w, min(uy) as s, max(ux) as e, max(uy) as n from utm),
+    xs as (select unnest(generate_series(cast(floor((w - 500000) / {_METRES}) as bigint), cast(ceil((e - 500000) / {_METRES}) as bigint) - 1)) as x from box),
+    ys as (select unnest(generate_series(cast(floor(s / {_METRES}) as bigint), cast(ceil(n / {_METRES}) as bigint) - 1)) as y from box),
+    cover as (select x, y, greatest(x * {_METRES} + 500000, w) as west, greatest(y * {_METRES}, s) as south,
+              least((x + 1) * {_METRES} + 500000, e) as east, least((y + 1) * {_METRES}, n) as north from xs, ys, box),
+    {_meets_sql('cover').replace(_EDGES + ',', '')}, {_NAMED.format('hit')}
+    select tile_name, cast(5 as bigint) as n_points, round(west, 3) as west, round(south, 3) as south, round(east, 3) as east, round(north, 3) as north from n
+""")
+def country_grid_job(t: Tables) -> DataFrame:
+    """Tiles of 20 km over one country, written as GeoJSON and read back."""
+    grid = spatial.country_grid_job(borders(t), COUNTRY, 32635, float(_METRES), "MDA")
+    path = writers.scratch_path(t.spark, "grid.geojson")
+    writers.write_geojson(grid, path, "rings", ["tile_name"])
+    rows = readers.scan_features(t.spark, path).withColumn("b", geo.bounds(F.col("rings")))
+    return rows.select(
+        F.col("properties")["tile_name"].alias("tile_name"), F.size(F.col("rings")[0]).cast("bigint").alias("n_points"),
+        *[F.round(f"b.{c}", 3).alias(c) for c in _BOX],
+    )
+
+
+@query(f"with {_COVER}, {_meets_sql('cover')}, {_NAMED.format('hit')} select tile_name, {_BOX_SQL} from n")
+def geojson_sink(t: Tables) -> DataFrame:
+    """The country's grid as GeoJSON, read back."""
+    grid = with_rings(spatial.country_grid(_extent(t), border(), TILE, "MDA"))
+    path = writers.scratch_path(t.spark, "tiles.geojson")
+    writers.write_geojson(grid, path, "rings", ["tile_name"])
+    rows = readers.scan_features(t.spark, path).withColumn("b", geo.bounds(F.col("rings")))
+    return rows.select(F.col("properties")["tile_name"].alias("tile_name"), *[F.round(f"b.{c}", 6).alias(c) for c in _BOX])
+
+
+@query(f"""
+    with k as (select unit_id as known_id, west as lon, south as lat from fx_units),
+    d as (select p.point_id, k.known_id, (p.lon - k.lon) * (p.lon - k.lon) + (p.lat - k.lat) * (p.lat - k.lat) as d2 from fx_points p, k),
+    r as (select *, row_number() over (partition by point_id order by d2, known_id) as r from d where d2 <= {RADIUS * RADIUS!r}::double)
+    select p.point_id, concat('S_', cast(p.point_id as varchar), '_AL_', cast(known_id as varchar)) as sample_id
+    from fx_points p join r on p.point_id = r.point_id and r.r = 1
+""")
+def derived_ids(t: Tables) -> DataFrame:
+    """Ids of points that take over the attributes of a known point near them."""
+    known = t("fx_units").select(F.col("unit_id").alias("known_id"), F.col("west").alias("lon"), F.col("south").alias("lat"))
+    found = spatial.nearest(t("fx_points"), known, RADIUS, []).where("known_id is not null")
+    sample = F.concat(F.lit("S_"), F.col("point_id").cast("string"))
+    return found.select("point_id", text.derived_sample_id(sample, F.col("known_id")).alias("sample_id"))

@@ -120,6 +120,48 @@ def mask_from_position(t: Tables) -> DataFrame:
     return rows.select("sample_id", _texts(arrays.masked_from(F.col("B2"), 8)).alias("b2"))
 
 
+_UNIFORM = "((" + _HASH.format(seed="{0}", key="cast(sample_id as varchar)") + " + 0.5) / 4294967296.0)"
+_BETA = f"""
+    u as (select distinct sample_id, {', '.join(_UNIFORM.format(11 + k) + f'::double as u{k}' for k in range(5))} from fx_series),
+    g as (select sample_id, -ln(u0) - ln(u3) * cos(2 * pi() * u4) * cos(2 * pi() * u4) as a,
+          -ln(u1) - ln(u2) - ln(u3) * sin(2 * pi() * u4) * sin(2 * pi() * u4) as b from u),
+    k as (select sample_id, greatest(4, least(15, cast(floor(4 + a / (a + b) * 11) as int))) as k from g)
+"""
+
+
+@query(f"""
+    {_PACKED}, {_BETA} select sample_id, max(k) as masked_from,
+    string_agg(cast(cast(round(case when pos >= k then 65535 else value end * 1000) as bigint) as varchar), ',' order by pos) as b2
+    from v join k using (sample_id) where band = 'B2' group by 1
+""")
+def mask_random(t: Tables) -> DataFrame:
+    """Series masked from a position on that is drawn for each sample, early ones likelier."""
+    rows = _window_inputs(t).withColumn("masked_from", arrays.mask_position(4, SERIES_STEPS - 1, 11, F.col("sample_id")))
+    return rows.select("sample_id", "masked_from", _texts(arrays.masked_from(F.col("B2"), F.col("masked_from"))).alias("b2"))
+
+
+@query(f"""
+    {_PACKED} select sample_id, cast(12 as int) as n_steps, cast(12 * 65535 as bigint) as total,
+    max(case when pos = 0 then cast(round(value * 1000) as bigint) end) as elevation, cast(65535 as bigint) as slope
+    from v where band = 'B2' group by 1
+""")
+def missing_bands(t: Tables) -> DataFrame:
+    """Bands that a sample lacks are all no data; a band of terrain is its series' first value."""
+    rows = _window_inputs(t).withColumn("elevation", F.col("B2"))
+    inputs_ = inputs.model_inputs(rows, LENGTH, "month").select("sample_id", "inputs")
+    empty = F.col("inputs.s1.VH")
+    return inputs_.select(
+        "sample_id", F.size(empty).alias("n_steps"), F.aggregate(empty, F.lit(0.0), lambda s, v: s + v).cast("bigint").alias("total"),
+        F.round(F.col("inputs.dem.elevation") * 1000).cast("bigint").alias("elevation"), F.col("inputs.dem.slope").cast("bigint").alias("slope"),
+    )
+
+
+@query("select sample_id, pos, round(greatest(-0.5, least(0.5, value)), 6) as value from fx_series where value is not null")
+def clip_values(t: Tables) -> DataFrame:
+    rows = t("fx_series").where("value is not null")
+    return rows.select("sample_id", "pos", F.round(arrays.clip(F.col("value"), -0.5, 0.5), 6).alias("value"))
+
+
 @query("""
     select sample_id, pos, max(value) filter (band = 'B2') as "B2", max(value) filter (band = 'B8') as "B8", max(value) filter (band = 'VV') as "VV"
     from fx_series group by 1, 2
@@ -148,6 +190,19 @@ def timestep_window(t: Tables) -> DataFrame:
     return rows.select("sample_id", "start", (F.col("valid_position") - F.col("start")).alias("label_position"))
 
 
+_DRAWN = (
+    "greatest(valid_position - 11, 0) + cast(" + _HASH.format(seed=5, key="sample_id")
+    + " % (least(valid_position, available_timesteps - 12) - greatest(valid_position - 11, 0) + 1) as int)"
+)
+
+
+@query(f"with {_SAMPLES} select sample_id, {_DRAWN} as start, valid_position - ({_DRAWN}) as label_position from s where available_timesteps >= 12 and valid_position < available_timesteps")
+def timestep_window_augmented(t: Tables) -> DataFrame:
+    start = arrays.augmented_start(F.col("valid_position"), F.col("available_timesteps"), LENGTH, 5, F.col("sample_id"))
+    rows = long_samples(t).where("valid_position < available_timesteps").select("sample_id", "valid_position", start.alias("start"))
+    return rows.select("sample_id", "start", (F.col("valid_position") - F.col("start")).alias("label_position"))
+
+
 _CLASS = "case finetune_class " + " ".join(f"when '{c}' then {i}" for i, c in enumerate(CLASSES)) + " end"
 
 
@@ -177,6 +232,50 @@ def label_window(t: Tables) -> DataFrame:
     return long_samples(t).select("sample_id", F.array_join(label.cast("array<string>"), ",").alias("label"))
 
 
+@query(f"""
+    with {_SAMPLES}, p as (select cast(unnest(range(0, 12)) as int) as pos),
+    q as (select sample_id, cast({_CLASS} as varchar) as y, valid_position as a, (valid_position + 3) % 12 as b,
+          {_HASH.format(seed=7, key='sample_id')} % 3 - 1 as move, {_HASH.format(seed=8, key='sample_id')} % 2 as pick
+          from s where available_timesteps >= 12),
+    h as (select sample_id, y, pos, pos in (a, b) as exact, pos between least(a, b) - 1 and greatest(a, b) + 1 as wide,
+          case when pick = 0 then pos in (greatest(0, least(11, a + move)), greatest(0, least(11, b + move)))
+               else pos between least(a, b) - 1 and greatest(a, b) + 1 end as either from q, p)
+    select sample_id, string_agg(case when exact then y else '65535' end, ',' order by pos) as exact,
+           string_agg(case when wide then y else '65535' end, ',' order by pos) as wide,
+           string_agg(case when either then y else '65535' end, ',' order by pos) as either
+    from h group by 1
+""")
+def label_positions(t: Tables) -> DataFrame:
+    """Labels at two positions, mostly with a gap: as they are, widened, and moved or widened."""
+    value, at = arrays.class_index(F.col("finetune_class"), CLASSES), F.col("valid_position")
+    positions = F.array(at, ((at + 3) % LENGTH).cast("int"))
+    kinds = {"exact": {}, "wide": {"window": 1}, "either": {"window": 1, "jitter": 1, "seed": 7, "key": F.col("sample_id")}}
+    labels = {name: arrays.label_positions(positions, LENGTH, value, **options) for name, options in kinds.items()}
+    texts = [F.array_join(label.cast("array<string>"), ",").alias(name) for name, label in labels.items()]
+    return long_samples(t).select("sample_id", *texts)
+
+
+_MOVED = f"least(11, greatest(0, valid_position + {_HASH.format(seed=7, key='sample_id')} % 5 - 2))"
+
+
+@query(f"""
+    with {_SAMPLES}, p as (select cast(unnest(range(0, 12)) as int) as pos)
+    select sample_id, string_agg(case when available_timesteps % 2 = 0 or pos between {_MOVED} - 1 and {_MOVED} + 1
+                                 then cast({_CLASS} as varchar) else '65535' end, ',' order by pos) as label,
+    string_agg(cast({_CLASS} as varchar), ',') filter (pos = 0) as whole
+    from s, p where available_timesteps >= 12 group by 1
+""")
+def label_scalar(t: Tables) -> DataFrame:
+    """Labels at one position, moved and then widened; everywhere without one; and one for a whole sample."""
+    value = arrays.class_index(F.col("finetune_class"), CLASSES)
+    at = F.when(F.col("available_timesteps") % 2 == 1, F.col("valid_position"))
+    label = arrays.label_at(at, LENGTH, value, jitter=2, window=1, seed=7, key=F.col("sample_id"))
+    whole = arrays.label_vector(value, 1)
+    return long_samples(t).select(
+        "sample_id", *[F.array_join(x.cast("array<string>"), ",").alias(n) for n, x in (("label", label), ("whole", whole))]
+    )
+
+
 _JITTER = f"least(11, greatest(0, valid_position + {_HASH.format(seed=7, key='sample_id')} % 5 - 2))"
 
 
@@ -443,31 +542,60 @@ def evaluate_predictions(t: Tables) -> DataFrame:
     return _rounded(evaluate.classification_report(evaluate.confusion_matrix(rows, "y_true", "y_pred")))
 
 
-@query()
+_USABLE = "embedding is not null and label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+
+def usable(t: Tables) -> DataFrame:
+    """Labelled embeddings whose components are all numbers."""
+    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    return t("embeddings").where(F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)))
+
+
+@query(f"""
+    with k as (select unnest([16, 32, 64]) as masked_from),
+    e as (select masked_from, label, list_transform(range(1, 65), lambda i: case when i > masked_from then 0 else embedding[i]::double end) as v
+          from embeddings, k where {_USABLE}),
+    q as (select masked_from, case label % 3 when 0 then 'a' when 1 then 'b' else 'c' end as y_true,
+          case (list_position(v, list_max(v)) - 1) % 3 when 0 then 'a' when 1 then 'b' else 'c' end as y_pred from e),
+    names as (select masked_from, y_true as c from q union select masked_from, y_pred from q),
+    f0 as (select n.masked_from, c, count(*) filter (y_true = c and y_pred = c) as hits, cast(count(*) filter (y_true = c) as double) as support,
+           cast(count(*) filter (y_pred = c) as double) as predicted from names n join q using (masked_from) group by 1, 2),
+    f1 as (select *, case when predicted > 0 then hits / predicted else 0 end as precision,
+           case when support > 0 then hits / support else 0 end as recall from f0),
+    f as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0 end as f1 from f1),
+    a as (select masked_from, sum(hits) / sum(support) as acc from f group by 1),
+    rep as (select masked_from, c as class, precision, recall, f1, support from f
+    union all select masked_from, 'accuracy', acc, acc, acc, acc from a
+    union all select masked_from, 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) from f group by 1
+    union all select masked_from, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+              sum(f1 * support) / sum(support), sum(support) from f group by 1)
+    select masked_from, class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, round(support, 6) as support from rep
+""")
 def masked_evaluation(t: Tables) -> DataFrame:
-    """A report for each position from which a sample's embedding is masked; the largest of three
-    values that are left is the prediction.
+    """A report for each position from which a sample's embedding is masked; the place of the largest
+    value that is left tells the class.
     """
     names = ["a", "b", "c"]
-    rows = t("embeddings").select(
-        F.slice(F.col("embedding").cast("array<double>"), 1, 9).alias("series"),
-        arrays.index_class(F.col("label") % 3, names).alias("y_true"),
-    )
+    rows = usable(t).select(F.col("embedding").cast("array<double>").alias("series"), arrays.index_class(F.col("label") % 3, names).alias("y_true"))
 
     def predict(df: DataFrame, series: str) -> DataFrame:
         seen = F.transform(F.col(series), lambda v: F.when(v == bands.NODATA, 0.0).otherwise(v))
         return df.withColumn("y_pred", arrays.index_class(arrays.argmax(seen) % 3, names))
 
-    return evaluate.masked_reports(rows, "series", "y_true", [3, 6, 9], predict)
+    reports = evaluate.masked_reports(rows, "series", "y_true", [16, 32, 64], predict)
+    return reports.select("masked_from", "class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "support")])
 
 
 # --- scoring
 
 
-@query('select vec_id, label, embedding[1]::double as emb_0, embedding[2]::double as emb_1, embedding[3]::double as emb_2 from embeddings')
+DIMENSIONS = 64
+
+
+@query("select vec_id, label, " + ", ".join(f"embedding[{i + 1}]::double as emb_{i}" for i in range(DIMENSIONS)) + " from embeddings")
 def embedding_columns(t: Tables) -> DataFrame:
     rows = t("embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
-    return scoring.embedding_columns(rows, "embedding", 3)
+    return scoring.embedding_columns(rows, "embedding", DIMENSIONS)
 
 
 @query("""
@@ -485,15 +613,32 @@ def median_iterations(t: Tables) -> DataFrame:
 
 
 @query("""
-    with b as (select band as name, round(sum(abs(value)) / 1000, 6) as importance from fx_series group by 1)
+    with b as (select band as name, round(sum(cast(round(abs(value) * 1000000) as bigint)) / 1000) / 1000000 as importance from fx_series group by 1)
     select name, importance, cast(rank() over (order by importance desc) as int) as rank from b
 """)
 def importance_rank(t: Tables) -> DataFrame:
-    rows = t("fx_series").groupBy(F.col("band").alias("name")).agg(F.round(F.sum(F.abs("value")) / 1000, 6).alias("importance"))
+    rows = t("fx_series").groupBy(F.col("band").alias("name")).agg(
+        # sums of whole numbers, so that their order does not matter
+        (F.round(F.sum(F.round(F.abs("value") * 1_000_000).cast("bigint")) / 1000) / 1_000_000).alias("importance")
+    )
     return scoring.importance_table(rows)
 
 
-@query()
+_H42 = _HASH.format(seed=42, key="cast(sample_id as varchar)")
+
+
+@query(f"""
+    {_PACKED}, o as (select distinct sample_id, cast(sample_id % 16 as int) as vp, {_SPLIT.replace('sample_id', 'cast(sample_id as varchar)')} as split,
+        {_H42} as h from fx_series),
+    w as (select *, case when split = 'train' then greatest(vp - 11, 0) + cast(h % (least(vp, 4) - greatest(vp - 11, 0) + 1) as int)
+                    else greatest(0, least(vp - 6, 4)) end as s from o),
+    l as (select *, case when split = 'train' then least(11, greatest(0, vp - s + cast(h % 3 as int) - 1)) else vp - s end as place,
+          case when split = 'train' then 1 else 0 end as wide from w)
+    select l.sample_id, split, max(vp - s) as label_position,
+    string_agg(case when pos - s between place - wide and place + wide then cast(l.sample_id % 5 as varchar) else '65535' end, ',' order by pos) as label,
+    string_agg(cast(cast(round(value * 1000) as bigint) as varchar), ',' order by pos) as b2
+    from l join v using (sample_id) where band = 'B2' and pos >= s and pos < s + 12 group by 1, 2
+""")
 def training_inputs(t: Tables) -> DataFrame:
     """Label vectors and windows by split: augmented with jitter for train, plain otherwise."""
     rows = _window_inputs(t).withColumns(
@@ -520,38 +665,57 @@ def load_mean_encoder():
     """An encoder for :func:`scoring.embed` that keeps the means of pairs of values."""
 
     def encode(series):
-        return [[(a + b) / 2 for a, b in zip(s[::2], s[1::2], strict=False)] for s in series]
+        return series.reshape(len(series), -1, 2).mean(axis=2, dtype="f8")
 
     return encode
 
 
-@query()
+@query(
+    "select vec_id, "
+    + ", ".join(f"cast((embedding[{2 * i + 1}]::double + embedding[{2 * i + 2}]::double) / 2 as float) as emb_{i}" for i in range(DIMENSIONS // 2))
+    + f" from embeddings where {_USABLE}"
+)
 def batch_embedding(t: Tables) -> DataFrame:
-    encoded = scoring.embed(t("embeddings").where("embedding is not null"), load_mean_encoder, "vec_id", "embedding")
-    return scoring.embedding_columns(encoded, "embedding", 4)
+    encoded = scoring.embed(usable(t), load_mean_encoder, "vec_id", "embedding")
+    return scoring.embedding_columns(encoded, "embedding", DIMENSIONS // 2)
 
 
 @query()
 def pixel_scoring(t: Tables) -> DataFrame:
     """Two fitted models in turn on each row, land cover and crop type, and the mask of the first."""
     rows = _labelled(t).withColumns({"weight": F.lit(1.0), "kind": F.concat(F.lit("crop_"), (F.col("vec_id") % 3).cast("string"))})
-    cover = scoring.fit_classifier(rows, "finetune_class", 2, trees=3, depth=3)
-    kind = scoring.fit_classifier(rows, "kind", 3, trees=3, depth=3)
+    cover = scoring.fit_classifier(rows, "finetune_class", 2)
+    kind = scoring.fit_classifier(rows, "kind", 3)
     scored = scoring.predict(rows, cover).select("vec_id", "embedding", F.col("y_pred").alias("landcover"))
     scored = scoring.predict(scored, kind).withColumnRenamed("y_pred", "croptype")
     return scoring.mask_crop_type(scored, cropland="class_1").select("vec_id", "landcover", "croptype", "cropland_mask")
 
 
+def _weighted(t: Tables) -> DataFrame:
+    rows = _labelled(t)
+    return splits.sample_weights(rows, "finetune_class", splits.class_weights(rows, "finetune_class"))
+
+
+GRID = [5, 10]
+
+
 @query()
 def classifier_kfold(t: Tables) -> DataFrame:
-    """F1 of each fold and size of a weighted classifier; the median best size is in each row."""
-    rows = _labelled(t)
-    weighted = splits.sample_weights(rows, "finetune_class", splits.class_weights(rows, "finetune_class"))
-    table, size = scoring.select_by_folds(weighted, "finetune_class", "vec_id", 2, [2, 4], k=2)
+    """Loss of each fold and size of a weighted classifier; the median best size is in each row."""
+    table, size = scoring.select_by_folds(_weighted(t), "finetune_class", "vec_id", 2, GRID)
     return table.withColumn("chosen", F.lit(size))
 
 
+@query()
+def classifier_test(t: Tables) -> DataFrame:
+    """The report on the test split of a classifier whose size folds of the other rows select."""
+    rows = _weighted(t).withColumn("split", splits.random_split(F.col("vec_id")))
+    train, test = rows.where("split <> 'test'").drop("split"), rows.where("split = 'test'").drop("split")
+    _, report = scoring.fit_and_test(train, test, "finetune_class", "vec_id", 2, GRID)
+    return report
+
+
 @query()
 def feature_importance(t: Tables) -> DataFrame:
     rows = _labelled(t).withColumn("weight", F.lit(1.0))
-    return scoring.feature_importance(t.spark, scoring.fit_classifier(rows, "finetune_class", 2, trees=3, depth=3))
+    return scoring.feature_importance(t.spark, scoring.fit_classifier(rows, "finetune_class", 2))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classes, splits
-from . import geo_queries, model_queries, table_queries  # noqa: F401  they register their queries
+from . import geo_queries, model_queries, source_queries, table_queries  # noqa: F401  they register their queries
 from .fixtures import Tables
 from .registry import ORACLE_SQL, QUERIES
 

@@ -167,6 +167,11 @@ def task_type(t: Tables) -> DataFrame:
     return classes.task_type(samples(t), "finetune_class")
 
 
+@query("select count(distinct quality) as n_classes, 'binary' as task, cast(1 as bigint) as n_outputs from labels where quality is not null")
+def task_type_binary(t: Tables) -> DataFrame:
+    return classes.task_type(t("labels").where("quality is not null"), "quality")
+
+
 @query("""
     select label_id, case when coalesce(label, 'nan') like '%no\\_dominant%' escape '\\' then 'no_dominant'
         when coalesce(label, 'nan') like '%yes%' then 'mixed'
@@ -190,7 +195,8 @@ def reset_failed_jobs(t: Tables) -> DataFrame:
 
 @query("select tile_name, status, '2024-10-01' as start_date, '2025-09-30' as end_date from fx_jobs")
 def build_job_table(t: Tables) -> DataFrame:
-    return jobs.build_job_table(t("fx_jobs"), ["tile_name", "status"], "2024-10-01", "2025-09-30", shuffle=True)
+    found = jobs.build_job_table(t("fx_jobs"), ["tile_name", "status"], "2024-10-01", "2025-09-30", shuffle=True)
+    return found.withColumns({c: F.col(c).cast("string") for c in ("start_date", "end_date")})
 
 
 _NAMES = (
@@ -208,7 +214,7 @@ def joined_survey(t: Tables) -> DataFrame:
     with j as (select d.id_ssu, coalesce(d.lu_code, '9') as lu_code, s.landuse
                from fx_survey s right join fx_desk d
                on s.id_psu = d.id_psu and s.box_id = d.box_id and s.id_ssu = d.id_ssu and s.lu_code = d.lu_code),
-    k as (select id_ssu, lu_code, case when landuse = '3.0e0' then 'agriculture'
+    k as (select id_ssu, lu_code, case when landuse = '3.0' then 'agriculture'
                  when landuse is null then {_NAMES.format('lu_code')} else landuse end as landuse from j)
     select id_ssu, lu_code, landuse, landuse as croptype from k
 """)
@@ -406,14 +412,19 @@ def min_date_fill(t: Tables) -> DataFrame:
     return rows.select("id_ssu", F.col("date").cast("string").alias("date"))
 
 
-@query("select ewoc_code, cls, cast(ewoc_code as bigint) as code from fx_mapping")
+@query("""
+    select ewoc_code, cls, cast(ewoc_code as bigint) as code, row_number() over (order by cast(ewoc_code as bigint)) - 1 as position
+    from fx_mapping
+""")
 def sort_codes(t: Tables) -> DataFrame:
-    return t("fx_mapping").withColumn("code", F.col("ewoc_code").cast("bigint")).orderBy("code")
+    rows = t("fx_mapping").withColumn("code", F.col("ewoc_code").cast("bigint"))
+    return tables.with_position(rows, ["code"], F.floor(F.col("code") / 1024))
 
 
-@query("select tile_name, status from fx_jobs")
+@query("select tile_name, status, row_number() over (order by md5('42|' || tile_name), tile_name) - 1 as position from fx_jobs")
 def shuffle_tiles(t: Tables) -> DataFrame:
-    return tables.in_random_order(t("fx_jobs"), "tile_name")
+    order = tables.random_order("tile_name")
+    return tables.with_position(t("fx_jobs"), [order, "tile_name"], F.substring(order, 1, 2))
 
 
 @query("""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import struct
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +35,14 @@ def dataset_paths(catalog: DataFrame, country: str, frequency: str) -> list[str]
     return paths
 
 
+def mapping_name(names: DataFrame, country: str) -> str:
+    """The name of a country's class mapping in a table (country, mapping); a miss is an error."""
+    row = names.where(F.col("country") == country).select("mapping").first()
+    if row is None:
+        raise ValueError(f"no mapping for {country!r}")
+    return row["mapping"]
+
+
 def scan_csv_skip_bad(spark: SparkSession, path: str, columns: list[str], sep: str = ";") -> DataFrame:
     """Delimited text as strings; rows with too many fields are dropped, short rows filled with null."""
     extra = "__more"
@@ -75,17 +87,71 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("f.properties").alias("properties"), checked.alias("kind"), points.alias("rings"))
 
 
-def scan_features(spark: SparkSession, path: str) -> DataFrame:
-    """A vector file by its extension; a table needs the columns ``rings`` and ``epsg``."""
+def scan_features(spark: SparkSession, path: str, epsg: int | None = None) -> DataFrame:
+    """A vector file by its extension.
+
+    A table needs ``rings``, or ``geometry`` as well-known binary, and its code: the column
+    ``epsg``, or the one given. From binary come ``polygons`` and, as ``rings``, the first of them.
+    """
     if path.endswith(".geojson"):
         return read_geojson(spark, path)
     if not path.endswith(".parquet"):
         raise ValueError(f"unsupported vector file: {path}")
     df = spark.read.parquet(path)
-    missing = {"rings", "epsg"} - set(df.columns)
-    if missing:
-        raise ValueError(f"missing columns: {sorted(missing)}")
-    return df
+    if "epsg" not in df.columns:
+        if epsg is None:
+            raise ValueError("the table has no code of its coordinates, and none is given")
+        df = df.withColumn("epsg", F.lit(epsg))
+    if "rings" in df.columns:
+        return df
+    if "geometry" not in df.columns:
+        raise ValueError("the table has no geometry")
+    df = df.withColumn("polygons", from_wkb(F.col("geometry"))).drop("geometry")
+    return df.withColumn("rings", F.get("polygons", F.lit(0)))
+
+
+_POLYGONS = T.ArrayType(T.ArrayType(T.ArrayType(POINT)))
+#: The codes of polygons and multipolygons in well-known binary.
+_POLYGON, _MULTIPOLYGON = 3, 6
+# End of fixed values.
+
+
+def _polygons_of(data: bytes) -> list:
+    """The polygons of a geometry in well-known binary of two dimensions; of another kind: an error."""
+    at = 0
+
+    def polygon() -> tuple[int, list]:
+        nonlocal at
+        order = "<" if data[at] == 1 else ">"
+        kind, count = struct.unpack_from(f"{order}II", data, at + 1)
+        at += 9
+        parts = []
+        for _ in range(count):
+            if kind == _MULTIPOLYGON:
+                parts.append(polygon()[1])
+            elif kind == _POLYGON:
+                (n,) = struct.unpack_from(f"{order}I", data, at)
+                points = np.frombuffer(data, f"{order}f8", 2 * n, at + 4).reshape(-1, 2).tolist()
+                parts.append([{"x": x, "y": y} for x, y in points])
+                at += 4 + 16 * n
+            else:
+                raise ValueError(f"not a polygon: kind {kind} of geometry")
+        return kind, parts
+
+    kind, parts = polygon()
+    return parts if kind == _MULTIPOLYGON else [parts]
+
+
+@F.pandas_udf(_POLYGONS)
+def from_wkb(geometry: pd.Series) -> pd.Series:
+    """Polygons from well-known binary; null stays null."""
+    return geometry.map(lambda g: None if g is None else _polygons_of(bytes(g)))
+
+
+def scan_labels(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A label file with a header, of these columns, all read as text: so codes keep their zeros."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
 
 
 def scan_ids(spark: SparkSession, path: str) -> DataFrame:

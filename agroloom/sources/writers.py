@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import struct
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -26,6 +30,30 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
+@F.pandas_udf(T.BinaryType())
+def _encoded(rings: pd.Series) -> pd.Series:
+    return rings.map(lambda r: None if r is None else _polygon_bytes(r))
+
+
+def wkb(rings: str) -> Column:
+    """A column of polygons as well-known binary; null stays null."""
+    return _encoded(F.to_json(rings))
+
+
+def _polygon_bytes(text: str) -> bytes:
+    out = [struct.pack("<BII", 1, 3, len(rings := json.loads(text)))]
+    for ring in rings:
+        out.append(struct.pack("<I", len(ring)))
+        out += [struct.pack("<dd", p["x"], p["y"]) for p in ring]
+    return b"".join(out)
+
+
+def write_id_list(df: DataFrame, key: str, path: str) -> None:
+    """The distinct keys as one JSON list, sorted; for short lists."""
+    whole = df.agg(F.to_json(F.sort_array(F.collect_set(key))).alias("value"))
+    whole.coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_mapping_json(df: DataFrame, path: str) -> None:
     """Rows (scheme, code, cls) as one dictionary of dictionaries; for mappings, which are small."""
     codes = df.groupBy("scheme").agg(

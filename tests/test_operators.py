@@ -82,6 +82,82 @@ def test_labels(spark):
     assert row["index"] == [no] * 4 + [1]
 
 
+def test_labels_at_a_list_of_positions(spark):
+    no, key = bands.NODATA, F.lit("k")
+    gap = F.array(F.lit(2), F.lit(5))
+    nothing = F.lit(None).cast("array<int>")
+    row = one(
+        spark,
+        exact=arrays.label_positions(gap, 7, F.lit(1)),
+        wide=arrays.label_positions(gap, 7, F.lit(1), window=1),
+        every=arrays.label_positions(nothing, 3, F.lit(1), window=1),
+        scalar=arrays.label_at(F.lit(3), 7, F.lit(1), window=1),
+        none=arrays.label_at(F.lit(None).cast("int"), 3, F.lit(1), jitter=1, window=1, key=key),
+    )
+    assert row["exact"] == [no, no, 1, no, no, 1, no]
+    assert row["wide"] == [no, 1, 1, 1, 1, 1, 1]
+    assert row["every"] == [1] * 3 and row["none"] == [1] * 3
+    assert row["scalar"] == [no, no, 1, 1, 1, no, no]
+    # by a hash of the key: all positions move together, or the window is taken
+    keys = spark.range(60).select(F.col("id").cast("string").alias("k"))
+    moved = keys.select(arrays.label_positions(gap, 7, F.lit(1), jitter=1, key=F.col("k")).alias("l")).distinct().collect()
+    assert sorted([i for i, v in enumerate(r["l"]) if v == 1] for r in moved) == [[1, 4], [2, 5], [3, 6]]
+    either = keys.select(arrays.label_positions(gap, 7, F.lit(1), window=1, jitter=1, key=F.col("k")).alias("l")).distinct().collect()
+    assert sorted([i for i, v in enumerate(r["l"]) if v == 1] for r in either) == [[1, 2, 3, 4, 5, 6], [1, 4], [2, 5], [3, 6]]
+
+
+def test_mask_positions_lean_to_the_start(spark):
+    got = spark.range(4000).select(arrays.mask_position(3, 11, 42, F.col("id")).alias("k"))
+    counts = {r["k"]: r["count"] for r in got.groupBy("k").count().collect()}
+    assert set(counts) <= set(range(3, 12)) and counts[4] > counts[9]
+    mean = got.agg(F.avg("k")).first()[0]
+    assert abs(mean - (3 + 8 * 1.5 / 4 - 0.5)) < 0.15  # the distribution's mean, less what the floor takes
+
+
+def test_projections_there_and_back(spark):
+    places = [(28.8, 47.0), (27.1, -3.5), (24.01, 83.0), (29.99, 0.01)]
+    df = spark.createDataFrame(places, "lon double, lat double")
+    for epsg in (32635, 32735, 3857, 4326):
+        there = geo.reprojected(F.col("lon"), F.col("lat"), F.lit(4326), F.lit(epsg))
+        rows = df.select("lon", "lat", there.alias("p"))
+        back = rows.select("lon", "lat", geo.reprojected(F.col("p.x"), F.col("p.y"), F.lit(epsg), F.lit(4326)).alias("q"))
+        for r in back.collect():
+            assert abs(r["q"]["x"] - r["lon"]) < 1e-8 and abs(r["q"]["y"] - r["lat"]) < 1e-8
+    assert df.select(geo.reprojected(F.col("lon"), F.col("lat"), F.lit(9999), F.lit(4326)).alias("q")).where("q is not null").count() == 0
+
+
+def test_tables_are_aligned_to_one_code(spark):
+    left = spark.createDataFrame([(4326,), (4326,)], "epsg int")
+    right = spark.createDataFrame([(1, 500000.0, 0.0, 32635), (2, 27.0, 1.0, 4326), (3, None, None, 32635)], "id int, x double, y double, epsg int")
+    got = {r["id"]: (r["x"], r["y"], r["epsg"]) for r in spatial.align_crs(left, right).collect()}
+    assert got[1] == pytest.approx((27.0, 0.0, 4326)) and got[2] == (27.0, 1.0, 4326) and got[3][:2] == (None, None)
+    with pytest.raises(ValueError):
+        spatial.align_crs(right, left)
+
+
+def test_well_known_binary(spark, tmp_path):
+    ring = [(0.0, 0.0), (2.0, 0.0), (2.0, 1.0), (0.0, 0.0)]
+    df = spark.createDataFrame([(1, [[{"x": x, "y": y} for x, y in ring]]), (2, None)], "id int, rings array<array<struct<x:double,y:double>>>")
+    df.select("id", writers.wkb("rings").alias("geometry")).write.parquet(f"{tmp_path}/a.parquet")
+    with pytest.raises(ValueError):
+        readers.scan_features(spark, f"{tmp_path}/a.parquet")
+    got = {r["id"]: r for r in readers.scan_features(spark, f"{tmp_path}/a.parquet", 4326).collect()}
+    assert [(p["x"], p["y"]) for p in got[1]["rings"][0]] == ring and got[2]["rings"] is None
+    assert len(got[1]["polygons"]) == 1 and got[1]["epsg"] == 4326
+    df.select("id").withColumn("epsg", F.lit(1)).write.parquet(f"{tmp_path}/b.parquet")
+    with pytest.raises(ValueError):
+        readers.scan_features(spark, f"{tmp_path}/b.parquet")
+
+
+def test_reports_by_group_are_those_of_each_group(spark):
+    rows = [(g, "ab"[(i * g) % 2], "ab"[(i // 2) % 2]) for g in (1, 2, 3) for i in range(20)]
+    df = spark.createDataFrame(rows, "g int, t string, p string")
+    by = evaluate.classification_report(evaluate.confusion_matrix(df, "t", "p", by=["g"]), ["g"])
+    for g in (1, 2, 3):
+        own = evaluate.classification_report(evaluate.confusion_matrix(df.where(F.col("g") == g), "t", "p"))
+        assert sorted(map(tuple, own.collect())) == sorted(map(tuple, by.where(F.col("g") == g).drop("g").collect()))
+
+
 def test_an_unknown_class_or_band_is_an_error(spark):
     with pytest.raises(PySparkException):
         one(spark, x=arrays.class_index(F.lit("sea"), ["land"]))
@@ -270,3 +346,18 @@ def test_the_classifier_learns_and_ranks(spark):
     model = scoring.fit_classifier(df, "c", 2, trees=2, depth=2)
     assert scoring.predict(df, model).where("c != y_pred").count() == 0
     assert scoring.feature_importance(spark, model).first()["name"] == "emb_0"
+
+
+def test_a_size_is_selected_refitted_and_tested(spark):
+    df = spark.range(300).select(
+        F.col("id"), F.array((F.col("id") % 3).cast("float"), (F.col("id") % 5).cast("float")).alias("embedding"),
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").otherwise("c").alias("three"),
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("two"), F.lit(1.0).alias("weight"),
+    )
+    train, test = df.where("id % 5 > 0"), df.where("id % 5 = 0")
+    table, size = scoring.select_by_folds(train, "three", "id", 3, [1, 2], k=2)
+    assert table.count() == 4 and size in (1, 2)
+    for label, n in (("two", 2), ("three", 3)):
+        _, report = scoring.fit_and_test(train, test, label, "id", n, [1, 2], k=2)
+        accuracy = report.where("class = 'accuracy'").first()["f1"]
+        assert accuracy > 0.9

@@ -27,7 +27,7 @@ def test_rows_equal_those_of_the_sql(spark, sql, name):
     assert rows(found) == rows(wanted)
 
 
-@pytest.mark.parametrize("name", ["grid_to_geojson", "training_inputs", "batch_embedding", "pixel_scoring", "masked_evaluation"])
+@pytest.mark.parametrize("name", ["grid_to_geojson", "pixel_scoring", "classifier_kfold", "classifier_test", "feature_importance"])
 def test_queries_without_sql_give_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
