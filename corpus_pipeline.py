@@ -1,4 +1,8 @@
-"""A training-data pipeline over ``documents``: each stage works on all that the one before kept."""
+"""A training-data pipeline over ``documents``: each stage works on all that the one before kept.
+
+All stages take rows one by one: ids may be null or repeat, a null text counts as empty, and the
+columns of ``documents`` stay, whatever others there are. An empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -11,27 +15,46 @@ from agroloom.llm.common import stored, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; the others go."""
+    """Documents whose language can be told; the others go.
+
+    A null or empty text, and one without a letter, goes. What labels of ``lang`` there are teach
+    the model; without any, no language can be told and every document goes. Equal scores: the
+    language first in code point order.
+    """
     return language_id.keep_identified(docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the smallest id."""
+    """Of documents with equal texts, the one with the smallest id.
+
+    A null id comes after all others; of rows that share the smallest id, the one first by its
+    text's hash stays, and rows equal in id and text stay together.
+    """
     return exact_dedup.drop_exact_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by similar five-word shingles: that with the smallest id."""
+    """One document of each group linked by similar five-word shingles: that with the smallest id.
+
+    Texts without a word are one group. Ties as among exact copies.
+    """
     return similar.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    Texts without a word are never taken; a null source is a source. Rows equal in id, text and
+    source are taken equally often. Reruns agree.
+    """
     return mixing.mixed_documents(docs)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids, decoded_sha256): the texts as token ids, and what those decode to."""
+    """Rows (doc_id, n_tokens, ids, decoded_sha256): the texts as token ids, and what those decode to.
+
+    Row for row, repeated ones too; a null text has no tokens, a null id stays null.
+    """
     path = public_tokenizers.path(bpe.RANKS)
     return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
