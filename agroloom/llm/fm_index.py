@@ -1,4 +1,4 @@
-"""An FM-index over symbol sequences: backward search on a wavelet matrix, for many patterns at once."""
+"""A compressed FM-index over symbol sequences: backward search for many patterns at once."""
 
 from __future__ import annotations
 
@@ -7,30 +7,87 @@ import numpy as np
 from .suffix_sort import rank_by_doubling
 
 
-class WaveletMatrix:
-    """Ranks of symbols in a sequence; each level holds one bit a symbol and a count a word."""
+class WaveletTree:
+    """Ranks of symbols in a sequence, in about its zero-order entropy.
 
-    def __init__(self, symbols: np.ndarray, bits: int) -> None:
-        self.bits, self.n = bits, len(symbols)
-        self.words, self.counts, self.zeros = [], [], []
-        for level in range(bits - 1, -1, -1):
-            bit = ((symbols >> level) & 1).astype(bool)
-            padded = np.zeros(64 * (self.n // 64 + 1), bool)
-            padded[: self.n] = bit
+    A symbol's code has as many bits as its frequency asks for, and is the next free one of that
+    length, so shorter codes come first in order. Level k holds bit k of the symbols whose codes
+    are longer than k, by the k bits before it and then by place; a node of the tree is a stretch
+    of its level. Common symbols end near the root, and a walk takes no more levels than its code.
+    """
+
+    def __init__(self, symbols: np.ndarray, n_symbols: int) -> None:
+        counts = np.bincount(symbols, minlength=n_symbols)
+        n = max(1, len(symbols))
+        size = np.ceil(np.log2(n / np.maximum(counts, 1))).astype("i8")
+        size = np.maximum(size, 1)
+        by_size = np.lexsort((np.arange(n_symbols), size))
+        longest = int(size.max())
+        step = np.int64(1) << (longest - size[by_size])
+        # a symbol that doesn't occur needs no code: it can't be told from the last one
+        step[counts[by_size] == 0] = 0
+        codes = np.cumsum(step) - step  # left-aligned, ascending
+        self.rank = np.empty(n_symbols, "i8")
+        self.rank[by_size] = np.arange(n_symbols)
+        self.size = size[by_size]  # by rank
+        before = np.concatenate([[0], np.cumsum(counts[by_size])])
+        self.codes, self.longest = codes, longest
+        self.absent = counts == 0
+        self.words, self.counts, self.starts, self.ones, self.skipped = [], [], [], [], []
+        level = self.rank[symbols]
+        for k in range(longest):
+            skipped = int(np.searchsorted(self.size, k, "right"))  # ranks whose codes have ended
+            prefix = codes[skipped:] >> (longest - k)
+            first = skipped + np.searchsorted(prefix, prefix)
+            starts = before[first] - before[skipped]
+            bit = (codes[level] >> (longest - 1 - k)) & 1
+            padded = np.zeros(64 * (len(level) // 64 + 1), bool)
+            padded[: len(level)] = bit
             words = np.packbits(padded, bitorder="little").view("<u8")
             self.words.append(words)
-            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype="i4")]).astype("i4"))
-            self.zeros.append(int(self.n - bit.sum()))
-            symbols = np.concatenate([symbols[~bit], symbols[bit]])
+            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(words))]).astype("i4"))
+            self.starts.append(starts.astype("i4"))
+            self.skipped.append(skipped)
+            self.ones.append(self._ones(k, starts).astype("i4"))
+            if k + 1 == longest:
+                break
+            # where each symbol stands on the next level, of those that have one
+            ones = np.cumsum(bit) - bit
+            of = level - skipped
+            within = np.where(bit, ones - self.ones[k][of], np.arange(len(level)) - ones - (starts[of] - self.ones[k][of]))
+            going = self.size[level] > k + 1
+            level, within = level[going], within[going]
+            later = int(np.searchsorted(self.size, k + 1, "right"))
+            prefix = codes[later:] >> (longest - k - 1)
+            place = (before[later + np.searchsorted(prefix, prefix)] - before[later])[level - later] + within
+            moved = np.empty_like(level)
+            moved[place] = level
+            level = moved
+
+    def _ones(self, k: int, at: np.ndarray) -> np.ndarray:
+        """Ones before each place of a level."""
+        word = at >> 6
+        low = self.words[k][word] & ((np.uint64(1) << (at & 63).astype("u8")) - np.uint64(1))
+        return self.counts[k][word] + np.bitwise_count(low)
+
+    def ranks(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """How often each symbol occurs before its place ``at``."""
+        of, at = self.rank[symbol], at.astype("i8")
+        live = np.arange(len(of))
+        for k in range(self.longest):
+            live = live[of[live] >= self.skipped[k]]
+            if not len(live):
+                break
+            node = of[live] - self.skipped[k]
+            start = self.starts[k][node]
+            ones = self._ones(k, start + at[live]) - self.ones[k][node]
+            bit = (self.codes[of[live]] >> (self.longest - 1 - k)) & 1
+            at[live] = np.where(bit, ones, at[live] - ones)
+        return np.where(self.absent[symbol], 0, at)
 
-    def walk(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Where each symbol's place ``at`` lands at the bottom: its rank, from the symbol's block on."""
-        for k, level in enumerate(range(self.bits - 1, -1, -1)):
-            word = at >> 6
-            low = self.words[k][word] & ((np.uint64(1) << (at & 63).astype("u8")) - np.uint64(1))
-            ones = self.counts[k][word] + np.bitwise_count(low)
-            at = np.where((symbol >> level) & 1, self.zeros[k] + ones, at - ones)
-        return at
+    def nbytes(self) -> int:
+        """Bytes of the bits and their counts."""
+        return sum(w.nbytes + c.nbytes for w, c in zip(self.words, self.counts, strict=True))
 
 
 class FMIndex:
@@ -45,32 +102,38 @@ class FMIndex:
         unique = text + ends.sum()
         unique[ends] = np.arange(ends.sum())
         order = rank_by_doubling(unique, max(depth, 2) + 1)
-        bwt = text[order - 1]
-        self.matrix = WaveletMatrix(bwt, max(1, int(symbols - 1).bit_length()))
-        every = np.arange(symbols)
-        self.blocks = self.matrix.walk(every, np.zeros(symbols, "i8"))
+        self.tree = WaveletTree(text[order - 1], symbols)
+        self.n = len(text)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])[:-1]
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray):
         """The intervals of the patterns with ``symbol`` put before them."""
-        shift = self.first[symbol] - self.blocks[symbol]
-        return self.matrix.walk(symbol, low) + shift, self.matrix.walk(symbol, high) + shift
+        both = self.tree.ranks(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
+        shift = self.first[symbol]
+        return both[: len(symbol)] + shift, both[len(symbol) :] + shift
 
-    def occurrences(self, text: np.ndarray, starts: np.ndarray, width: int, threshold: int = 2) -> np.ndarray:
-        """How often the ``width`` symbols from each start occur in the index; under ``threshold``: 0.
+    def matching_statistics(self, text: np.ndarray, ends: np.ndarray, cap: int, threshold: int = 2):
+        """(lengths, matches): the longest stretch that stops before each end, up to ``cap`` symbols,
+        which occurs ``threshold`` times or more in the index, and how often it does.
 
-        All patterns go one symbol to the left together; one drops out when its interval, the
-        matches of what has been read, is smaller than the threshold.
+        All ends go one symbol to the left together; one stops when its interval, the matches of
+        what has been read, becomes smaller than the threshold.
         """
-        out = np.zeros(len(starts), "i8")
-        live = np.arange(len(starts))
-        low = np.zeros(len(starts), "i8")
-        high = np.full(len(starts), self.matrix.n, "i8")
-        for back in range(width - 1, -1, -1):
-            low, high = self.extend(text[starts[live] + back], low, high)
+        lengths, matches = np.zeros(len(ends), "i8"), np.full(len(ends), self.n, "i8")
+        live = np.arange(len(ends))
+        low, high = np.zeros(len(ends), "i8"), matches.copy()
+        for back in range(1, cap + 1):
+            live, low, high = (x[ends[live] >= back] for x in (live, low, high))
+            low, high = self.extend(text[ends[live] - back], low, high)
             good = high - low >= threshold
             live, low, high = live[good], low[good], high[good]
             if not len(live):
                 break
-        out[live] = high - low
-        return out
+            lengths[live] = back
+            matches[live] = high - low
+        return lengths, matches
+
+    def occurrences(self, text: np.ndarray, starts: np.ndarray, width: int, threshold: int = 2) -> np.ndarray:
+        """How often the ``width`` symbols from each start occur in the index; under ``threshold``: 0."""
+        lengths, matches = self.matching_statistics(text, starts + width, width, threshold)
+        return np.where(lengths == width, matches, 0)
