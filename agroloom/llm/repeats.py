@@ -34,7 +34,7 @@ from .windows import common_table, gram_hashes, runs
 CHUNK_BYTES = 8_000_000
 GROUP_BYTES = 1_000_000
 #: Symbols of runs that one index holds, unless those of a single owner gram are more.
-INDEXED = 4_000_000
+INDEXED = 2_000_000
 #: Documents (about) that common grams are learnt from, by so many tasks; how many of these
 #: documents hold one at least, and how many grams are kept. They decide which task does what,
 #: never what is found.
