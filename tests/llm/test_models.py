@@ -120,6 +120,35 @@ def test_quality_of_odd_rows(spark):
     assert quality.score(df, flat).agg(F.countDistinct("score")).first()[0] == 1
 
 
+def brute_score(model, text):
+    """The machine's probability with every pair of features written out."""
+    bias, weights, factors = model
+    words, counts = (text or "").encode().split(), {}
+    for word in words:
+        counts[word] = counts.get(word, 0) + 1
+    index, value = quality.features(text or "", {})
+    length = sum(np.log1p(c) ** 2 for c in counts.values()) ** 0.5
+    for (word, count), i, v in zip(counts.items(), index, value, strict=False):
+        assert i == zlib.crc32(word.lower()) % (1 << quality.HASH_BITS) and v == pytest.approx(np.log1p(count) / length, rel=1e-4)
+    logit = bias + sum(float(weights[i]) * float(v) for i, v in zip(index, value, strict=True))
+    for a in range(len(index)):
+        for b in range(a):
+            logit += float(factors[index[a]] @ factors[index[b]]) * float(value[a] * value[b])
+    return 1 / (1 + np.exp(-logit))
+
+
+def test_scores_are_those_of_all_pairs(spark):
+    random.seed(8)
+    words = ["the", "Cat", "sat", "12", "on", "BUY!!", "ä", "中文", "mat."]
+    rows = [(i, " ".join(random.choices(words, k=random.randint(0, 30))), i % 2) for i in range(120)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(500, None), (501, " \n")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, quality int")
+    model = quality.learn(df, labels)
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    for r in quality.score(df, model).collect():
+        assert r["score"] == pytest.approx(brute_score(model, texts[r["doc_id"]]), abs=1e-4)
+
+
 @needs_tables
 def test_held_out_ranking_of_quality(spark):
     sf_dir = "/root/testdata/sf0.01"
