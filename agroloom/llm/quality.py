@@ -134,9 +134,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple:
     rows = docs.join(F.broadcast(picked), "doc_id").select(
         F.col("doc_id").cast("bigint"), F.col("__y").alias("y"), text_of().alias("text")
     )
-    rows = rows.mapInArrow(run, "doc_id bigint, y int, i array<int>, v array<float>").toPandas()
-    rows = rows.sort_values(["doc_id", "y"], kind="stable")
-    pairs = [(np.asarray(i, "i4"), np.asarray(v, "f4")) for i, v in zip(rows["i"], rows["v"], strict=True)]
+    rows = rows.mapInArrow(run, "doc_id bigint, y int, i array<int>, v array<float>").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    pairs = [(i.values.to_numpy(), v.values.to_numpy()) for i, v in zip(rows["i"], rows["v"], strict=True)]
     return fit((rows["y"].to_numpy() == 1).astype("f8"), pairs)
 
 
