@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 from array import array
-from functools import cache
 from heapq import heappop, heappush
 from pathlib import Path
 
@@ -14,12 +13,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import text_of, worker_cache
 from .pretokens import splitters
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Pre-tokens that each of the two generations of a worker's cache holds.
-CACHED = 600_000
+#: Pre-tokens that each of the two generations of a worker's cache holds, and their characters and
+#: bytes of ids.
+CACHED, CACHED_SIZE = 600_000, 24_000_000
 #: Bits of a rank that index within one leaf of the bitmap.
 LEAF_BITS = 8
 _LEAF = (1 << LEAF_BITS) - 1
@@ -114,7 +114,6 @@ def merge(piece: bytes, ranks: Ranks) -> list[int]:
     return out
 
 
-@cache
 def load_ranks(path: str) -> Ranks:
     """The vocabulary of a rank file: lines of a token in base 64 and its rank."""
     lines = Path(path).read_bytes().splitlines()
@@ -126,7 +125,7 @@ class _Pieces(dict):
 
     def __init__(self, ranks: Ranks) -> None:
         super().__init__()
-        self.ranks, self.old = ranks, {}
+        self.ranks, self.old, self.size = ranks, {}, 0
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
@@ -134,16 +133,23 @@ class _Pieces(dict):
             ids = array("I", merge(piece.encode(), self.ranks)).tobytes()
         if len(piece) > 256:
             return ids
-        if len(self) >= CACHED:
-            self.old = dict(self)
+        if len(self) >= CACHED or self.size >= CACHED_SIZE:
+            self.old, self.size = dict(self), 0
             self.clear()
         self[piece] = ids
+        self.size += len(piece) + len(ids)
         return ids
 
 
-@cache
 def _coder(path: str, pattern: str):
-    """``encode`` from text to ids as little-endian 32-bit integers, and ``decode`` to bytes."""
+    """``encode`` from text to ids as little-endian 32-bit integers, and ``decode`` to bytes.
+
+    The vocabulary and the pre-tokens seen are kept between a worker's tasks.
+    """
+    return worker_cache(("bpe", path, pattern), lambda: _make_coder(path, pattern))
+
+
+def _make_coder(path: str, pattern: str):
     import public_tokenizers
 
     ranks = load_ranks(path)

@@ -71,6 +71,22 @@ def semi(docs: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
     return docs.join(rows, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), how)
 
 
+_KEPT: dict = {}
+
+
+def worker_cache(key=None, make=None):
+    """What ``make`` gives, kept in a Python worker between its tasks.
+
+    A worker holds the cache of one operator at a time: another key lets go of the last one, and so
+    does a call without a key. Workers outlive a stage, and their memory is the executor's.
+    """
+    if _KEPT.get("key") != key:
+        _KEPT.clear()
+    if key is not None and not _KEPT:
+        _KEPT.update(value=make(), key=key)
+    return _KEPT.get("value")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared checkpoint folder, so that lost executors cost no recomputation.
 

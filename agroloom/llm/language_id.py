@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, held_out, text_of, uniform
+from .common import content_key, cut, held_out, keyed, semi, text_of, uniform, worker_cache
 
 UNKNOWN = "und"
 #: Bound of the training sample: about so many documents of each language.
@@ -98,12 +98,15 @@ def _model(tally: DataFrame) -> dict:
     place = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("count"), "n", "unit"))
     ranked = tally.withColumn("kind", kind).withColumn("place", place)
     kept = ranked.where(F.col("place") <= F.greatest(share, F.lit(1))).select("n", "unit").distinct()
-    rows = tally.join(kept, ["n", "unit"]).toPandas()
-    index: dict[tuple[int, str], int] = {}
-    counts = np.zeros((len(rows), max(1, len(langs))))
-    for n, unit, lang, count in rows[["n", "unit", "lang", "count"]].sort_values(["n", "unit"]).itertuples(index=False):
-        counts[index.setdefault((n, unit), len(index)), at[lang]] = count
-    counts = counts[: len(index)]
+    # the model's rows come as one Arrow table, a row for each unit
+    each = F.transform(F.array(*map(F.lit, langs)), lambda lang: F.coalesce(F.try_element_at("by", lang), F.lit(0)))
+    by = tally.join(kept, ["n", "unit"]).groupBy("n", "unit").agg(F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by"))
+    rows = by.select("n", "unit", (each if langs else F.array().cast("array<bigint>")).alias("counts")).toArrow()
+    rows = rows.sort_by([("n", "ascending"), ("unit", "ascending")]).combine_chunks()
+    index = {key: i for i, key in enumerate(zip(rows["n"].to_pylist(), rows["unit"].to_pylist(), strict=True))}
+    counts = np.zeros((len(index), max(1, len(langs))))
+    if len(index):
+        counts[:] = np.concatenate([c.flatten().to_numpy() for c in rows["counts"].chunks]).reshape(counts.shape)
     sums = np.zeros((LONGEST + 1, max(1, len(langs))))
     for (lang, n), total in totals.items():
         sums[n, at[lang]] = total
@@ -116,9 +119,6 @@ def _model(tally: DataFrame) -> dict:
     return {"langs": langs, "index": index, "table": table.astype("f4")}
 
 
-_CACHE: dict = {}
-
-
 class _Scores(dict):
     """Word to the row of its scores: of the word itself, or of its longest known n-grams."""
 
@@ -147,13 +147,12 @@ class _Scores(dict):
 
 
 def _predictor(model, token: str):
-    """A function from a text to (language, score); a worker's scores live as long as it does."""
-    if _CACHE.get("of") != token:
-        _CACHE.update({"of": token, "scores": _Scores(model)})
+    """A function from a text to (language, score); a worker's scores are kept between its tasks."""
+    kept = worker_cache(token, lambda: {"scores": _Scores(model)})
     langs = model["langs"]
 
     def predict(text: str | None) -> tuple[str, float]:
-        scores = _CACHE["scores"]
+        scores = kept["scores"]
         found = words(text or "")
         if not found or not langs:
             return UNKNOWN, 0.0
@@ -161,7 +160,7 @@ def _predictor(model, token: str):
         total = scores.rows[rows].sum(axis=0, dtype="f8")
         best = int(total.argmax())
         if len(scores) > CACHED:
-            _CACHE["scores"] = _Scores(model)
+            kept["scores"] = _Scores(model)
         return langs[best], float(1 / np.exp(total - total[best]).sum())
 
     return predict
@@ -197,18 +196,20 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without those whose language can't be told: ``und``, or a score under ``least``.
 
-    Each row is judged by its own text where it is read: no join, no shuffle. So ids may be null or
-    repeat, and all columns stay, whatever their names. A null or empty text goes; an empty table
-    stays empty.
+    Rows are judged by their own texts and told apart by id and text together, so ids may be null
+    or repeat, and all columns stay, whatever their names. Rejected rows leave by an anti join, for
+    which no text is moved as long as they are few. A null or empty text goes; an empty table stays
+    empty.
     """
     shared, token = docs.sparkSession.sparkContext.broadcast(learn(docs)), uuid4().hex
-    rows = docs.select(text_of().alias("text"), F.struct("*").alias("row"))
 
     def run(batches):
         predict = _predictor(shared.value, token)
         for batch in batches:
             found = map(predict, batch.column("text").to_pylist())
-            good = [lang != UNKNOWN and score >= least for lang, score in found]
-            yield batch.select(["row"]).filter(pa.array(good, pa.bool_()))
+            bad = [lang == UNKNOWN or score < least for lang, score in found]
+            yield batch.select(["id", "key"]).filter(pa.array(bad, pa.bool_()))
 
-    return rows.mapInArrow(run, rows.select("row").schema).select("row.*")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), content_key().alias("key"), text_of().alias("text"))
+    gone = cut(rows.mapInArrow(run, "id bigint, key bigint").distinct())
+    return semi(keyed(docs), gone, "left_anti").select("__row.*")

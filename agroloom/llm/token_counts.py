@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_of
+from .common import cut, text_of, worker_cache
 from .pretokens import splitters
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -118,24 +118,19 @@ def frequent_pretokens(docs: DataFrame, path: str) -> list[str]:
     return list(row["words"]) if row else []
 
 
-_TIERS: dict = {}
-
-
 def _counter(path: str, frequent, token: str):
-    """A function from texts to token counts; its tables live as long as the worker."""
+    """A function from texts to token counts; its tables are kept between a worker's tasks."""
     tokenizer, special = _library(path)
     split = _splitter(path)
-    if _TIERS.get("of") != token:
-        _TIERS.update({"of": token, "first": frequent.value})
-        _TIERS["all"] = dict(_TIERS["first"])
+    tiers = worker_cache(token, lambda: {"first": frequent.value, "all": dict(frequent.value)})
 
     def encoded(words: list[str]):
         return zip(words, map(len, tokenizer.encode_batch_fast(words, add_special_tokens=False)), strict=True)
 
     def counts(texts: list[str]) -> list[int]:
-        if len(_TIERS["all"]) > len(_TIERS["first"]) + CACHED:
-            _TIERS["all"] = dict(_TIERS["first"])
-        lengths, whole, words, missing = _TIERS["all"], [], [], set()
+        if len(tiers["all"]) > len(tiers["first"]) + CACHED:
+            tiers["all"] = dict(tiers["first"])
+        lengths, whole, words, missing = tiers["all"], [], [], set()
         for text in texts:
             found = special.findall(text)
             whole.append(len(found))

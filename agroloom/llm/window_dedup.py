@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
+from .common import worker_cache
 from .fm_index import FMIndex
 from .repeats import NO_ID, Task, without_repeats
 
@@ -27,21 +28,20 @@ class _Hashes(dict):
         return value
 
 
-_HASHES = _Hashes()
-
-
 def _symbols(texts: list[bytes]):
+    hashes_of = worker_cache("words", _Hashes)
     words = [t.split() for t in texts]  # of bytes: the six white-space bytes of the contract
     bounds = np.cumsum([0, *map(len, words)])
-    hashes = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(words)), "<u8", int(bounds[-1]))
+    hashes = np.fromiter(map(hashes_of.__getitem__, chain.from_iterable(words)), "<u8", int(bounds[-1]))
     return hashes, bounds, hashes
 
 
 def repeated(texts: list[np.ndarray], windows, ids, counts, width: int) -> np.ndarray:
     """For each window of the runs, 0 if it occurs twice or more in the corpus, else NO_ID.
 
-    The runs' words are indexed; each run is then read as a document's stream, and a window is
-    reported if its interval holds two matches. Windows of a run that itself occurs twice do so.
+    The runs' words are indexed; each run is then read as a document's stream, whose matching
+    statistics say how long a stretch before each place occurs twice. Where that is the window's
+    width, the window does. Windows of a run that itself occurs twice do so.
     """
     sizes = windows + width
     begins = np.cumsum(sizes) - sizes
@@ -55,7 +55,8 @@ def repeated(texts: list[np.ndarray], windows, ids, counts, width: int) -> np.nd
     place = np.arange(len(run)) - np.repeat(np.cumsum(windows) - windows, windows)
     twice = counts[run] > 1
     ask = np.flatnonzero(~twice)
-    twice[ask] = index.occurrences(text, begins[run[ask]] + place[ask], width) > 1
+    lengths, _ = index.matching_statistics(text, begins[run[ask]] + place[ask] + width, width)
+    twice[ask] = lengths == width
     return np.where(twice, 0, NO_ID)
 
 
