@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import content_key, cut, keyed, row_key, semi, text_of, uniform
+from .common import content_key, cut, keyed, row_key, semi, text_of, uniform, worker_cache
 from .components import connected_labels
 
 SHINGLE_WORDS = 5
@@ -82,6 +82,7 @@ def may_be_similar(a: bytes, b: bytes) -> bool:
 
 def _sets(batches):
     """Rows (node, tokens)."""
+    worker_cache()  # what an earlier stage left
     for batch in batches:
         found = [shingles(t) for t in batch.column("text").to_pylist()]
         columns = [nodes_of(found), pa.array(found, pa.list_(pa.int64()))]
@@ -104,6 +105,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     order = docs.sparkSession.sparkContext.broadcast(_common(docs))
 
     def run(batches):
+        worker_cache()  # what an earlier stage left
         common, counts = order.value
         for batch in batches:
             found = [shingles(t) for t in batch.column("text").to_pylist()]
@@ -171,44 +173,37 @@ def _simhash_pairs(marked: DataFrame, max_bits: int) -> DataFrame:
     return across.union(same.select(*_ordered("node", "rep"))).distinct()
 
 
-def near_links(docs: DataFrame, marked: DataFrame, max_bits: int = simhash.MAX_BITS) -> DataFrame:
-    """Edges (src, dst) of nodes that span the classes of similar sets.
+def near_classes(docs: DataFrame, marked: DataFrame, max_bits: int = simhash.MAX_BITS) -> DataFrame:
+    """Rows (node, label): the classes of similar sets, for the nodes that have a link.
 
-    The trie self-join over fingerprints gives the first links. Then sets meet by the tokens of
-    their prefixes: each is compared with one other of each token that is not of its class, and
-    last, for tokens whose sets aren't all of one class by now, every pair of different classes.
-    So no pair that could join two classes is left out, and a large group of copies costs no square.
+    The trie self-join over fingerprints gives the first pairs. Sets also meet by the tokens of
+    their prefixes, where each is compared with one other of each token; and then, for tokens whose
+    sets aren't all of one class by now, with every set of another class. So no pair that could
+    join two classes is left out, and a large group of copies costs no square.
     """
-    links = cut(_similar(cut(_simhash_pairs(marked, max_bits)), docs, marked))
-    labels = cut(connected_labels(links))
-    facts = marked.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
-    facts = cut(facts.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label")))
+    facts = cut(marked.where("n > 0").groupBy("node").agg(F.max("n").alias("n")))
     rows = marked.where("n > 0").select("node", F.explode("prefix").alias("token"))
     shared = rows.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     met = rows.join(shared.where("low != high").select("token"), "token")
     met = cut(cut(met.distinct()).join(facts, "node"))
-
-    def mixed(met: DataFrame) -> DataFrame:
-        """The tokens whose sets are of several classes, with the smallest of the sets."""
-        of = met.groupBy("token").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("n", "node", "label")).alias("centre")
-        )
-        return of.where("low != high").select("token", "centre")
-
-    near = met.join(mixed(met), "token")
-    near = near.where((F.col("label") != F.col("centre.label")) & (5 * F.col("centre.n") >= 4 * F.col("n")))
-    pairs = cut(near.select(*_ordered("node", "centre.node")).distinct())
-    links = links.union(cut(_similar(pairs, docs, marked)))
-    labels = cut(connected_labels(links)).withColumnRenamed("label", "now")
-    met = met.join(labels, "node", "left").select("token", "node", "n", F.coalesce("now", "node").alias("label"))
+    centres = met.groupBy("token").agg(F.min(F.struct("n", "node")).alias("centre"))
+    near = met.join(centres, "token")
+    near = near.where((F.col("node") != F.col("centre.node")) & (5 * F.col("centre.n") >= 4 * F.col("n")))
+    pairs = near.select(*_ordered("node", "centre.node")).union(_simhash_pairs(marked, max_bits))
+    pairs = cut(pairs.distinct())
+    links = cut(_similar(pairs, docs, marked))
+    labels = cut(connected_labels(links))
+    met = met.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
     met = cut(met)
-    met = cut(met.join(mixed(met).select("token"), "token", "left_semi"))
+    mixed = met.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    met = cut(met.join(mixed.select("token"), "token", "left_semi"))
     a, b = met.alias("a"), met.alias("b")
     fits = (F.col("a.label") < F.col("b.label")) & (5 * F.col("a.n") >= 4 * F.col("b.n")) & (5 * F.col("b.n") >= 4 * F.col("a.n"))
     rest = a.join(b, (F.col("a.token") == F.col("b.token")) & fits)
     rest = rest.select(*_ordered("a.node", "b.node")).distinct()
     rest = cut(rest.join(pairs, ["src", "dst"], "left_anti"))
-    return links.union(_similar(rest, docs, marked))
+    more = cut(_similar(rest, docs, marked))
+    return labels if more.isEmpty() else cut(connected_labels(links.union(more)))
 
 
 def drop_near_copies(docs: DataFrame, max_bits: int = simhash.MAX_BITS) -> DataFrame:
@@ -223,7 +218,7 @@ def drop_near_copies(docs: DataFrame, max_bits: int = simhash.MAX_BITS) -> DataF
     """
     texts = docs.select(F.col("doc_id").cast("bigint"), content_key().alias("key"), text_of().alias("text"))
     marked = cut(_marked(texts))
-    labels = connected_labels(cut(near_links(texts, marked, max_bits)))
+    labels = near_classes(texts, marked, max_bits)
     rows = marked.select("node", row_key("doc_id", "key").alias("row"))
     least = cut(rows.groupBy("node").agg(F.min("row").alias("least"), F.max("row").alias("most")))
     named = cut(least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
