@@ -16,13 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import content_key, cut, keyed, row_key, semi, text_of, uniform, worker_cache
+from .common import content_key, cut, keyed, row_key, semi, text_of, worker_cache
 from .components import connected_labels
 
 SHINGLE_WORDS = 5
-#: Documents (about) that common shingles are learnt from, how often one occurs there at least, and
-#: how many are kept. They order the tokens of a set, which changes the speed, never a link.
-SAMPLE, COMMON, MOST_COMMON = 4000, 3, 65_536
+#: Bytes of text in a chunk, on average.
+CHUNK_BYTES = 8_000_000
 #: Tokens for each counter of a sketch, on average.
 EACH = 4
 
@@ -45,19 +44,17 @@ def nodes_of(sets: list[np.ndarray]) -> pa.Array:
     return pa.array(np.fromiter((xxhash.xxh3_64_intdigest(t.tobytes()) for t in sets), "<u8", len(sets)).view("<i8"))
 
 
-def prefix(tokens: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first tokens of a set, rare ones first, so many that similar sets share one of them.
+def prefix(tokens: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens of a set that others have too, and their places in the set's order.
 
+    Tokens go by weight, which grows with the number of sets that have one and is 0 for one alone.
     A set of n shares at least 0.8 n tokens with a similar one, so both ends of a link meet in the
     first n - ceil(0.8 n) + 1 of any order that is the same for all sets.
     """
     n = len(tokens)
-    size = n - (4 * n + 4) // 5 + 1
-    weight = np.zeros(n, "i8")
-    if len(common) and n:
-        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-        weight = np.where(common[at] == tokens, counts[at], 0)
-    return tokens[np.lexsort((tokens, weight))[:size]] if n else tokens
+    first = np.lexsort((tokens, weight))[: n - (4 * n + 4) // 5 + 1] if n else np.zeros(0, "i8")
+    at = np.flatnonzero(weight[first] > 0)
+    return tokens[first[at]], at
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -89,37 +86,88 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays(columns, ["node", "tokens"])
 
 
-def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that occur in several documents of a sample, ascending, and how often."""
-    share = SAMPLE / max(1, docs.count())
-    sets = docs.where(uniform(F.lit(23), F.col("doc_id")) < share).select("text")
-    sets = sets.mapInArrow(_sets, "node bigint, tokens array<bigint>")
-    counts = sets.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    counts = counts.where(F.col("count") >= COMMON).orderBy(F.desc("count"), "token").limit(MOST_COMMON)
-    rows = sorted((r["token"], r["count"]) for r in counts.collect())
-    return np.array([r[0] for r in rows], "i8"), np.array([r[1] for r in rows], "i8")
+class _Tally:
+    """The distinct tokens of a chunk, in the order of their shards."""
+
+    def __init__(self, sets: list[np.ndarray], shards: int) -> None:
+        flat = np.concatenate([np.zeros(0, "i8"), *sets]).view("u8")
+        code = (flat >> np.uint64(32)) % np.uint64(shards) << np.uint64(31) | flat & _LOW
+        self.codes, self.of, self.counts = np.unique(code, return_inverse=True, return_counts=True)
+
+
+_LOW = np.uint64((1 << 31) - 1)
+_AGAIN = np.uint32(1 << 31)
+
+
+def _tallies(shards: int):
+    """Rows (shard, chunk, body): a chunk's tokens, 31 bits each, and whether several of its sets have them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        worker_cache()
+        t = _Tally([shingles(x) for x in table.column("text").to_pylist()], shards)
+        body = (t.codes & _LOW).astype("u4") | np.where(t.counts > 1, _AGAIN, np.uint32(0))
+        shard = (t.codes >> np.uint64(31)).astype("i4")
+        edges = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard)).tolist()
+        rows = [(int(shard[a]), body[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
+        chunk = table.column("chunk")[0].as_py()
+        return pa.table(
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
+            ["shard", "chunk", "body"],
+        )
+
+    return run
+
+
+def _weights(table: pa.Table) -> pa.Table:
+    """Rows (chunk, shard, body): for each token of a chunk 0, or 1 and the logarithm of how often it is met."""
+    bodies = [np.frombuffer(b, "<u4") for b in table.column("body").to_pylist()]
+    every = np.concatenate(bodies)
+    _, of = np.unique(every & ~_AGAIN, return_inverse=True)
+    met = np.bincount(of, 1 + (every >= _AGAIN))
+    weight = np.where(met > 1, 1 + np.log2(np.maximum(met, 1)), 0).astype("u1")[of]
+    parts = np.split(weight, np.cumsum([len(b) for b in bodies])[:-1])
+    return pa.table([table.column("chunk"), table.column("shard"), pa.array([p.tobytes() for p in parts], pa.binary())], ["chunk", "shard", "body"])
+
+
+def _marks(shards: int):
+    names = ["doc_id", "key", "node", "n", "fp", "sketch", "prefix", "places"]
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        worker_cache()
+        sets = [shingles(t) for t in table.column("text").to_pylist()] if len(table) else []
+        tally = _Tally(sets, shards)
+        answers = answers.sort_by("shard")
+        weight = np.frombuffer(b"".join(answers.column("body").to_pylist()), "u1")[tally.of]
+        found = [prefix(t, w) for t, w in zip(sets, np.split(weight, np.cumsum([len(t) for t in sets])[:-1]), strict=True)] if sets else []
+        fps = np.array([simhash.majority(t.view("u8")) for t in sets], "<u8").view("<i8")
+        return pa.table(
+            [
+                table.column("doc_id"), table.column("key"), nodes_of(sets), pa.array(list(map(len, sets)), pa.int32()),
+                pa.array(fps), pa.array(list(map(sketch, sets)), pa.binary()),
+                pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.int64())),
+            ],
+            names,
+        )
+
+    return run
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, key, node, n, fp, sketch, prefix), one for each row of ``docs``."""
-    order = docs.sparkSession.sparkContext.broadcast(_common(docs))
-
-    def run(batches):
-        worker_cache()  # what an earlier stage left
-        common, counts = order.value
-        for batch in batches:
-            found = [shingles(t) for t in batch.column("text").to_pylist()]
-            fps = np.array([simhash.majority(t.view("u8")) for t in found], "<u8").view("<i8")
-            columns = [
-                batch.column("doc_id"), batch.column("key"), nodes_of(found),
-                pa.array(list(map(len, found)), pa.int32()), pa.array(fps),
-                pa.array(list(map(sketch, found)), pa.binary()),
-                pa.array([prefix(t, common, counts) for t in found], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "node", "n", "fp", "sketch", "prefix"])
-
-    schema = "doc_id bigint, key bigint, node bigint, n int, fp bigint, sketch binary, prefix array<bigint>"
-    return docs.mapInArrow(run, schema)
+    """Rows (doc_id, key, node, n, fp, sketch, prefix, places), one for each row of ``docs``.
+
+    Texts are dealt to chunks. A chunk sends its distinct tokens, four bytes each, to shards that
+    see which ones others have too, and a byte for each comes back. Tokens of equal bits count as
+    one, which changes their order alike in all sets.
+    """
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-total // CHUNK_BYTES))
+    by_chunk = docs.withColumn("chunk", F.pmod(F.xxhash64(F.lit(19), "doc_id", "key"), F.lit(parts)).cast("int")).groupBy("chunk")
+    tallies = by_chunk.applyInArrow(_tallies(parts), "shard int, chunk int, body binary")
+    weights = tallies.groupBy("shard").applyInArrow(_weights, "chunk int, shard int, body binary")
+    schema = (
+        "doc_id bigint, key bigint, node bigint, n int, fp bigint, sketch binary, prefix array<bigint>, places array<bigint>"
+    )
+    return by_chunk.cogroup(weights.groupBy("chunk")).applyInArrow(_marks(parts), schema)
 
 
 def _bounded(batches):
@@ -161,6 +209,12 @@ def _ordered(a: str | Column, b: str | Column) -> list[Column]:
     return [F.least(a, b).alias("src"), F.greatest(a, b).alias("dst")]
 
 
+def _reach(n: str, at: str, other_n: str, other_at: str) -> Column:
+    """Whether two sets can be similar if the token at these places is the first that they share:
+    they have no more in common than what follows it."""
+    return 9 * F.least(F.col(n) - F.col(at), F.col(other_n) - F.col(other_at)) >= 4 * (F.col(n) + F.col(other_n))
+
+
 def _simhash_pairs(marked: DataFrame, max_bits: int) -> DataFrame:
     """Pairs of nodes that span the classes of fingerprints within ``max_bits``, found by the trie."""
     nodes = cut(marked.where("n > 0").groupBy("fp").agg(F.min("node").alias("rep"), F.max("node").alias("most")))
@@ -178,27 +232,29 @@ def near_classes(docs: DataFrame, marked: DataFrame, max_bits: int = simhash.MAX
 
     The trie self-join over fingerprints gives the first pairs. Sets also meet by the tokens of
     their prefixes, where each is compared with one other of each token; and then, for tokens whose
-    sets aren't all of one class by now, with every set of another class. So no pair that could
-    join two classes is left out, and a large group of copies costs no square.
+    sets aren't all of one class by now, with every set of another class that is within reach. So no
+    pair that could join two classes is left out, and neither a large group of copies nor a passage
+    that many sets share costs a square.
     """
-    facts = cut(marked.where("n > 0").groupBy("node").agg(F.max("n").alias("n")))
-    rows = marked.where("n > 0").select("node", F.explode("prefix").alias("token"))
+    # tokens that no other set has were left out, so this is little unless most of a set is shared
+    rows = marked.select("node", "n", F.explode(F.arrays_zip("prefix", "places")).alias("x"))
+    rows = cut(rows.select("node", "n", F.col("x.prefix").alias("token"), F.col("x.places").alias("at")).distinct())
     shared = rows.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    met = rows.join(shared.where("low != high").select("token"), "token")
-    met = cut(cut(met.distinct()).join(facts, "node"))
-    centres = met.groupBy("token").agg(F.min(F.struct("n", "node")).alias("centre"))
-    near = met.join(centres, "token")
-    near = near.where((F.col("node") != F.col("centre.node")) & (5 * F.col("centre.n") >= 4 * F.col("n")))
+    met = cut(rows.join(shared.where("low != high").select("token"), "token"))
+    # where the token comes first there are fewest tokens that others lack: an original, not a changed copy
+    centres = met.groupBy("token").agg(F.min(F.struct("at", "n", "node")).alias("centre"))
+    near = met.join(centres, "token").where(F.col("node") != F.col("centre.node"))
+    near = near.where(_reach("n", "at", "centre.n", "centre.at"))
     pairs = near.select(*_ordered("node", "centre.node")).union(_simhash_pairs(marked, max_bits))
     pairs = cut(pairs.distinct())
     links = cut(_similar(pairs, docs, marked))
     labels = cut(connected_labels(links))
-    met = met.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
+    met = met.join(labels, "node", "left").select("token", "node", "n", "at", F.coalesce("label", "node").alias("label"))
     met = cut(met)
     mixed = met.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
     met = cut(met.join(mixed.select("token"), "token", "left_semi"))
     a, b = met.alias("a"), met.alias("b")
-    fits = (F.col("a.label") < F.col("b.label")) & (5 * F.col("a.n") >= 4 * F.col("b.n")) & (5 * F.col("b.n") >= 4 * F.col("a.n"))
+    fits = (F.col("a.label") < F.col("b.label")) & _reach("a.n", "a.at", "b.n", "b.at")
     rest = a.join(b, (F.col("a.token") == F.col("b.token")) & fits)
     rest = rest.select(*_ordered("a.node", "b.node")).distinct()
     rest = cut(rest.join(pairs, ["src", "dst"], "left_anti"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+import numpy as np
 from agroloom.llm import similar
 
 from .test_near import groups_of
@@ -52,9 +53,44 @@ def test_the_stage_keeps_what_brute_force_keeps(spark, monkeypatch):
         if i is not None:
             least[g] = min(i, least.get(g, i))
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    for common in (3, 10**9):
-        monkeypatch.setattr(similar, "COMMON", common)
+    for chunk_bytes in (10**7, 20_000):
+        monkeypatch.setattr(similar, "CHUNK_BYTES", chunk_bytes)
         kept = corpus_pipeline.drop_near_copies(spark, df, "")
         assert kept.columns == df.columns
         assert sorted(r["doc_id"] for r in kept.collect()) == sorted(least.values())
     assert corpus_pipeline.drop_near_copies(spark, df.limit(0), "").count() == 0
+
+
+def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
+    random.seed(21)
+    words = [f"w{i}" for i in range(3000)]
+    passage = [random.choice(words) for _ in range(60)]
+    rows = []
+    for i in range(200):
+        own = [random.choice(words) for _ in range(30 + i % 50)]
+        rows.append((i, " ".join(own + passage + own[:10])))
+    counts = []
+    plain = similar._similar
+
+    def counted(pairs, docs, marked):
+        counts.append(pairs.count())
+        return plain(pairs, docs, marked)
+
+    monkeypatch.setattr(similar, "_similar", counted)
+    monkeypatch.setattr(similar, "CHUNK_BYTES", 30_000)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert corpus_pipeline.drop_near_copies(spark, df, "").count() == len(rows)
+    assert sum(counts) < len(rows)
+
+
+def test_sketches_never_rule_out_a_link():
+    random.seed(22)
+    for _ in range(300):
+        n = random.randint(1, 400)
+        a = np.unique(np.array([random.getrandbits(63) for _ in range(n)], "i8"))
+        keep = a[: max(1, int(len(a) * random.uniform(0.7, 1)))]
+        b = np.unique(np.concatenate([keep, np.array([random.getrandbits(63) for _ in range(random.randint(0, n // 4))], "i8")]))
+        shared = len(np.intersect1d(a, b))
+        if 9 * shared >= 4 * (len(a) + len(b)):
+            assert similar.may_be_similar(similar.sketch(a), similar.sketch(b))
+    assert similar.sketch(np.zeros(300, "i8")) == b"" and similar.may_be_similar(b"", b"x")
