@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from . import (
     bpe,
     exact_dedup,
+    filter_audit,
     hnsw,
     language_id,
     mixing,
+    page_text,
     quality,
     simhash,
+    spelling,
     suffix_dedup,
     token_counts,
     window_dedup,
@@ -75,6 +78,18 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -86,6 +101,9 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_simhash": op9_simhash,
     "op10_window_dedup": op10_window_dedup,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL = {
@@ -143,4 +161,42 @@ ORACLE_SQL = {
                sha256(norm) as text_sha256
         from n
     """,
+    "op13_filter_audit": r"""
+        with t as (
+            select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+        d as (
+            select part, coalesce(quality = 1, false) as good, coalesce(toxic = 1, false) as toxic,
+                   case when len(words) < 100 then 'A' else '' end
+                   || case when 100 * len(list_distinct(words)) < 80 * len(words) then 'B' else '' end
+                   || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) then 'C' else '' end
+                   || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+                   || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as fails
+            from t left join labels using (doc_id)),
+        g as (select part, good, toxic, fails, count(*) as n from d group by all),
+        f as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+        orders as (
+            select a.f || b.f || c.f || d.f || e.f as filter_order from f a, f b, f c, f d, f e
+            where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+        steps as (
+            select filter_order, step::integer as step, filter_order[step] as own, filter_order[1:step - 1] as earlier
+            from (select filter_order, unnest(range(1, 6)) as step from orders)),
+        each as (
+            select part, filter_order, step, own, n, good, toxic, contains(fails, own) as failed, fails = own as alone,
+                   earlier <> '' and regexp_matches(fails, '[' || earlier || '_]') as gone
+            from steps cross join g),
+        sums as (
+            select part, filter_order, step, own,
+                   coalesce(sum(n) filter (not gone and not failed), 0) as kept,
+                   coalesce(sum(n) filter (not gone and failed), 0) as removed,
+                   coalesce(sum(n) filter (gone and failed), 0) as redundant,
+                   coalesce(sum(n) filter (alone), 0) as unique_fails,
+                   coalesce(sum(n) filter (not gone and failed and good), 0) as good_lost,
+                   coalesce(sum(n) filter (not gone and failed and toxic), 0) as toxic_lost
+            from each group by all)
+        select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+               unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+               (sum(removed) over (partition by part, own))::bigint as shapley
+        from sums
+    """,
 }
