@@ -2,9 +2,9 @@
 
 A site fills one template with data. Tokens (opened and closed elements by path, and blocks of text)
 that occur equally often on each page of a host are one equivalence class: they come from the same
-part of the template. A class is valid if its tokens follow each other in one order on every page and
-it stays within one gap of the class around it; valid classes, nested, are the template. What stands in
-its gaps is data. Gaps of links go, as do blocks that the template itself repeats, and those that
+part of the template. A class is valid if its tags follow each other in one order on every page and
+end in the gap of another class that they began in; valid classes, nested, are the template. What stands
+in its gaps is data. Gaps of links go, as do blocks that the template itself repeats, and those that
 elements, classes or ids name as something else; the other blocks are the article.
 
 Occurrence vectors are never built. Each page has two random numbers, and a token's sums of them
@@ -62,9 +62,9 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def equivalence_classes(pages: DataFrame) -> DataFrame:
-    """Rows (host, class, tokens, texts): tokens with one occurrence vector, in order, and which are texts.
+    """Rows (host, class, tags, texts): tags with one occurrence vector, in page order, and texts with it.
 
-    A class needs two tokens. On hosts of few differing pages texts are in none, so that a text that
+    A class needs two tags. On hosts of few differing pages texts are in none, so that a text that
     all pages share is not taken for the template's. A token has to be on a share of the pages, so
     that a host's classes together have at most ten times the tokens of an average page.
     """
@@ -91,19 +91,21 @@ def equivalence_classes(pages: DataFrame) -> DataFrame:
         & (~F.col("text") | (F.col("n_differ") >= TEXT_PAGES))
     )
     vector = F.xxhash64("g1", "g2", "n", "support")
-    classes = tokens.groupBy("host", vector.alias("class")).agg(F.sort_array(F.collect_list(F.struct("at", "token", "text"))).alias("all"))
-    classes = classes.where("size(all) > 1 and exists(all, t -> not t.text)")
-    return cut(classes.select("host", "class", F.col("all.token").alias("tokens"), F.col("all.text").alias("texts")))
+    tags = F.sort_array(F.collect_list(F.when(~F.col("text"), F.struct("at", "token"))))
+    texts = F.collect_list(F.when(F.col("text"), F.col("token")))
+    classes = tokens.groupBy("host", vector.alias("class")).agg(tags.alias("tags"), texts.alias("texts")).where("size(tags) > 1")
+    return cut(classes.select("host", "class", F.col("tags.token").alias("tags"), "texts"))
 
 
 class Walk:
     """A host's classes, and where a page's texts stand in them."""
 
-    def __init__(self, classes: Iterable):
-        self.places: dict[int, tuple[int, int, bool, bool]] = {}  # token: its class, its rank, the last one, a text
-        for number, tokens, texts in classes:
-            for rank, (token, text) in enumerate(zip(tokens, texts, strict=True)):
-                self.places[token] = (number, rank, rank == len(tokens) - 1, text)
+    def __init__(self, classes: Iterable[tuple[int, Iterable[int], Iterable[int]]]):
+        self.places: dict[int, tuple[int, int, bool]] = {}  # tag: its class, its rank there, whether it is the last one
+        self.texts: set[int] = set()
+        for number, tags, texts in classes:
+            self.places.update((tag, (number, rank, rank == len(tags) - 1)) for rank, tag in enumerate(tags))
+            self.texts.update(texts)
 
     def through(self, tokens: Iterable[int], facts: Iterable[int]) -> tuple[list[tuple[int, int] | None], set[int]]:
         """For each text the gap (class, rank before it) that it stands in, or None if it is the template's; and the classes out of order.
@@ -114,12 +116,13 @@ class Walk:
         bad: set[int] = set()
         inside: list[tuple[int, int]] = []
         for token, fact in zip(tokens, facts, strict=True):
-            place = self.places.get(token)
             if fact & TEXT:
-                gaps.append(None if place else inside[-1] if inside else (0, 0))
+                gaps.append(None if token in self.texts else inside[-1] if inside else (0, 0))
+                continue
+            place = self.places.get(token)
             if place is None:
                 continue
-            number, rank, last, _ = place
+            number, rank, last = place
             at = next((k for k in range(len(inside) - 1, -1, -1) if inside[k][0] == number), -1)
             if rank == 0 and at < 0:
                 inside.append((number, 0))
@@ -147,13 +150,12 @@ class _Walks:
         if walk is None:
             if len(self.kept) >= self.most:
                 self.kept.clear()
-            numbers, tokens, texts = ((c["class"] for c in classes), (c["tokens"] for c in classes), (c["texts"] for c in classes))
-            walk = self.kept[host] = Walk(zip(numbers, tokens, texts, strict=True))
+            walk = self.kept[host] = Walk([(c["class"], c["tags"], c["texts"]) for c in classes])
         return walk
 
 
 def _by_host(classes: DataFrame) -> DataFrame:
-    return classes.groupBy("host").agg(F.collect_list(F.struct("class", "tokens", "texts")).alias("classes"))
+    return classes.groupBy("host").agg(F.collect_list(F.struct("class", "tags", "texts")).alias("classes"))
 
 
 def _meet(rows: DataFrame, hosts: DataFrame, narrow: DataFrame) -> DataFrame:
@@ -164,7 +166,7 @@ def _meet(rows: DataFrame, hosts: DataFrame, narrow: DataFrame) -> DataFrame:
 def _findings(pages: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows (host, class, gap, bad, chars, linked): the texts in the gaps of classes, and classes out of order (gap -1)."""
     rows = pages.select("host", "tokens", "facts")
-    rows = _meet(rows, _by_host(classes), classes.select("host", F.explode("tokens"))).where("classes is not null")
+    rows = _meet(rows, _by_host(classes), classes.select("host", F.explode(F.concat("tags", "texts")))).where("classes is not null")
 
     def find(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         walks = _Walks()
@@ -188,11 +190,15 @@ def _findings(pages: DataFrame, classes: DataFrame) -> DataFrame:
 def templates(pages: DataFrame) -> DataFrame:
     """Rows (host, classes, links): the valid classes of each host, and the gaps whose text is mostly links."""
     classes = equivalence_classes(pages)
-    found = cut(_findings(pages, classes))
-    bad = found.where("bad = 1").select("host", "class")
-    links = found.where("gap >= 0 and 2 * linked > chars").select("host", F.struct("class", "gap").alias("gap"))
+    while True:
+        found = cut(_findings(pages, classes))
+        bad = found.where("bad = 1").select("host", "class")
+        if bad.isEmpty():
+            break
+        classes = cut(classes.join(bad, ["host", "class"], "left_anti"))  # texts then stand in the gaps of others
+    links = found.where("2 * linked > chars").select("host", F.struct("class", "gap").alias("gap"))
     links = links.groupBy("host").agg(F.collect_list("gap").alias("links"))
-    return cut(_by_host(classes.join(bad, ["host", "class"], "left_anti")).join(links, "host", "full"))
+    return cut(_by_host(classes).join(links, "host", "full"))
 
 
 def main_text(found: list[tuple[int, int, str]], walk: Walk | None, links: set[tuple[int, int]]) -> str:
@@ -222,7 +228,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """
     hosts = templates(_pages(pages))
     rows = pages.select("page_id", "url", _host(), F.coalesce("html", F.lit("")).alias("html"))
-    rows = _meet(rows, hosts, hosts.select(F.explode("classes").alias("c")).select(F.explode("c.tokens")))
+    rows = _meet(rows, hosts, hosts.select(F.explode("classes").alias("c")).select(F.explode(F.concat("c.tags", "c.texts"))))
 
     def extract(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader, walks = Reader(), _Walks()

@@ -94,7 +94,7 @@ def test_odd_rows(spark):
 def test_classes_are_those_of_plain_occurrence_vectors(spark):
     rows = [(k, f"http://d.example/{k}", site(k, f"<p>x{k}</p>" * (k % 3))) for k in range(15)]
     found = page_text.equivalence_classes(page_text._pages(pages(spark, rows))).collect()
-    got = {frozenset(r["tokens"]) for r in found}
+    got = {(frozenset(r["tags"]), frozenset(r["texts"])) for r in found}
     vectors = defaultdict(lambda: [0] * len(rows))
     is_text = {}
     for at, (_, _, html) in enumerate(rows):
@@ -105,18 +105,20 @@ def test_classes_are_those_of_plain_occurrence_vectors(spark):
     for token, vector in vectors.items():
         if sum(map(bool, vector)) >= 2:
             classes[tuple(vector)].add(token)
-    wanted = {frozenset(c) for c in classes.values() if len(c) > 1 and not all(map(is_text.get, c))}
-    assert got == wanted and len(wanted) >= 3
+    both = [(frozenset(t for t in c if not is_text[t]), frozenset(t for t in c if is_text[t])) for c in classes.values()]
+    wanted = {(tags, texts) for tags, texts in both if len(tags) > 1}
+    assert got == wanted and len(wanted) >= 3 and any(texts for _, texts in wanted)
     for r in found:  # in page order
-        orders = [[t for t, _, _ in Reader().read(h) if t in set(r["tokens"])] for _, _, h in rows]
+        orders = [[t for t, _, _ in Reader().read(h) if t in set(r["tags"])] for _, _, h in rows]
         longest = max(orders, key=len)
-        assert longest[: len(r["tokens"])] == r["tokens"]
+        assert longest[: len(r["tags"])] == r["tags"]
 
 
 def test_a_class_out_of_order_is_no_part_of_the_template():
-    walk = page_text.Walk([(1, [10, 11], [False, False]), (2, [20, 21], [False, False])])
+    walk = page_text.Walk([(1, [10, 11], []), (2, [20, 21], [88])])
     tokens = [10, 99, 20, 99, 21, 11]
     assert walk.through(tokens, [TEXT if t == 99 else 0 for t in tokens]) == ([(1, 0), (2, 0)], set())
+    assert walk.through([20, 88, 99, 21], [0, TEXT, TEXT, 0]) == ([None, (2, 0)], set())
     assert walk.through([11, 10], [0, 0])[1] == {1}
     assert walk.through([10, 20, 11, 21], [0] * 4)[1] == {2}
     assert walk.through([20, 10, 10, 11, 21], [0] * 5)[1] == {1}
