@@ -184,15 +184,15 @@ def _ring_sums(ring: Column) -> Column:
     return F.aggregate(edges, zero, add)
 
 
-def centroid(rings: Column) -> Column:
-    """The planar centroid of a polygon by the shoelace sums; holes count against it.
+def centroid_of(polygons: Column) -> Column:
+    """The planar centroid of polygons together, weighted by area, by the shoelace sums; holes count against it.
 
-    A polygon without an area has its first point for a centroid.
+    Without an area it is the first point. Parts count where they overlap as often as they do.
     """
     parts = F.transform(
-        rings,
-        lambda r, i: F.struct(
-            _ring_sums(r).alias("s"), F.when(i == 0, 1.0).otherwise(-1.0).alias("sign"), r[0].alias("p")
+        F.flatten(F.transform(polygons, lambda rings: F.transform(rings, lambda r, i: F.struct(r.alias("r"), i.alias("i"))))),
+        lambda e: F.struct(
+            _ring_sums(e["r"]).alias("s"), F.when(e["i"] == 0, 1.0).otherwise(-1.0).alias("sign"), e["r"][0].alias("p")
         ),
     )
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
@@ -206,17 +206,33 @@ def centroid(rings: Column) -> Column:
             (s["my"] + way * e["s"]["my"] + 3 * area * e["p"]["y"]).alias("my"),
         )
 
-    whole = F.aggregate(parts, zero, add)
-    start = rings[0][0]
-    return F.when(
-        whole["a"] != 0, point(whole["mx"] / (3 * whole["a"]), whole["my"] / (3 * whole["a"]))
-    ).otherwise(point(start["x"], start["y"]))
+    whole = _bound(F.aggregate(parts, zero, add))
+    start = polygons[0][0][0]
+    middle = whole(
+        lambda w: F.when(w["a"] != 0, point(w["mx"] / (3 * w["a"]), w["my"] / (3 * w["a"]))).otherwise(point(start["x"], start["y"]))
+    )
+    return F.when(F.size(polygons) > 0, middle)
+
+
+def centroid(rings: Column) -> Column:
+    """The planar centroid of one polygon."""
+    return centroid_of(F.array(rings))
+
+
+def centroid_of_by_mercator(polygons: Column) -> Column:
+    """The centroid of polygons together in Web Mercator, as longitude and latitude."""
+    planar = _bound(centroid_of(F.transform(polygons, lambda rings: mapped(rings, lambda x, y: point(mercator_x(x), mercator_y(y))))))
+    return planar(lambda p: point(mercator_lon(p["x"]), mercator_lat(p["y"])))
 
 
 def centroid_by_mercator(rings: Column) -> Column:
-    """The centroid in Web Mercator, as longitude and latitude."""
-    planar = centroid(mapped(rings, lambda x, y: point(mercator_x(x), mercator_y(y))))
-    return point(mercator_lon(planar["x"]), mercator_lat(planar["y"]))
+    """The centroid of one polygon in Web Mercator, as longitude and latitude."""
+    return centroid_of_by_mercator(F.array(rings))
+
+
+def bounds_of(polygons: Column) -> Column:
+    """(west, south, east, north) over all points of polygons."""
+    return bounds(F.flatten(polygons))
 
 
 def bounds(rings: Column) -> Column:
@@ -243,8 +259,7 @@ def _number(value: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"0+$", ""), r"\.$", "")
 
 
-def to_wkt(rings: Column) -> Column:
-    """A polygon's text, with up to six decimals."""
+def _polygon_text(rings: Column) -> Column:
     texts = F.transform(
         rings,
         lambda r: F.concat(
@@ -253,19 +268,61 @@ def to_wkt(rings: Column) -> Column:
             F.lit(")"),
         ),
     )
-    return F.concat(F.lit("POLYGON ("), F.array_join(texts, ", "), F.lit(")"))
+    return F.concat(F.lit("("), F.array_join(texts, ", "), F.lit(")"))
 
 
-def from_wkt(text: Column) -> Column:
-    """The rings of a polygon's text."""
-    rings = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1))
-    return F.transform(
-        rings,
-        lambda r: F.transform(
-            F.split(r, r",\s*"),
-            lambda p: point(F.split(F.trim(p), " ")[0].cast("double"), F.split(F.trim(p), " ")[1].cast("double")),
+def to_wkt(rings: Column) -> Column:
+    """A polygon's text, with up to six decimals."""
+    return F.concat(F.lit("POLYGON "), _polygon_text(rings))
+
+
+def polygons_to_wkt(polygons: Column) -> Column:
+    """The text of polygons: ``POLYGON`` for one, ``MULTIPOLYGON`` for more, with up to six decimals."""
+    many = F.concat(F.lit("MULTIPOLYGON ("), F.array_join(F.transform(polygons, _polygon_text), ", "), F.lit(")"))
+    return (
+        F.when(polygons.isNull(), F.lit(None))
+        .when(F.size(polygons) == 0, "MULTIPOLYGON EMPTY")
+        .when(F.size(polygons) == 1, to_wkt(polygons[0]))
+        .otherwise(many)
+    )
+
+
+_NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+#: A place, of which the first two numbers count: a height and a measure are left out.
+_PLACE = rf"({_NUMBER})\s+({_NUMBER})(?:\s+{_NUMBER}){{0,2}}"
+
+
+def polygons_from_wkt(text: Column) -> Column:
+    """The polygons of a ``POLYGON``'s or ``MULTIPOLYGON``'s text; other text is an error, null stays null.
+
+    Brackets and places become those of nested lists, which a parser of nested lists reads, so that
+    levels are told by their depth. ``EMPTY`` is no polygon.
+    """
+    shape = F.regexp_extract(text, r"(?s)^\s*(?i:(MULTIPOLYGON|POLYGON))(?i:\s*(?:ZM|Z|M))?\s*((?i:EMPTY)|\(.*\))\s*$", 1)
+    body = F.regexp_extract(text, r"(?s)^\s*(?i:MULTIPOLYGON|POLYGON)(?i:\s*(?:ZM|Z|M))?\s*((?i:EMPTY)|\(.*\))\s*$", 1)
+    many = F.upper(shape) == "MULTIPOLYGON"
+    nested = F.translate(F.regexp_replace(body, _PLACE, '["$1","$2"]'), "()", "[]")
+    nested = F.when(many, nested).otherwise(F.concat(F.lit("["), nested, F.lit("]")))
+    parsed = F.from_json(nested, "array<array<array<array<string>>>>", {"mode": "FAILFAST"})
+    polygons = F.transform(
+        parsed,
+        lambda rings: F.transform(
+            rings, lambda r: F.transform(r, lambda p: point(p[0].cast("double"), p[1].cast("double")))
         ),
     )
+    wrong = F.raise_error(F.concat(F.lit("not a polygon's text: "), F.substring(text, 1, 60)))
+    return (
+        F.when(text.isNull(), F.lit(None))
+        .when(shape == "", wrong)
+        .when(F.upper(body) == "EMPTY", F.array().cast("array<array<array<struct<x:double,y:double>>>>"))
+        .otherwise(polygons)
+    )
+
+
+def from_wkt(text: Column) -> Column:
+    """The rings of the text of one polygon; that of several is an error."""
+    several = F.raise_error(F.concat(F.lit("several polygons: "), F.substring(text, 1, 60)))
+    return _bound(polygons_from_wkt(text))(lambda p: F.when(F.size(p) > 1, several).otherwise(F.get(p, F.lit(0))))
 
 
 def contains(rings: Column, x: Column, y: Column) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..sources.writers import observed
+
 from ..functions.text import label_tokens
 
 REMOVED = "remove"
@@ -35,6 +37,13 @@ def count_unmapped(df: DataFrame, mapping: DataFrame, cls: str, mapped: str) ->
     return lost.groupBy(cls).agg(F.count("*").alias("n"))
 
 
+def drop_unmapped_counted(df: DataFrame, mapping: DataFrame, cls: str, mapped: str) -> tuple[DataFrame, Observation]:
+    """:func:`drop_unmapped`, and what counts the ``rows`` and those ``unmapped`` as they pass."""
+    have = mapping.select(F.col(mapped).alias("__m")).distinct().withColumn("__has", F.lit(True))
+    rows, seen = observed(df.join(have, F.col(cls) == F.col("__m"), "left"), unmapped=F.col("__has").isNull())
+    return rows.where("__has").drop("__m", "__has"), seen
+
+
 def task_type(df: DataFrame, cls: str) -> DataFrame:
     """One row (n_classes, task, n_outputs); fewer than two classes are an error."""
     counted = df.agg(F.countDistinct(cls).alias("n_classes"))
@@ -86,6 +95,14 @@ def resolve_landcover(df: DataFrame, mapping: DataFrame, legend: DataFrame, over
     )
 
 
+def resolve_landcover_counted(
+    df: DataFrame, mapping: DataFrame, legend: DataFrame, overrides: DataFrame, excluded: DataFrame
+) -> tuple[DataFrame, Observation]:
+    """:func:`resolve_landcover`, and what counts the ``rows``, those for ``review`` and those ``without_class`` as they pass."""
+    rows = resolve_landcover(df, mapping, legend, overrides, excluded)
+    return observed(rows, review=F.col("needs_review"), without_class=F.col("cls").isNull())
+
+
 def invert_first(mapping: DataFrame) -> DataFrame:
     """Rows (cls, code): of the codes of a class, the first in order."""
     return mapping.groupBy("cls").agg(F.min("ewoc_code").alias("code"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
     missing = sorted(set(names) - set(df.columns))
@@ -64,20 +66,25 @@ def in_random_order(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(random_order(key, seed), key)
 
 
-def with_position(df: DataFrame, order: list, bucket: Column, name: str = "position") -> DataFrame:
-    """The rows in order, each with its place from 0.
+def with_position(df: DataFrame, order: list[Column], key: str, name: str = "position") -> DataFrame:
+    """The rows in order, each with its place from 0; of equal ones, those of smaller hashes of ``key`` first.
 
-    ``bucket`` never falls along the order. Rows are numbered within their bucket, after the counts
-    of the buckets before it, so no task holds more than a bucket.
+    Spark samples the order, hash included, for borders between tasks, so that a value which many
+    rows share is spread over tasks too. Each task numbers its rows as it sorts them; what the tasks
+    before it hold, one number a task, is added afterwards.
     """
-    rows = df.withColumn("__b", bucket)
-    counts = rows.groupBy("__b").agg(F.count("*").alias("__n"))
-    # a row for each bucket: few enough for a running sum in one place
-    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("__b").alias("__sb"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
-    rows = rows.join(starts, F.col("__b").eqNullSafe(F.col("__sb")))
-    place = F.col("__s") + F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1
-    return rows.withColumn(name, place).drop("__b", "__sb", "__s").orderBy(name)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fields = df.columns
+    ranged = df.withColumns({f"__o{k}": c for k, c in enumerate(order)} | {"__tie": F.xxhash64(key)})
+    by = [*(f"__o{k}" for k in range(len(order))), "__tie", key]
+    ranged = ranged.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    ranged = cut(ranged.select(*fields, F.monotonically_increasing_id().alias("__m")))  # the task, and the place in it below 33 bits
+    task, place = F.shiftright("__m", 33), F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(task.alias("__task")).agg(F.count("*").alias("__n"))  # a row for each task
+    starts = starts.select("__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
+    rows = ranged.withColumn("__task", task).join(F.broadcast(starts), "__task")
+    return rows.withColumn(name, F.col("__s") + place).select(*fields, name)
 
 
 def missing_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -16,13 +16,14 @@ from .table_queries import with_rings
 
 #: A country's border, as longitude and latitude.
 BORDER = [(26.9, 45.6), (28.5, 45.5), (29.6, 46.6), (29.0, 47.9), (27.4, 48.2), (26.7, 47.0), (26.9, 45.6)]
-CELL = 0.75
 TILE = 0.5
+CELL = 0.1
 RADIUS = 0.05
 
 
-def border() -> Column:
-    return F.array(F.array(*[geo.point(F.lit(x), F.lit(y)) for x, y in BORDER]))
+def border(t: Tables) -> DataFrame:
+    """One row (rings): the country's border."""
+    return t.spark.range(1).select(F.array(F.array(*[geo.point(F.lit(x), F.lit(y)) for x, y in BORDER])).alias("rings"))
 
 
 _R = geo.SEMI_MAJOR
@@ -155,7 +156,7 @@ def epsg_is_meters(t: Tables) -> DataFrame:
     on p.lon >= t.west and p.lon < t.east and p.lat >= t.south and p.lat < t.north group by 1
 """)
 def point_in_tile(t: Tables) -> DataFrame:
-    found = spatial.point_in_polygon(t("fx_points"), with_rings(t("fx_tiles")), "tile", CELL)
+    found = spatial.point_in_polygon(t("fx_points"), with_rings(t("fx_tiles")), "tile")
     return found.select("point_id", "tile")
 
 
@@ -166,7 +167,7 @@ def point_in_tile(t: Tables) -> DataFrame:
 """)
 def null_epsg_count(t: Tables) -> DataFrame:
     tiles = with_rings(t("fx_tiles")).where("tile <> '34LQA'")
-    found = spatial.point_in_polygon(t("fx_points"), tiles, "tile", CELL)
+    found = spatial.point_in_polygon(t("fx_points"), tiles, "tile")
     return tables.null_count(found.withColumn("epsg", text.mgrs_to_epsg(F.col("tile"))), "epsg")
 
 
@@ -195,7 +196,7 @@ def _meets_sql(source: str) -> str:
     select x as unit_id from hit
 """)
 def tiles_intersecting(t: Tables) -> DataFrame:
-    return spatial.tiles_meeting(t("fx_units"), border()).select("unit_id")
+    return spatial.tiles_meeting(t("fx_units"), border(t), CELL).select("unit_id")
 
 
 _COVER = """
@@ -230,21 +231,21 @@ def block_ids(t: Tables) -> DataFrame:
 
 @query(f"with {_COVER}, {_meets_sql('cover')}, {_NAMED.format('hit')} select tile_name, {_BOX_SQL} from n")
 def country_grid(t: Tables) -> DataFrame:
-    grid = spatial.country_grid(_extent(t), border(), TILE, "MDA")
+    grid = spatial.country_grid(_extent(t), border(t), TILE, "MDA")
     return grid.select("tile_name", *[F.round(c, 6).alias(c) for c in _BOX])
 
 
 @query()
 def grid_to_geojson(t: Tables) -> DataFrame:
     """A GeoJSON feature for each tile of the country's grid."""
-    return writers.geojson_features(with_rings(spatial.country_grid(_extent(t), border(), TILE, "MDA")), "rings", ["tile_name"])
+    return writers.geojson_features(with_rings(spatial.country_grid(_extent(t), border(t), TILE, "MDA")), "rings", ["tile_name"])
 
 
 @query(f"""
     with k as (select unit_id as known_id, west as lon, south as lat, unit_id % 7 as kind from fx_units),
     d as (select p.point_id, k.known_id, k.kind, (p.lon - k.lon) * (p.lon - k.lon) + (p.lat - k.lat) * (p.lat - k.lat) as d2
           from fx_points p, k),
-    r as (select *, row_number() over (partition by point_id order by d2, known_id) as r from d where d2 <= {RADIUS * RADIUS!r}::double)
+    r as (select *, row_number() over (partition by point_id order by d2, known_id) as r from d)
     select p.point_id, known_id, kind from fx_points p left join r on p.point_id = r.point_id and r.r = 1
 """)
 def nearest_join(t: Tables) -> DataFrame:
@@ -252,7 +253,7 @@ def nearest_join(t: Tables) -> DataFrame:
         F.col("unit_id").alias("known_id"), F.col("west").alias("lon"), F.col("south").alias("lat"),
         (F.col("unit_id") % 7).alias("kind"),
     )
-    return spatial.nearest(t("fx_points"), known, RADIUS, ["kind"]).select("point_id", "known_id", "kind")
+    return spatial.nearest(t("fx_points"), known, ["kind"]).select("point_id", "known_id", "kind")
 
 
 @query(f"""
@@ -263,7 +264,7 @@ def nearest_join(t: Tables) -> DataFrame:
     select unit_id, tile, epsg as epsg_utm, round(ux, 3) as x, round(uy, 3) as y from utm
 """)
 def utm_enrich(t: Tables) -> DataFrame:
-    rows = spatial.utm_enriched(with_rings(t("fx_units")), with_rings(t("fx_tiles")), "unit_id", CELL)
+    rows = spatial.utm_enriched(with_rings(t("fx_units")), with_rings(t("fx_tiles")), "unit_id")
     # the first corner of the text, to the millimetre
     corner = geo.from_wkt(F.col("geometry_utm_wkt"))[0][0]
     return rows.select(
@@ -344,7 +345,7 @@ def country_grid_job(t: Tables) -> DataFrame:
 @query(f"with {_COVER}, {_meets_sql('cover')}, {_NAMED.format('hit')} select tile_name, {_BOX_SQL} from n")
 def geojson_sink(t: Tables) -> DataFrame:
     """The country's grid as GeoJSON, read back."""
-    grid = with_rings(spatial.country_grid(_extent(t), border(), TILE, "MDA"))
+    grid = with_rings(spatial.country_grid(_extent(t), border(t), TILE, "MDA"))
     path = writers.scratch_path(t.spark, "tiles.geojson")
     writers.write_geojson(grid, path, "rings", ["tile_name"])
     rows = readers.scan_features(t.spark, path).withColumn("b", geo.bounds(F.col("rings")))
@@ -361,6 +362,6 @@ def geojson_sink(t: Tables) -> DataFrame:
 def derived_ids(t: Tables) -> DataFrame:
     """Ids of points that take over the attributes of a known point near them."""
     known = t("fx_units").select(F.col("unit_id").alias("known_id"), F.col("west").alias("lon"), F.col("south").alias("lat"))
-    found = spatial.nearest(t("fx_points"), known, RADIUS, []).where("known_id is not null")
+    found = spatial.nearest(t("fx_points"), known, [], RADIUS).where("known_id is not null")
     sample = F.concat(F.lit("S_"), F.col("point_id").cast("string"))
     return found.select("point_id", text.derived_sample_id(sample, F.col("known_id")).alias("sample_id"))

@@ -115,13 +115,13 @@ def saved_splits(t: Tables) -> DataFrame:
     """Tables of splits: computed and saved at first, then read as they were saved."""
     rows = t("fx_samples").select("sample_id", splits.random_split(F.col("sample_id")).alias("split"))
     root = writers.scratch_path(t.spark, "splits")
-    paths = {name: f"{root}/{name}" for name in splits.SHARES}
+    print_ = writers.fingerprint_of(t.sf_dir, splits.SHARES)
 
     def compute() -> dict[str, DataFrame]:
-        return {name: rows.where(F.col("split") == name) for name in paths}
+        return {name: rows.where(F.col("split") == name) for name in splits.SHARES}
 
-    first = writers.load_or_compute(t.spark, paths, compute)
-    again = writers.load_or_compute(t.spark, paths, lambda: {})
+    first = writers.load_or_compute(t.spark, root, compute, print_)
+    again = writers.load_or_compute(t.spark, root, lambda: {}, print_)
     both = tables.union_splits(*first.values(), *again.values())
     counts = both.groupBy("split", "sample_id").agg(F.count("*").alias("k"))
     return counts.groupBy("split").agg(F.count("*").alias("n"), F.max("k").alias("n_reads"))

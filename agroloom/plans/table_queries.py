@@ -418,13 +418,13 @@ def min_date_fill(t: Tables) -> DataFrame:
 """)
 def sort_codes(t: Tables) -> DataFrame:
     rows = t("fx_mapping").withColumn("code", F.col("ewoc_code").cast("bigint"))
-    return tables.with_position(rows, ["code"], F.floor(F.col("code") / 1024))
+    return tables.with_position(rows, [F.col("code")], "code")
 
 
 @query("select tile_name, status, row_number() over (order by md5('42|' || tile_name), tile_name) - 1 as position from fx_jobs")
 def shuffle_tiles(t: Tables) -> DataFrame:
     order = tables.random_order("tile_name")
-    return tables.with_position(t("fx_jobs"), [order, "tile_name"], F.substring(order, 1, 2))
+    return tables.with_position(t("fx_jobs"), [order, F.col("tile_name")], "tile_name")
 
 
 @query("""

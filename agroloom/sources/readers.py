@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import struct
+import json
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-_FEATURE = "struct<geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
-_RINGS = "array<array<array<double>>>"
+from ..functions.geo import WGS84
+from .geojson import read_geojson
+from .wkb import from_wkb
 
 
 def scan_parquet(spark: SparkSession, paths: list[str], columns: list[str] | None = None) -> DataFrame:
@@ -68,86 +66,61 @@ def read_colormap_json(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("index").cast("int"), "entry.name", *channels)
 
 
-def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (properties, kind, rings) of polygon features, one feature a line.
+def geo_metadata(spark: SparkSession, path: str) -> dict | None:
+    """What the footer of a table's first file says of its geometries, under the key ``geo``; None if nothing."""
+    first = min(spark.read.parquet(path).inputFiles(), default=None)
+    if first is None:
+        return None
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(first), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+    try:
+        text = reader.getFooter().getFileMetaData().getKeyValueMetaData().get("geo")
+    finally:
+        reader.close()
+    return None if text is None else json.loads(text)
 
-    A feature of another kind is an error; lines without a geometry are skipped.
+
+def _stated(geo: dict | None) -> tuple[str, int | None]:
+    """The column of geometries, and the code of its coordinates where the footer states one.
+
+    Without a word on coordinates they are longitude and latitude; an explicit null leaves them open.
     """
-    text = spark.read.text(path)
-    feature = F.from_json("value", _FEATURE)
-    rows = text.select(feature.alias("f")).where(F.col("f.geometry").isNotNull())
-    kind = F.col("f.geometry.type")
-    checked = F.when(kind == "Polygon", kind).otherwise(
-        F.raise_error(F.concat(F.lit("not a polygon: "), F.coalesce(kind, F.lit("null"))))
-    )
-    rings = F.from_json("f.geometry.coordinates", _RINGS)
-    points = F.transform(
-        rings, lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    )
-    return rows.select(F.col("f.properties").alias("properties"), checked.alias("kind"), points.alias("rings"))
+    if geo is None:
+        return "geometry", None
+    column = geo.get("primary_column", "geometry")
+    crs = geo.get("columns", {}).get(column, {}).get("crs", {"id": {"authority": "OGC", "code": "CRS84"}})
+    own = (crs or {}).get("id", {})
+    if own.get("authority") == "OGC" and own.get("code") == "CRS84":
+        return column, WGS84
+    return column, int(own["code"]) if own.get("authority") == "EPSG" else None
 
 
 def scan_features(spark: SparkSession, path: str, epsg: int | None = None) -> DataFrame:
     """A vector file by its extension.
 
-    A table needs ``rings``, or ``geometry`` as well-known binary, and its code: the column
-    ``epsg``, or the one given. From binary come ``polygons`` and, as ``rings``, the first of them.
+    A table needs ``rings``, or geometries as well-known binary, and the code of its coordinates: the
+    column ``epsg``, the one given, or the one that the footers of GeoParquet state. From binary come
+    ``polygons`` and, as ``rings``, the first of them.
     """
     if path.endswith(".geojson"):
         return read_geojson(spark, path)
     if not path.endswith(".parquet"):
         raise ValueError(f"unsupported vector file: {path}")
     df = spark.read.parquet(path)
+    column, stated = ("geometry", None) if "rings" in df.columns and "epsg" in df.columns else _stated(geo_metadata(spark, path))
     if "epsg" not in df.columns:
-        if epsg is None:
+        if epsg is None and stated is None:
             raise ValueError("the table has no code of its coordinates, and none is given")
-        df = df.withColumn("epsg", F.lit(epsg))
+        df = df.withColumn("epsg", F.lit(stated if epsg is None else epsg))
     if "rings" in df.columns:
         return df
-    if "geometry" not in df.columns:
+    if column not in df.columns:
         raise ValueError("the table has no geometry")
-    df = df.withColumn("polygons", from_wkb(F.col("geometry"))).drop("geometry")
+    df = df.withColumn("polygons", from_wkb(F.col(column))).drop(column)
     return df.withColumn("rings", F.get("polygons", F.lit(0)))
 
 
-_POLYGONS = T.ArrayType(T.ArrayType(T.ArrayType(POINT)))
-#: The codes of polygons and multipolygons in well-known binary.
-_POLYGON, _MULTIPOLYGON = 3, 6
-# End of fixed values.
-
-
-def _polygons_of(data: bytes) -> list:
-    """The polygons of a geometry in well-known binary of two dimensions; of another kind: an error."""
-    at = 0
-
-    def polygon() -> tuple[int, list]:
-        nonlocal at
-        order = "<" if data[at] == 1 else ">"
-        kind, count = struct.unpack_from(f"{order}II", data, at + 1)
-        at += 9
-        parts = []
-        for _ in range(count):
-            if kind == _MULTIPOLYGON:
-                parts.append(polygon()[1])
-            elif kind == _POLYGON:
-                (n,) = struct.unpack_from(f"{order}I", data, at)
-                points = np.frombuffer(data, f"{order}f8", 2 * n, at + 4).reshape(-1, 2).tolist()
-                parts.append([{"x": x, "y": y} for x, y in points])
-                at += 4 + 16 * n
-            else:
-                raise ValueError(f"not a polygon: kind {kind} of geometry")
-        return kind, parts
-
-    kind, parts = polygon()
-    return parts if kind == _MULTIPOLYGON else [parts]
-
-
-@F.pandas_udf(_POLYGONS)
-def from_wkb(geometry: pd.Series) -> pd.Series:
-    """Polygons from well-known binary; null stays null."""
-    return geometry.map(lambda g: None if g is None else _polygons_of(bytes(g)))
-
-
 def scan_labels(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A label file with a header, of these columns, all read as text: so codes keep their zeros."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])

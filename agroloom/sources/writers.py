@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-import struct
 from collections.abc import Callable
 from uuid import uuid4
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import shared_root
+from .wkb import to_wkb
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    return f"{root.rstrip('/')}/{uuid4().hex}/{name}"
+    return f"{shared_root(spark)}/{uuid4().hex}/{name}"
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -30,28 +30,24 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-@F.pandas_udf(T.BinaryType())
-def _encoded(rings: pd.Series) -> pd.Series:
-    return rings.map(lambda r: None if r is None else _polygon_bytes(r))
-
-
 def wkb(rings: str) -> Column:
     """A column of polygons as well-known binary; null stays null."""
-    return _encoded(F.to_json(rings))
-
-
-def _polygon_bytes(text: str) -> bytes:
-    out = [struct.pack("<BII", 1, 3, len(rings := json.loads(text)))]
-    for ring in rings:
-        out.append(struct.pack("<I", len(ring)))
-        out += [struct.pack("<dd", p["x"], p["y"]) for p in ring]
-    return b"".join(out)
+    return to_wkb(F.when(F.col(rings).isNotNull(), F.array(rings)))
 
 
 def write_id_list(df: DataFrame, key: str, path: str) -> None:
-    """The distinct keys as one JSON list, sorted; for short lists."""
-    whole = df.agg(F.to_json(F.sort_array(F.collect_set(key))).alias("value"))
-    whole.coalesce(1).write.mode("overwrite").text(path)
+    """The distinct keys as one JSON list, sorted, in one file with a key a line.
+
+    One task writes the file, as one file has to be, and sorts what it writes on disk if need be.
+    """
+    keys = df.select(F.col(key).alias("k")).where("k is not null").distinct()
+    first = keys.agg(F.min("k").alias("first"))
+    text = F.regexp_extract(F.to_json(F.struct("k")), r"^\{\"k\":(.*)\}$", 1)
+    lines = keys.join(F.broadcast(first)).select(F.lit(1).alias("part"), "k", F.concat(F.when(F.col("k") == F.col("first"), "").otherwise(","), text).alias("value"))
+    ends = first.select(F.explode(F.array(F.lit(0), F.lit(2))).alias("part"), F.col("first").alias("k"))
+    ends = ends.withColumn("value", F.when(F.col("part") == 0, "[").otherwise("]"))
+    whole = lines.unionByName(ends).coalesce(1).sortWithinPartitions("part", "k")
+    whole.select("value").write.mode("overwrite").text(path)
 
 
 def write_mapping_json(df: DataFrame, path: str) -> None:
@@ -68,30 +64,110 @@ def write_mapping_json(df: DataFrame, path: str) -> None:
     whole.select(text.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
-def geojson_features(df: DataFrame, rings: str, properties: list[str]) -> DataFrame:
-    """Rows (value): a GeoJSON feature for each polygon."""
-    coordinates = F.transform(F.col(rings), lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
-    geometry = F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates"))
-    feature = F.struct(
-        F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*properties).alias("properties")
-    )
-    return df.select(F.to_json(feature).alias("value"))
+def geojson_features(df: DataFrame, shape: str, properties: list[str]) -> DataFrame:
+    """Rows (value): a GeoJSON feature for each row; ``shape`` is a column of rings or of polygons.
+
+    Several polygons make a multipolygon; a null shape is a feature without a geometry.
+    """
+
+    def places(rings: Column) -> Column:
+        return F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
+
+    column = F.col(shape)
+    if df.schema[shape].dataType.simpleString().startswith("array<array<array<"):
+        single = F.size(column) == 1
+        kind = F.when(single, "Polygon").otherwise("MultiPolygon")
+        coordinates = F.when(single, F.to_json(places(column[0]))).otherwise(F.to_json(F.transform(column, places)))
+    else:
+        kind, coordinates = F.lit("Polygon"), F.to_json(places(column))
+    geometry = F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coordinates, F.lit("}"))
+    parts = [F.lit('{"type":"Feature","geometry":'), F.coalesce(geometry, F.lit("null"))]
+    parts += [F.lit(',"properties":'), F.to_json(F.struct(*properties)), F.lit("}")]
+    return df.select(F.concat(*parts).alias("value"))
+
+
+def write_geojson(df: DataFrame, path: str, shape: str, properties: list[str]) -> None:
+    geojson_features(df, shape, properties).write.mode("overwrite").text(path)
+
+
+def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """The same rows, and what counts them (``rows``) and those that meet each condition as they pass.
+
+    The counts are there (``.get``) once something has read the rows to their end; nothing is read twice.
+    """
+    seen = Observation()
+    sums = [F.coalesce(F.count_if(c), F.lit(0)).alias(name) for name, c in counts.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *sums), seen
+
+
+def write_counted(df: DataFrame, path: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The table as written and read back, and the counts of :func:`observed` from that pass."""
+    rows, seen = observed(df, **counts)
+    return write_parquet(rows, path), seen.get
+
+
+_MARKER = "published.json"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _published(spark: SparkSession, folder: str) -> dict:
+    """What the marker of a folder says: the fingerprint, and each table's own folder and rows; {} without one."""
+    files, at = _hadoop(spark, f"{folder}/{_MARKER}")
+    if not files.exists(at):
+        return {}
+    return json.loads("".join(r["value"] for r in spark.read.text(f"{folder}/{_MARKER}", wholetext=True).collect()))
+
 
+def _publish(spark: SparkSession, folder: str, content: dict) -> None:
+    """Put the marker in place by one renaming, so that readers see the old one, none or the whole new one."""
+    files, side = _hadoop(spark, f"{folder}/{_MARKER}.{uuid4().hex}")
+    out = files.create(side, True)
+    try:
+        out.write(bytearray(json.dumps(content).encode()))
+    finally:
+        out.close()
+    _, marker = _hadoop(spark, f"{folder}/{_MARKER}")
+    if files.exists(marker):
+        files.delete(marker, False)
+    if not files.rename(side, marker):
+        raise OSError(f"can't publish {marker}")
 
-def write_geojson(df: DataFrame, path: str, rings: str, properties: list[str]) -> None:
-    geojson_features(df, rings, properties).write.mode("overwrite").text(path)
 
+def load_or_compute(
+    spark: SparkSession, folder: str, compute: Callable[[], dict[str, DataFrame]], fingerprint: str = ""
+) -> dict[str, DataFrame]:
+    """The tables last published in ``folder`` with this fingerprint, else computed, written and published.
 
-def load_or_compute(spark: SparkSession, paths: dict[str, str], compute: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    """The tables at ``paths`` if all exist, else computed, written and read back."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    ``fingerprint`` says what the tables depend on, such as a hash of paths and parameters; tables of
+    another one are computed again. Each table is written to a new folder beside those that are read,
+    with its rows counted as they are written; one marker, renamed into place after the last table,
+    names them. So a job that ends halfway leaves nothing that counts as saved, and a table whose
+    files were lost since (fewer rows than were written, or none to be read) is computed again.
+    """
+    saved = _published(spark, folder)
+    if saved.get("fingerprint") == fingerprint:
+        tables = {name: (f"{folder}/{t['folder']}", t["rows"]) for name, t in saved["tables"].items()}
+        if all(_whole(spark, path, rows) for path, rows in tables.values()):
+            return {name: spark.read.parquet(path) for name, (path, _) in tables.items()}
+    names, tables = {}, {}
+    for name, df in compute().items():
+        own = f"{name}-{uuid4().hex}"
+        tables[name], counts = write_counted(df, f"{folder}/{own}")
+        names[name] = {"folder": own, "rows": counts["rows"]}
+    _publish(spark, folder, {"fingerprint": fingerprint, "tables": names})
+    return tables
 
-    def exists(path: str) -> bool:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf).exists(p)
 
-    if not all(exists(p) for p in paths.values()):
-        for name, df in compute().items():
-            write_parquet(df, paths[name])
-    return {name: spark.read.parquet(p) for name, p in paths.items()}
+def _whole(spark: SparkSession, path: str, rows: int) -> bool:
+    """Whether a table was finished and still has its rows, which Spark counts from the files' footers."""
+    files, at = _hadoop(spark, f"{path}/_SUCCESS")
+    return files.exists(at) and spark.read.parquet(path).count() == rows
+
+
+def fingerprint_of(*parts: object) -> str:
+    """A fingerprint of parameters, paths and schemas: equal for equal values, whatever the session."""
+    return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()

@@ -315,11 +315,32 @@ def test_saved_tables_are_used_again(spark, tmp_path):
 
     def compute():
         calls.append(1)
-        return {"a": spark.range(3)}
+        return {"a": spark.range(3), "b": spark.range(5).repartition(2)}
 
-    for _ in range(2):
-        assert writers.load_or_compute(spark, {"a": str(tmp_path / "a")}, compute)["a"].count() == 3
-    assert calls == [1]
+    def sizes(fingerprint="x"):
+        return {name: df.count() for name, df in writers.load_or_compute(spark, str(tmp_path), compute, fingerprint).items()}
+
+    assert sizes() == sizes() == {"a": 3, "b": 5} and len(calls) == 1
+    assert sizes("y") == sizes("y") == {"a": 3, "b": 5} and len(calls) == 2  # what they are made from has changed
+    (part, *_) = sorted(p for p in tmp_path.glob("b-*/part-*.parquet"))
+    for p in tmp_path.glob("b-*/part-*.parquet"):
+        p.unlink()  # a file was lost
+    assert sizes("y") == {"a": 3, "b": 5} and len(calls) == 3 and not part.exists()
+
+
+def test_a_write_that_stops_halfway_is_computed_again(spark, tmp_path):
+    def broken():
+        stop = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("stop")).cast("bigint")).alias("id"))
+        return {"a": spark.range(3), "b": stop}
+
+    with pytest.raises(PySparkException):
+        writers.load_or_compute(spark, str(tmp_path), broken, "x")
+    got = writers.load_or_compute(spark, str(tmp_path), lambda: {"a": spark.range(2), "b": spark.range(4)}, "x")
+    assert {n: df.count() for n, df in got.items()} == {"a": 2, "b": 4}
+    with pytest.raises(PySparkException):  # and what was published before stays whole
+        writers.load_or_compute(spark, str(tmp_path), broken, "z")
+    again = writers.load_or_compute(spark, str(tmp_path), broken, "x")
+    assert {n: df.count() for n, df in again.items()} == {"a": 2, "b": 4}
 
 
 def test_the_downstream_order_puts_other_first():
