@@ -57,11 +57,14 @@ def failing_relations(checked: DataFrame) -> dict[str, DataFrame]:
 def split_by(rows: DataFrame, relation: DataFrame, keys: list[str], flag: Column | int) -> DataFrame:
     """``rows`` with ``flag`` added to their ``cell`` where ``relation`` has a row of the same keys.
 
-    Rows that have one are found by a left-semi join and the others by a left-anti join of the same
-    exchanges; the result is written, so that later joins don't repeat these.
+    Rows that have one are found by a left-semi join and the others by a left-anti join. A relation of
+    few rows is broadcast; else both joins use the same exchanges. The result is written, so that later
+    joins don't repeat these, in as many parts as a shuffle makes.
     """
+    relation = F.broadcast(relation) if few(relation) else relation
     has = rows.join(relation, keys, "left_semi").withColumn("cell", F.col("cell") + flag)
-    return cut(has.unionByName(rows.join(relation, keys, "left_anti")))
+    both = has.unionByName(rows.join(relation, keys, "left_anti"))
+    return cut(both.coalesce(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
