@@ -8,6 +8,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +17,10 @@ from .common import content_key, cut, held_out, keyed, semi, text_of, uniform, w
 UNKNOWN = "und"
 #: Bound of the training sample: about so many documents of each language.
 SAMPLE = 1500
-#: Bounds of the model: so many words, and as many n-grams, over all languages. Each language has
-#: an equal share, for its own most frequent ones, so that no language crowds out another.
-WORDS, GRAMS = 60_000, 60_000
+#: Bounds of what is fitted: the languages with most documents, and pairs of a unit and a language
+#: that has it, of 14 bytes each. The sample of one language has some 60,000 words and 14,000 n-grams, so
+#: about 50 languages are held whole; of more, each has an equal share for its most frequent units.
+LANGUAGES, UNITS = 400, 4_000_000
 LONGEST = 4
 #: Words whose scores a worker keeps; a full cache is emptied.
 CACHED = 300_000
@@ -65,79 +67,93 @@ def _tally(batches):
             )
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> dict:
-    """The model: languages, and by unit its row of log frequencies per language.
+class Model:
+    """Log frequencies by unit and language, as flat sorted arrays: an entry for each language that has a unit.
+
+    Units are told by 64 bits of a hash (of four million, two share one with a chance in a million).
+    A language that lacks a unit has the frequency of an unseen one among units of that length.
+    """
+
+    def __init__(self, langs: list[str], units: np.ndarray, lang: np.ndarray, n: np.ndarray, count: np.ndarray, totals: np.ndarray):
+        self.langs = langs
+        order = np.lexsort((lang, units))
+        units, lang, n, count = units[order], lang[order], n[order], count[order]
+        first = np.flatnonzero(np.concatenate(([True], units[1:] != units[:-1]))) if units.size else np.zeros(0, "i8")
+        self.units, self.starts = units[first], np.append(first, units.size)
+        kinds = np.bincount(n[first], minlength=LONGEST + 1)  # distinct units by length
+        below = totals + 0.5 * (kinds[:, None] + 1)
+        self.lang, self.value = lang.astype("u2"), np.log((count + 0.5) / below[n, lang]).astype("f4")
+        self.unseen = np.log(0.5 / below).astype("f4")
+
+    def row(self, n: int, unit: str) -> np.ndarray | None:
+        """The unit's log frequency in each language; None if no language has it."""
+        key = unit_key(n, unit)
+        at = int(np.searchsorted(self.units, np.uint64(key)))
+        if at == self.units.size or int(self.units[at]) != key:
+            return None
+        own = slice(self.starts[at], self.starts[at + 1])
+        row = self.unseen[n].copy()
+        row[self.lang[own]] = self.value[own]
+        return row
+
+
+def unit_key(n: int, unit: str) -> int:
+    return xxhash.xxh3_64_intdigest(unit, n)
+
+
+def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
+    """The model: languages, and by unit its log frequencies per language.
 
     Learns from text and non-null lang of documents that are not held out: about ``sample`` of
-    each language, picked by a hash of the id. The model's size is bounded by WORDS and GRAMS,
-    which the languages share equally.
+    each language, picked by a hash of the id. All that the sample has is kept, up to the bounds
+    LANGUAGES and UNITS, so a broadcast of the model is 56 MB at most.
     """
     known = docs.where(~held_out() & F.col("lang").isNotNull()).select(
         "doc_id", F.col("lang").cast("string"), text_of().alias("text")
     )
-    sizes = known.groupBy("lang").count()
+    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     share = F.lit(float(sample)) / F.col("count")
-    picked = known.join(F.broadcast(sizes), "lang") if _few(sizes) else known.join(sizes, "lang")
+    picked = known.join(F.broadcast(sizes), "lang")
     picked = picked.where(uniform(F.lit(5), F.col("doc_id")) < share).select("lang", "text")
     units = picked.mapInArrow(_tally, "lang string, n int, unit string, count bigint")
     tally = cut(units.groupBy("lang", "n", "unit").agg(F.sum("count").alias("count")))
     return _model(tally)
 
 
-def _few(sizes: DataFrame) -> bool:
-    return sizes.limit(10_001).count() <= 10_000
-
-
-def _model(tally: DataFrame) -> dict:
-    totals = {(r["lang"], r["n"]): r["total"] for r in tally.groupBy("lang", "n").agg(F.sum("count").alias("total")).collect()}
-    langs = sorted({lang for lang, _ in totals})
+def _model(tally: DataFrame) -> Model:
+    sizes = tally.groupBy("lang", "n").agg(F.sum("count").alias("total"), F.count("*").alias("units")).collect()
+    langs = sorted({r["lang"] for r in sizes})
     at = {lang: i for i, lang in enumerate(langs)}
-    kind = F.when(F.col("n") == 0, 0).otherwise(1).alias("kind")
-    share = F.when(F.col("kind") == 0, WORDS // max(1, len(langs))).otherwise(GRAMS // max(1, len(langs)))
-    # a window holds the units of one language's share of the sample, which is bounded
-    place = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("count"), "n", "unit"))
-    ranked = tally.withColumn("kind", kind).withColumn("place", place)
-    kept = ranked.where(F.col("place") <= F.greatest(share, F.lit(1))).select("n", "unit").distinct()
-    # the model's rows come as one Arrow table, a row for each unit
-    each = F.transform(F.array(*map(F.lit, langs)), lambda lang: F.coalesce(F.try_element_at("by", lang), F.lit(0)))
-    by = tally.join(kept, ["n", "unit"]).groupBy("n", "unit").agg(F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by"))
-    rows = by.select("n", "unit", (each if langs else F.array().cast("array<bigint>")).alias("counts")).toArrow()
-    rows = rows.sort_by([("n", "ascending"), ("unit", "ascending")]).combine_chunks()
-    index = {key: i for i, key in enumerate(zip(rows["n"].to_pylist(), rows["unit"].to_pylist(), strict=True))}
-    counts = np.zeros((len(index), max(1, len(langs))))
-    if len(index):
-        counts[:] = np.concatenate([c.flatten().to_numpy() for c in rows["counts"].chunks]).reshape(counts.shape)
-    sums = np.zeros((LONGEST + 1, max(1, len(langs))))
-    for (lang, n), total in totals.items():
-        sums[n, at[lang]] = total
-    kind = np.array([n for n, _ in index], int)
-    kinds = np.bincount(kind, minlength=LONGEST + 1)
-    if len(index):
-        table = np.log((counts + 0.5) / (sums[kind] + 0.5 * (kinds[kind][:, None] + 1)))
-    else:
-        table = counts
-    return {"langs": langs, "index": index, "table": table.astype("f4")}
+    totals = np.zeros((LONGEST + 1, max(1, len(langs))))
+    for r in sizes:
+        totals[r["n"], at[r["lang"]]] = r["total"]
+    if sum(r["units"] for r in sizes) > UNITS:
+        # a window holds the units of one language's share of the sample, which is bounded
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n") == 0, F.desc("count"), "n", "unit"))
+        tally = tally.withColumn("place", place).where(F.col("place") <= max(1, UNITS // len(langs)))
+    rows = tally.select("lang", "n", "unit", "count").toArrow()  # at most UNITS rows
+    n = rows["n"].to_numpy().astype("i8")
+    units = np.fromiter(map(unit_key, n.tolist(), rows["unit"].to_pylist()), "u8", rows.num_rows)
+    lang = np.fromiter(map(at.__getitem__, rows["lang"].to_pylist()), "i8", rows.num_rows)
+    return Model(langs, units, lang, n, rows["count"].to_numpy().astype("f8"), totals)
 
 
 class _Scores(dict):
     """Word to the row of its scores: of the word itself, or of its longest known n-grams."""
 
-    def __init__(self, model: dict) -> None:
+    def __init__(self, model: Model) -> None:
         super().__init__()
         self.model = model
-        self.rows = np.zeros((1024, len(model["langs"])), "f4")
+        self.rows = np.zeros((1024, len(model.langs)), "f4")
 
     def __missing__(self, word: str) -> int:
-        index, table = self.model["index"], self.model["table"]
-        row = index.get((0, word))
-        if row is not None:
-            score = table[row]
-        else:
+        score = self.model.row(0, word)
+        if score is None:
             score = 0
             for n in range(LONGEST, 0, -1):
-                found = [r for g in grams(word, n) if (r := index.get((n, g))) is not None]
+                found = [r for g in grams(word, n) if (r := self.model.row(n, g)) is not None]
                 if found:
-                    score = table[found].mean(axis=0)
+                    score = np.mean(found, axis=0)
                     break
         if len(self) == len(self.rows):
             self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
@@ -146,10 +162,10 @@ class _Scores(dict):
         return self[word]
 
 
-def _predictor(model, token: str):
+def _predictor(model: Model, token: str):
     """A function from a text to (language, score); a worker's scores are kept between its tasks."""
     kept = worker_cache(token, lambda: {"scores": _Scores(model)})
-    langs = model["langs"]
+    langs = model.langs
 
     def predict(text: str | None) -> tuple[str, float]:
         scores = kept["scores"]
@@ -166,7 +182,7 @@ def _predictor(model, token: str):
     return predict
 
 
-def identify(docs: DataFrame, model: dict) -> DataFrame:
+def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Rows (doc_id, held_out, lang_pred, score), one for each row of ``docs``.
 
     The score is the prediction's posterior under equal priors, from 0 to 1; the language is one

@@ -6,6 +6,7 @@ import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -41,45 +42,93 @@ def test_language_by_words_and_by_grams(spark):
     assert language_id.identify(df.limit(0), language_id.learn(df.limit(0))).count() == 0
 
 
-def brute_language(model, text):
+def brute_model(rows):
+    """Log frequencies by (n, unit), a list by language in order, of all units of all rows."""
+    langs = sorted({lang for _, _, lang in rows})
+    counts = {lang: Counter() for lang in langs}
+    for _, text, lang in rows:
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            counts[lang][0, word] += 1
+            for n in (1, 2, 3, 4):
+                marked = word if n == 1 else f"\x02{word}\x03"
+                counts[lang].update((n, marked[i : i + n]) for i in range(len(marked) - n + 1))
+    units = set().union(*counts.values())
+    kinds = Counter(n for n, _ in units)
+    totals = {lang: Counter() for lang in langs}
+    for lang in langs:
+        for (n, _), c in counts[lang].items():
+            totals[lang][n] += c
+    return langs, {u: np.array([np.log((counts[g][u] + 0.5) / (totals[g][u[0]] + 0.5 * (kinds[u[0]] + 1))) for g in langs]) for u in units}
+
+
+def brute_language(langs, table, text):
     """Languages' sums of log frequencies, unit by unit: a word, else the longest n-grams that are known."""
-    total = np.zeros(len(model["langs"]))
+    total = np.zeros(len(langs))
     for word in re.findall(r"[^\W\d_]+", text.lower()):
-        if (0, word) in model["index"]:
-            total += model["table"][model["index"][0, word]]
+        if (0, word) in table:
+            total += table[0, word]
             continue
         for n in (4, 3, 2, 1):
             marked = word if n == 1 else f"\x02{word}\x03"
-            rows = [model["index"][n, marked[i : i + n]] for i in range(len(marked) - n + 1) if (n, marked[i : i + n]) in model["index"]]
+            rows = [table[n, marked[i : i + n]] for i in range(len(marked) - n + 1) if (n, marked[i : i + n]) in table]
             if rows:
-                total += np.mean([model["table"][r] for r in rows], axis=0)
+                total += np.mean(rows, axis=0)
                 break
     share = np.exp(total - total.max())
-    return model["langs"][int(total.argmax())], float(share.max() / share.sum())
+    return langs[int(total.argmax())], float(share.max() / share.sum())
 
 
-def test_scores_and_shares_of_unequal_languages(spark, monkeypatch):
-    monkeypatch.setattr(language_id, "WORDS", 160)
-    monkeypatch.setattr(language_id, "GRAMS", 800)
+def unequal_languages():
     random.seed(4)
     rows, vocabulary = [], {}
     for k in range(8):
         letters = [chr(97 + 3 * k + j) for j in range(3)]
         vocabulary[f"l{k}"] = ["".join(random.choices(letters, k=random.randint(3, 7))) for _ in range(400 if k < 2 else 20)]
         rows += [(len(rows) + j, " ".join(random.choices(vocabulary[f"l{k}"], k=40)), f"l{k}") for j in range(300 if k < 2 else 12)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    model = language_id.learn(df)
-    for k in range(8):
-        known = sum((0, w) in model["index"] for w in set(vocabulary[f"l{k}"]))
-        assert known >= 15  # none is crowded out by the large ones
-    assert sum(n == 0 for n, _ in model["index"]) <= 160 and sum(n > 0 for n, _ in model["index"]) <= 800
+    return rows, vocabulary
+
+
+def test_scores_are_those_of_all_units(spark):
+    rows, vocabulary = unequal_languages()
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    langs, table = brute_model([r for r in rows if not is_held_out(r[0])])
+    assert model.langs == langs and model.units.size == len(table)
     texts = [" ".join(random.choices(vocabulary[f"l{random.randrange(8)}"], k=5)) + " zyx qrst " + random.choice("abz") for _ in range(60)]
     asked = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     for r in language_id.identify(asked, model).collect():
-        lang, score = brute_language(model, texts[r["doc_id"]])
+        lang, score = brute_language(langs, table, texts[r["doc_id"]])
         assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-3)
 
 
+def test_shares_of_a_bounded_model(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "UNITS", 2400)
+    rows, vocabulary = unequal_languages()
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    for k in range(8):
+        assert sum(model.row(0, w) is not None for w in set(vocabulary[f"l{k}"])) >= 15  # none is crowded out by the large ones
+    assert model.value.size <= 2400
+    monkeypatch.setattr(language_id, "LANGUAGES", 2)
+    few = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert few.langs == ["l0", "l1"]
+
+
+def test_a_rare_word_of_a_large_vocabulary_decides(spark):
+    """Both languages have the same letters; only words that occur once tell them apart."""
+    random.seed(8)
+    words = list({"".join(random.choices("abcdefgh", k=9)) for _ in range(60_000)})
+    half = len(words) // 2
+    own = {"xx": words[:half], "yy": words[half:]}
+    rows = []
+    for lang, known in own.items():
+        rows += [(len(rows) + j, " ".join(known[j * 100 : j * 100 + 100]), lang) for j in range(half // 100)]
+    learnt = {lang: [w for i, text, g in rows if g == lang and not is_held_out(i) for w in text.split()] for lang in own}
+    assert min(map(len, learnt.values())) > 20_000
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    asked = [(k, learnt[lang][20_000 + k // 2], lang) for k, lang in enumerate(["xx", "yy"] * 100)]
+    found = language_id.identify(spark.createDataFrame(asked, "doc_id bigint, text string, lang string"), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {k: lang for k, _, lang in asked}
+
+
 @needs_tables
 def test_held_out_accuracy_of_language(spark):
     got = queries.op5_language_id(spark, SF_DIR)
