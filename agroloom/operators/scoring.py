@@ -6,14 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .evaluate import classification_report, confusion_matrix, summary_metrics
+from ..session import cut
 from .splits import stratified_folds
 
 
@@ -51,69 +49,142 @@ def mask_crop_type(df: DataFrame, landcover: str = "landcover", croptype: str =
     return df.withColumns({croptype: F.when(mask, F.col(croptype)), "cropland_mask": mask.cast("int")})
 
 
-def fit_classifier(df: DataFrame, label: str, n_classes: int, trees: int = 20, depth: int = 5, seed: int = 42):
-    """A fitted pipeline on ``embedding``, with the weights of ``weight``: boosted trees for two
-    classes, a forest for more. Spark trains it on the executors.
+class Boosted:
+    """Boosted trees for any number of classes: an additive model for each class but one of two, against the rest.
+
+    ``models`` are of the classes in ``labels``, in order; of two classes there is one, of the second.
+    """
+
+    def __init__(self, labels: list[str], models: list):
+        self.labels, self.models = labels, models
+
+    @property
+    def importances(self) -> np.ndarray:
+        return np.mean([m.featureImportances.toArray() for m in self.models], axis=0)
+
+    def margins(self, df: DataFrame) -> DataFrame:
+        """``df`` (with ``features``) with ``margins``: each model's sum over its trees."""
+        for k, model in enumerate(self.models):
+            df = model.setRawPredictionCol(f"__r{k}").setProbabilityCol("").setPredictionCol("").transform(df)
+        sums = [vector_to_array(F.col(f"__r{k}"))[1] for k in range(len(self.models))]
+        return df.withColumn("margins", F.array(*sums)).drop(*(f"__r{k}" for k in range(len(self.models))))
+
+    def losses(self, df: DataFrame, label: str) -> list[float]:
+        """The mean weighted log loss on ``df`` after each number of trees, in one pass over it."""
+        rows = _indexed(df, label, self.labels)
+        size = min(len(m.trees) for m in self.models)
+        for k, model in enumerate(self.models):
+            for i, tree in enumerate(model.trees[:size]):
+                rows = tree.setFeaturesCol("features").setPredictionCol(f"__p{k}_{i}").transform(rows)
+        sums = [F.lit(0.0)] * len(self.models)
+        means = []
+        for i in range(size):
+            sums = [s + model.treeWeights[i] * F.col(f"__p{k}_{i}") for k, (s, model) in enumerate(zip(sums, self.models, strict=True))]
+            share = F.get(_shares(F.array(*sums)), F.col("__label"))
+            means.append(F.sum(F.col("weight") * -F.ln(F.greatest(share, F.lit(1e-15)))) / F.sum("weight"))
+        return [float(v) for v in rows.agg(*[m.alias(f"l{i}") for i, m in enumerate(means)]).first()]
+
+
+def _shares(margins: Column) -> Column:
+    """The probabilities of the classes, given the models' sums; of one model, of both its classes."""
+    each = F.transform(margins, lambda m: 1 / (1 + F.exp(-2 * m)))
+    total = F.aggregate(each, F.lit(0.0), lambda s, p: s + p)
+    return F.when(F.size(margins) == 1, F.array(1 - each[0], each[0])).otherwise(F.transform(each, lambda p: p / total))
+
+
+def _indexed(df: DataFrame, label: str, labels: list[str]) -> DataFrame:
+    """``df`` with features and ``__label``, the place of its class; an unknown class is an error."""
+    at = F.array_position(F.array(*map(F.lit, labels)), F.col(label)).cast("int") - 1
+    wrong = F.raise_error(F.concat(F.lit("unknown class: "), F.coalesce(F.col(label), F.lit("null"))))
+    return with_features(df).withColumn("__label", F.when(F.coalesce(at, F.lit(-1)) < 0, wrong.cast("int")).otherwise(at))
+
+
+def fit_classifier(df: DataFrame, label: str, n_classes: int, trees: int = 20, depth: int = 5, seed: int = 42) -> Boosted:
+    """Boosted trees on ``embedding``, with the weights of ``weight``. Spark trains them on the executors.
+
+    Rows without an embedding of finite numbers (:func:`usable`) or without a class take no part.
     """
-    index = StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc", handleInvalid="error")
-    common = {"featuresCol": "features", "labelCol": "__label", "weightCol": "weight", "maxDepth": depth, "seed": seed}
-    if n_classes == 2:
-        learner = GBTClassifier(maxIter=trees, **common)
-    else:
-        learner = RandomForestClassifier(numTrees=trees, **common)
-    return Pipeline(stages=[index, learner]).fit(with_features(df))
+    known = df.where(usable("embedding") & F.col(label).isNotNull())
+    labels = sorted(r[0] for r in known.select(label).distinct().collect())
+    if len(labels) != n_classes:
+        raise ValueError(f"{len(labels)} classes, not {n_classes}")
+    rows = _indexed(known, label, labels)
+    common = {"featuresCol": "features", "labelCol": "__own", "weightCol": "weight", "maxDepth": depth, "maxIter": trees, "seed": seed}
+
+    def against_rest(k: int):
+        return GBTClassifier(**common).fit(rows.withColumn("__own", (F.col("__label") == k).cast("double")))
+
+    return Boosted(labels, [against_rest(k) for k in ([1] if n_classes == 2 else range(n_classes))])
+
+
+def usable(column: str) -> Column:
+    """Whether an embedding is there and all of its components are finite numbers."""
+    finite = F.forall(column, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    return F.coalesce(finite, F.lit(False))
 
 
 def with_features(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
 
 
-def predict(df: DataFrame, model) -> DataFrame:
-    """``df`` with ``y_pred`` and ``prob`` by a fitted pipeline."""
-    labels = F.array(*map(F.lit, model.stages[0].labels))
-    scored = model.stages[-1].transform(with_features(df))
-    out = scored.withColumns(
-        {
-            "y_pred": F.get(labels, F.col("prediction").cast("int")),
-            "prob": F.array_max(vector_to_array("probability")),
-        }
-    )
-    return out.select(*df.columns, "y_pred", "prob")
+def predict(df: DataFrame, model: Boosted) -> DataFrame:
+    """``df`` with ``y_pred`` and ``prob`` by fitted trees; of equal classes the first.
 
+    Both are null where the embedding is null or holds a null or a number that isn't finite.
+    """
+    fine = usable("embedding")
+    filler = F.array_repeat(F.lit(0.0), int(model.models[0].numFeatures))
+    rows = df.withColumns({"__fine": fine, "features": array_to_vector(F.when(fine, F.col("embedding").cast("array<double>")).otherwise(filler))})
+    scored = model.margins(rows).withColumn("__shares", _shares(F.col("margins")))
+    best = F.array_max("__shares")
+    name = F.get(F.array(*map(F.lit, model.labels)), (F.array_position("__shares", best) - 1).cast("int"))
+    return scored.select(*df.columns, F.when(F.col("__fine"), name).alias("y_pred"), F.when(F.col("__fine"), best).alias("prob"))
 
-def select_by_folds(df: DataFrame, label: str, key: str, n_classes: int, grid: list[int], k: int = 5, seed: int = 42):
-    """(rows (fold, trees, loss), the median of the best sizes): for each fold the size with the least loss.
 
-    Of two classes, one fit of the largest size gives the loss on the fold's rest after each of its
-    trees, as boosting with early stopping has it, and the grid's sizes are read from that; of more
-    classes, each size is fitted, and the loss is 1 - F1. The driver walks folds and sizes; each
-    fit and each figure is a Spark job.
+def stopped(losses: list[float], patience: int) -> tuple[int, bool]:
+    """(the number of trees of least loss, whether boosting stops there): the first of equal ones.
+
+    It stops when as many trees as ``patience`` have followed the best without a smaller loss.
+    """
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def select_by_folds(df: DataFrame, label: str, key: str, n_classes: int, most: int, patience: int = 5, k: int = 5, seed: int = 42):
+    """(rows (fold, trees, loss, chosen), the median of the chosen sizes) over ``k`` stratified folds.
+
+    Each fold's trees are boosted on the other folds until ``patience`` trees in a row don't lessen the
+    loss on the fold, ``most`` at the latest; the loss after each tree is a row, and the least one
+    chooses. Fitting begins with few trees and doubles them while the loss still falls. Folds
+    are numbered once and written; the driver walks them, each fit and each loss is a Spark job.
     """
-    folded = stratified_folds(df, label, key, k, seed)
+    folded = cut(stratified_folds(df.where(usable("embedding")), label, key, k, seed))
     rows = []
     for fold in range(k):
         train, rest = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-        if n_classes == 2:
-            model = fit_classifier(train, label, n_classes, max(grid), seed=seed)
-            scored = model.stages[0].transform(with_features(rest))
-            losses = model.stages[-1].evaluateEachIteration(scored)
-            rows += [(fold, trees, float(losses[trees - 1])) for trees in grid]
-            continue
-        for trees in grid:
-            model = fit_classifier(train, label, n_classes, trees, seed=seed)
-            figures = summary_metrics(confusion_matrix(predict(rest, model), label, "y_pred")).first()
-            rows.append((fold, trees, 1 - figures["F1"]))
-    table = df.sparkSession.createDataFrame(rows, "fold int, trees int, loss double")
-    best = table.groupBy("fold").agg(F.min_by("trees", F.struct("loss", "trees")).alias("trees"))
-    return table, median_iterations(best, "trees").first()[0]
-
-
-def fit_and_test(df: DataFrame, test: DataFrame, label: str, key: str, n_classes: int, grid: list[int], k: int = 5, seed: int = 42):
-    """(model, report): the size that folds of ``df`` select, fitted on all of ``df``, and the
-    classification report of its predictions on ``test``."""
-    _, trees = select_by_folds(df, label, key, n_classes, grid, k, seed)
+        size = min(most, 2 * patience)
+        while True:
+            losses = fit_classifier(train, label, n_classes, size, seed=seed).losses(rest, label)
+            best, done = stopped(losses, patience)
+            if done or size == most:
+                break
+            size = min(most, 2 * size)
+        seen = min(len(losses), best + patience)
+        rows += [(fold, i + 1, loss, i + 1 == best) for i, loss in enumerate(losses[:seen])]
+    table = df.sparkSession.createDataFrame(rows, "fold int, trees int, loss double, chosen boolean")
+    return table, median_iterations(table.where("chosen"), "trees").first()[0]
+
+
+def fit_and_test(df: DataFrame, test: DataFrame, label: str, key: str, n_classes: int, most: int, patience: int = 5, k: int = 5, seed: int = 42):
+    """(model, predictions): the size that folds of ``df`` select, fitted on all of ``df``, and ``test`` as it predicts it."""
+    _, trees = select_by_folds(df, label, key, n_classes, most, patience, k, seed)
     model = fit_classifier(df, label, n_classes, trees, seed=seed)
-    return model, classification_report(confusion_matrix(predict(test, model), label, "y_pred"))
+    return model, predict(test, model)
 
 
 def median_iterations(df: DataFrame, column: str) -> DataFrame:
@@ -128,7 +199,6 @@ def importance_table(df: DataFrame) -> DataFrame:
     return df.withColumn("rank", rank).orderBy("rank", "name")
 
 
-def feature_importance(spark, model, prefix: str = "emb_") -> DataFrame:
-    values = model.stages[-1].featureImportances.toArray()
-    rows = [(f"{prefix}{i}", float(v)) for i, v in enumerate(values)]
+def feature_importance(spark, model: Boosted, prefix: str = "emb_") -> DataFrame:
+    rows = [(f"{prefix}{i}", float(v)) for i, v in enumerate(model.importances)]
     return importance_table(spark.createDataFrame(rows, "name string, importance double"))

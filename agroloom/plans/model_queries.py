@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays, bands, dates
-from ..operators import classes, evaluate, inputs, scoring, splits, tables
+from ..operators import classes, evaluate, inputs, records, scoring, splits, tables
 from .fixtures import Tables
 from .registry import query
 from .table_queries import _SAMPLES, MIN_TIMESTEPS, samples
@@ -547,8 +548,7 @@ _USABLE = "embedding is not null and label is not null and len(list_filter(embed
 
 def usable(t: Tables) -> DataFrame:
     """Labelled embeddings whose components are all numbers."""
-    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return t("embeddings").where(F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)))
+    return t("embeddings").where(F.col("label").isNotNull() & scoring.usable("embedding"))
 
 
 @query(f"""
@@ -656,7 +656,7 @@ def training_inputs(t: Tables) -> DataFrame:
 
 
 def _labelled(t: Tables) -> DataFrame:
-    return t("embeddings").where("label is not null and embedding is not null").select(
+    return usable(t).select(
         "vec_id", "embedding", F.concat(F.lit("class_"), (F.col("label") % 2).cast("string")).alias("finetune_class")
     )
 
@@ -685,7 +685,7 @@ def pixel_scoring(t: Tables) -> DataFrame:
     """Two fitted models in turn on each row, land cover and crop type, and the mask of the first."""
     rows = _labelled(t).withColumns({"weight": F.lit(1.0), "kind": F.concat(F.lit("crop_"), (F.col("vec_id") % 3).cast("string"))})
     cover = scoring.fit_classifier(rows, "finetune_class", 2)
-    kind = scoring.fit_classifier(rows, "kind", 3)
+    kind = scoring.fit_classifier(rows, "kind", 3, trees=5)
     scored = scoring.predict(rows, cover).select("vec_id", "embedding", F.col("y_pred").alias("landcover"))
     scored = scoring.predict(scored, kind).withColumnRenamed("y_pred", "croptype")
     return scoring.mask_crop_type(scored, cropland="class_1").select("vec_id", "landcover", "croptype", "cropland_mask")
@@ -696,23 +696,60 @@ def _weighted(t: Tables) -> DataFrame:
     return splits.sample_weights(rows, "finetune_class", splits.class_weights(rows, "finetune_class"))
 
 
-GRID = [5, 10]
+MOST, PATIENCE, FOLDS = 8, 2, 3
 
 
 @query()
 def classifier_kfold(t: Tables) -> DataFrame:
-    """Loss of each fold and size of a weighted classifier; the median best size is in each row."""
-    table, size = scoring.select_by_folds(_weighted(t), "finetune_class", "vec_id", 2, GRID)
-    return table.withColumn("chosen", F.lit(size))
+    """The loss of each fold after each tree of a weighted classifier, and the size of least loss; the median is in each row."""
+    table, size = scoring.select_by_folds(_weighted(t), "finetune_class", "vec_id", 2, MOST, PATIENCE, FOLDS)
+    return table.withColumn("median", F.lit(size))
 
 
-@query()
+@query(f"""
+    with e as (select vec_id, concat('class_', cast(label % 3 as varchar)) as true_class from embeddings
+               where {_USABLE} and {_SPLIT.replace('sample_id', 'cast(vec_id as varchar)')} = 'test')
+    select true_class, count(*) as n from e group by 1
+""")
 def classifier_test(t: Tables) -> DataFrame:
-    """The report on the test split of a classifier whose size folds of the other rows select."""
-    rows = _weighted(t).withColumn("split", splits.random_split(F.col("vec_id")))
+    """How often each of three classes stands in the confusion matrix of the test split, by a classifier
+    whose size folds of the other rows select.
+    """
+    rows = usable(t).select("vec_id", "embedding", F.concat(F.lit("class_"), (F.col("label") % 3).cast("string")).alias("finetune_class"))
+    rows = splits.sample_weights(rows, "finetune_class", splits.class_weights(rows, "finetune_class"))
+    rows = rows.withColumn("split", splits.random_split(F.col("vec_id")))
     train, test = rows.where("split <> 'test'").drop("split"), rows.where("split = 'test'").drop("split")
-    _, report = scoring.fit_and_test(train, test, "finetune_class", "vec_id", 2, GRID)
-    return report
+    _, predicted = scoring.fit_and_test(train, test, "finetune_class", "vec_id", 3, 4, PATIENCE, 2)
+    matrix = evaluate.confusion_matrix(predicted, "finetune_class", "y_pred")
+    return matrix.groupBy("true_class").agg(F.sum("n").cast("bigint").alias("n")).where("n > 0")
+
+
+def load_sum_encoder():
+    """A linear encoder for :func:`records.embed_records`: sums of whole parts of two bands, weighted by step, and the slope."""
+
+    def encode(blocks):
+        steps = np.arange(1, blocks["s2"].shape[1] + 1)
+        b2, vv = np.floor(blocks["s2"][:, :, 0]), np.floor(blocks["s1"][:, :, 0])
+        return np.stack([(b2 * (b2 != bands.NODATA)) @ steps, (vv * (vv != bands.NODATA)) @ steps, blocks["timestamps"][:, 0, 1]], 1)
+
+    return encode
+
+
+@query(f"""
+    {_PACKED}, w as (select *, greatest(0, least(cast(sample_id % 16 as int) - 6, 4)) as s from v),
+    u as (select *, pos - s + 1 as step, floor(case when band = 'VV' and value > 0 and value <> 65535 then 20 * log10(value) - 83 else value end) as whole
+          from w where pos >= s and pos < s + 12)
+    select sample_id,
+    cast(coalesce(sum(whole * step) filter (band = 'B2' and whole <> 65535), 0) as float) as emb_0,
+    cast(coalesce(sum(whole * step) filter (band = 'VV' and whole <> 65535), 0) as float) as emb_1,
+    cast(extract(month from date '2021-01-01' + to_months(cast(max(s) as int))) as float) as emb_2
+    from u group by 1
+""")
+def record_embedding(t: Tables) -> DataFrame:
+    """From records of model inputs to embeddings by a linear encoder, in batches of 100."""
+    rows = inputs.model_inputs(_window_inputs(t), LENGTH, "month")
+    encoded = records.embed_records(rows, load_sum_encoder, LENGTH, batch=100)
+    return scoring.embedding_columns(encoded, "embedding", 3)
 
 
 @query()

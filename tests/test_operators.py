@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from agroloom.functions import arrays, bands, dates, geo, text
-from agroloom.operators import classes, evaluate, inputs, scoring, spatial, splits, survey, tables
+from agroloom.operators import classes, evaluate, inputs, records, scoring, spatial, splits, survey, tables
 from agroloom.sources import readers, writers
 
 
@@ -376,9 +377,72 @@ def test_a_size_is_selected_refitted_and_tested(spark):
         F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("two"), F.lit(1.0).alias("weight"),
     )
     train, test = df.where("id % 5 > 0"), df.where("id % 5 = 0")
-    table, size = scoring.select_by_folds(train, "three", "id", 3, [1, 2], k=2)
-    assert table.count() == 4 and size in (1, 2)
+    table, size = scoring.select_by_folds(train, "three", "id", 3, 4, patience=1, k=2)
+    rows = [tuple(r) for r in table.orderBy("fold", "trees").collect()]
+    for fold in (0, 1):
+        losses = [loss for f, _, loss, _ in rows if f == fold]
+        best, _ = scoring.stopped(losses, 1)
+        assert [t for f, t, _, chosen in rows if f == fold and chosen] == [best] and losses[best - 1] == min(losses)
+    assert 1 <= size <= 4
     for label, n in (("two", 2), ("three", 3)):
-        _, report = scoring.fit_and_test(train, test, label, "id", n, [1, 2], k=2)
-        accuracy = report.where("class = 'accuracy'").first()["f1"]
-        assert accuracy > 0.9
+        _, found = scoring.fit_and_test(train, test, label, "id", n, 3, patience=1, k=2)
+        assert found.where(f"{label} = y_pred and prob > 0.5").count() > 0.9 * test.count()
+
+
+def test_boosting_stops_after_the_least_loss():
+    assert scoring.stopped([3, 2, 1, 2, 2, 0], 2) == (3, True)
+    assert scoring.stopped([3, 2, 1, 2], 2) == (3, False)
+    assert scoring.stopped([3, 3, 3], 2) == (1, True)
+    assert scoring.stopped([1], 5) == (1, False)
+
+
+def test_losses_are_those_of_the_predictions(spark):
+    df = spark.range(90).select(
+        F.col("id"), F.array((F.col("id") % 3).cast("float"), (F.col("id") % 7).cast("float")).alias("embedding"),
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), ((F.col("id") % 3 + (F.col("id") % 11 == 0).cast("int")) % 3 + 1).cast("int")).alias("c"),
+        (1 + F.col("id") % 2).cast("double").alias("weight"),
+    )
+    model = scoring.fit_classifier(df, "c", 3, trees=2, depth=2)
+    losses = model.losses(df, "c")
+    shares = model.margins(scoring.with_features(df)).select("c", "weight", scoring._shares(F.col("margins")).alias("s")).collect()
+    wanted = sum(r["weight"] * -np.log(r["s"]["abc".index(r["c"])]) for r in shares) / sum(r["weight"] for r in shares)
+    assert len(losses) == 2 and losses[-1] == pytest.approx(wanted)
+
+
+def test_embeddings_that_lack_numbers_get_no_prediction(spark):
+    df = spark.range(60).select(
+        F.col("id"), F.array((F.col("id") % 2).cast("float"), F.lit(1.0).cast("float")).alias("embedding"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("c"), F.lit(1.0).alias("weight"),
+    )
+    odd = spark.createDataFrame(
+        [(100, [1.0, None], "b", 1.0), (101, [float("nan"), 1.0], "b", 1.0), (102, None, "a", 1.0), (103, [1.0, 1.0], "b", 1.0)],
+        "id bigint, embedding array<float>, c string, weight double",
+    )
+    model = scoring.fit_classifier(df.unionByName(odd), "c", 2, trees=2, depth=2)
+    got = {r["id"]: (r["y_pred"], r["prob"]) for r in scoring.predict(df.unionByName(odd), model).where("id >= 100").collect()}
+    assert got[100] == got[101] == got[102] == (None, None) and got[103][0] == "b"
+
+
+def test_records_become_blocks(spark):
+    rows = wide(spark, *[wide_row(sample_id=f"s{k}", lat=float(k)) for k in range(7)])
+    rows = inputs.model_inputs(rows, 12, "month")
+    ragged = F.col("inputs").withField("s2", F.col("inputs.s2").withField("B2", F.array(F.lit(5.0), F.lit(None).cast("double"))))
+    rows = rows.withColumn("inputs", F.when(F.col("sample_id") == "s3", ragged).when(F.col("sample_id") != "s5", F.col("inputs")))
+    sizes = spark.sparkContext.accumulator(0)
+
+    def load():
+        def encode(blocks):
+            assert blocks["s2"].shape[1:] == (12, len(bands.OPTICAL)) and blocks["timestamps"].shape[1:] == (12, 3)
+            assert blocks["dem"].shape[1] == blocks["latlon"].shape[1] == 2 and len(blocks["s1"]) <= 3
+            sizes.add(len(blocks["s1"]) == 3)
+            return np.stack([blocks["s2"][:, 0, 0], blocks["s2"][:, 1, 0], blocks["s2"][:, 11, 0], blocks["latlon"][:, 0], blocks["timestamps"][:, 11, 1]], 1)
+
+        return encode
+
+    got = {r["sample_id"]: r["embedding"] for r in records.embed_records(rows.coalesce(1), load, 12, batch=3).collect()}
+    no = bands.NODATA
+    assert got["s1"] == [1000, 1010, 1110, 1, 12] and got["s3"] == [5, no, no, 3, 12] and got["s5"] == [no] * 5
+    assert len(got) == 7 and sizes.value == 2
+    assert records.embed_records(rows.where("false"), load, 12).count() == 0
+    with pytest.raises(PySparkException):
+        records.embed_records(rows, load, 11).collect()
