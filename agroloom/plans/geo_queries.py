@@ -365,3 +365,69 @@ def derived_ids(t: Tables) -> DataFrame:
     found = spatial.nearest(t("fx_points"), known, [], RADIUS).where("known_id is not null")
     sample = F.concat(F.lit("S_"), F.col("point_id").cast("string"))
     return found.select("point_id", text.derived_sample_id(sample, F.col("known_id")).alias("sample_id"))
+
+
+def parts_of_units(t: Tables) -> DataFrame:
+    """Units as polygons: their own box, and for every third one a box of twice its width to the east."""
+    box = F.struct("west", "south", "east", "north")
+    wide = F.col("east") - F.col("west")
+    other = geo.rectangle(F.col("east") + 1, F.col("south"), F.col("east") + 1 + 2 * wide, F.col("north"))
+    own = geo.box_rectangle(box)
+    return t("fx_units").withColumn("polygons", F.when(F.col("unit_id") % 3 == 0, F.array(own, other)).otherwise(F.array(own)))
+
+
+_PARTS = """
+    p as (select *, case when unit_id % 3 = 0 then 2 else 1 end as n, east + 1 + 2 * (east - west) as far,
+          (west + east) / 2 as x1, east + 1 + (east - west) as x2 from fx_units)
+"""
+
+
+@query(f"""
+    with {_PARTS} select unit_id, cast(n as int) as n_polygons, case when n = 2 then 'MultiPolygon' else 'Polygon' end as kind,
+    round(west, 6) as west, round(case when n = 2 then far else east end, 6) as east from p
+""")
+def read_collection(t: Tables) -> DataFrame:
+    """Units of one and two parts, written as one collection of features and read back."""
+    path = writers.scratch_path(t.spark, "units.geojson")
+    writers.write_geojson_collection(parts_of_units(t), path, "polygons", ["unit_id"])
+    rows = readers.scan_features(t.spark, path).withColumn("b", geo.bounds_of(F.col("polygons")))
+    return rows.select(
+        F.col("properties")["unit_id"].cast("bigint").alias("unit_id"), F.size("polygons").alias("n_polygons"), "kind",
+        F.round("b.west", 6).alias("west"), F.round("b.east", 6).alias("east"),
+    )
+
+
+@query(f"""
+    with {_PARTS} select unit_id, round(case when n = 2 then (x1 + 2 * x2) / 3 else x1 end, 6) as x, round((south + north) / 2, 6) as y from p
+""")
+def centroid_parts(t: Tables) -> DataFrame:
+    """Centroids of units of one and two parts, weighted by area."""
+    rows = parts_of_units(t).withColumn("c", geo.centroid_of(F.col("polygons")))
+    return rows.select("unit_id", F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"))
+
+
+_FAR = [("east + 1", "south"), ("far", "south"), ("far", "north"), ("east + 1", "north"), ("east + 1", "south")]
+_TWO = f"'MULTIPOLYGON ((' || substr({_wkt_sql(_CORNERS)}, 10) || ', (' || substr({_wkt_sql(_FAR)}, 10) || ')'"
+
+
+@query(f"""
+    with {_PARTS} select unit_id, case when n = 2 then {_TWO} else {_wkt_sql(_CORNERS)} end as wkt, cast(n as int) as n_polygons from p
+""")
+def wkt_parts(t: Tables) -> DataFrame:
+    """The text of units of one and two parts, and how many parts are read from it."""
+    rows = parts_of_units(t).withColumn("wkt", geo.polygons_to_wkt(F.col("polygons")))
+    return rows.select("unit_id", "wkt", F.size(geo.polygons_from_wkt(F.col("wkt"))).alias("n_polygons"))
+
+
+@query(f"""
+    with {_CENTROID}, p as (select c.unit_id, min(t.tile) as tile from c left join fx_tiles t
+        on c.lon >= t.west and c.lon < t.east and c.lat >= t.south and c.lat < t.north and t.tile <> '34LQA' group by 1)
+    select count(*) as n_rows, cast(count(*) filter (tile is null) as bigint) as without_tile,
+           cast(count(*) filter (tile is null) as bigint) as without_code from p
+""")
+def enrich_counts(t: Tables) -> DataFrame:
+    """What the enrichment job counts as it writes: units, those without a tile, and those without a code."""
+    tiles = with_rings(t("fx_tiles")).where("tile <> '34LQA'")
+    _, lost = spatial.enrich_job(with_rings(t("fx_units")), tiles, "unit_id", writers.scratch_path(t.spark, "units.parquet"))
+    row = (lost["rows"], lost["without_tile"], lost["without_code"])
+    return t.spark.createDataFrame([row], "n_rows bigint, without_tile bigint, without_code bigint")

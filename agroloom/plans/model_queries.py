@@ -729,7 +729,7 @@ def load_sum_encoder():
 
     def encode(blocks):
         steps = np.arange(1, blocks["s2"].shape[1] + 1)
-        b2, vv = np.floor(blocks["s2"][:, :, 0]), np.floor(blocks["s1"][:, :, 0])
+        b2, vv = np.floor(blocks["s2"][:, :, bands.OPTICAL.index("B2")]), np.floor(blocks["s1"][:, :, bands.SAR.index("VV")])
         return np.stack([(b2 * (b2 != bands.NODATA)) @ steps, (vv * (vv != bands.NODATA)) @ steps, blocks["timestamps"][:, 0, 1]], 1)
 
     return encode

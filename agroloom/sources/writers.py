@@ -9,6 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_root
 from .wkb import to_wkb
@@ -35,19 +36,23 @@ def wkb(rings: str) -> Column:
     return to_wkb(F.when(F.col(rings).isNotNull(), F.array(rings)))
 
 
-def write_id_list(df: DataFrame, key: str, path: str) -> None:
-    """The distinct keys as one JSON list, sorted, in one file with a key a line.
+def _write_list(items: DataFrame, head: str, tail: str, path: str) -> None:
+    """Rows (k, value) as one file: the head, each value in order of ``k`` and behind a comma, the tail.
 
     One task writes the file, as one file has to be, and sorts what it writes on disk if need be.
     """
+    ends = items.sparkSession.createDataFrame([(0, head), (2, tail)], "part int, value string")
+    rows = items.withColumn("part", F.lit(1)).unionByName(ends, allowMissingColumns=True)
+    rows = rows.coalesce(1).sortWithinPartitions("part", "k").withColumn("at", F.monotonically_increasing_id())
+    comma = F.when((F.col("part") == 1) & (F.col("at") > 1), ",").otherwise("")
+    rows.select(F.concat(comma, "value").alias("value")).write.mode("overwrite").text(path)
+
+
+def write_id_list(df: DataFrame, key: str, path: str) -> None:
+    """The distinct keys as one JSON list, sorted, in one file with a key a line."""
     keys = df.select(F.col(key).alias("k")).where("k is not null").distinct()
-    first = keys.agg(F.min("k").alias("first"))
     text = F.regexp_extract(F.to_json(F.struct("k")), r"^\{\"k\":(.*)\}$", 1)
-    lines = keys.join(F.broadcast(first)).select(F.lit(1).alias("part"), "k", F.concat(F.when(F.col("k") == F.col("first"), "").otherwise(","), text).alias("value"))
-    ends = first.select(F.explode(F.array(F.lit(0), F.lit(2))).alias("part"), F.col("first").alias("k"))
-    ends = ends.withColumn("value", F.when(F.col("part") == 0, "[").otherwise("]"))
-    whole = lines.unionByName(ends).coalesce(1).sortWithinPartitions("part", "k")
-    whole.select("value").write.mode("overwrite").text(path)
+    _write_list(keys.withColumn("value", text), "[", "]", path)
 
 
 def write_mapping_json(df: DataFrame, path: str) -> None:
@@ -90,6 +95,12 @@ def write_geojson(df: DataFrame, path: str, shape: str, properties: list[str]) -
     geojson_features(df, shape, properties).write.mode("overwrite").text(path)
 
 
+def write_geojson_collection(df: DataFrame, path: str, shape: str, properties: list[str]) -> None:
+    """The rows as one FeatureCollection in one file, with a feature a line, in no particular order."""
+    features = geojson_features(df, shape, properties).withColumn("k", F.lit(0))
+    _write_list(features, '{"type":"FeatureCollection","features":[', "]}", path)
+
+
 def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
     """The same rows, and what counts them (``rows``) and those that meet each condition as they pass.
 
@@ -150,22 +161,25 @@ def load_or_compute(
     """
     saved = _published(spark, folder)
     if saved.get("fingerprint") == fingerprint:
-        tables = {name: (f"{folder}/{t['folder']}", t["rows"]) for name, t in saved["tables"].items()}
-        if all(_whole(spark, path, rows) for path, rows in tables.values()):
-            return {name: spark.read.parquet(path) for name, (path, _) in tables.items()}
+        tables = {name: _saved(spark, f"{folder}/{t['folder']}", t) for name, t in saved["tables"].items()}
+        if all(tables[name] is not None for name in saved["tables"]):
+            return tables
     names, tables = {}, {}
     for name, df in compute().items():
         own = f"{name}-{uuid4().hex}"
         tables[name], counts = write_counted(df, f"{folder}/{own}")
-        names[name] = {"folder": own, "rows": counts["rows"]}
+        names[name] = {"folder": own, "rows": counts["rows"], "schema": df.schema.jsonValue()}
     _publish(spark, folder, {"fingerprint": fingerprint, "tables": names})
     return tables
 
 
-def _whole(spark: SparkSession, path: str, rows: int) -> bool:
-    """Whether a table was finished and still has its rows, which Spark counts from the files' footers."""
+def _saved(spark: SparkSession, path: str, entry: dict) -> DataFrame | None:
+    """A table if it was finished and still has its rows, which Spark counts from the files' footers."""
     files, at = _hadoop(spark, f"{path}/_SUCCESS")
-    return files.exists(at) and spark.read.parquet(path).count() == rows
+    if not files.exists(at):
+        return None
+    table = spark.read.schema(T.StructType.fromJson(entry["schema"])).parquet(path)
+    return table if table.count() == entry["rows"] else None
 
 
 def fingerprint_of(*parts: object) -> str:
