@@ -7,6 +7,10 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut, shared_root
+
+__all__ = ["cut", "shared_folder"]
+
 #: White space of the text contracts, as a Java and a Python character class.
 SPACE_CLASS = r"\x20\x09-\x0D"
 WORD_PATTERN = rf"[^{SPACE_CLASS}]+"
@@ -87,21 +91,11 @@ def worker_cache(key=None, make=None):
     return _KEPT.get("value")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared checkpoint folder, so that lost executors cost no recomputation.
-
-    The folder is ``spark.checkpoint.dir`` of the session; one of this machine serves only where
-    that is unset, as in tests.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The application's own folder below the shared checkpoint folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+        context.setCheckpointDir(shared_root(spark))
     return context.getCheckpointDir()
 
 

@@ -53,7 +53,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
     A null text counts as empty. A null ``doc_id`` is kept only in a group with no other id. Rows
     that repeat a ``doc_id`` are the same document and share its flag; each counts in
-    ``group_size``. Other columns are ignored; an empty table gives no rows.
+    ``group_size``. Other columns are ignored; an empty table gives no rows. A task holds one text at a
+    time, however long.
     """
     return _members(docs).select(
         F.col("row.id").alias("doc_id"),

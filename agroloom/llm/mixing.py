@@ -157,7 +157,7 @@ def mixed(
     taken 0 times; a null source is a source. Rows equal in id, text and source are one unit with
     a count, so that no block grows with them, and share its copies as evenly as whole copies can;
     other rows that repeat a ``doc_id``, and those without one, are documents of their own. Empty
-    tables give no rows. Other columns are ignored.
+    tables give no rows. Other columns are ignored. Of a text only its size is kept, however long.
     """
     rows = _mixed(docs, weights, max_copies, seed)
     rows = rows.withColumn("__nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m"))))

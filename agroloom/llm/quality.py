@@ -112,7 +112,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple:
     """The machine, fitted on at most ``sample`` labelled rows that are not held out.
 
     The sample is the first rows by a hash of their id; tasks make the features, and the driver
-    fits on those of the sample alone.
+    fits on those of the sample alone. A text's features are bounded, however long it is.
     """
     known = labels.where(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     order = [F.xxhash64(F.lit(3), "doc_id"), "doc_id", "quality"]

@@ -25,11 +25,13 @@ from .common import table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each text of ``documents`` by the public byte-level tokenizer."""
     docs = table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path(token_counts.TOKENIZER))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text of ``documents`` without 50-byte strings that start in an earlier one, as a digest."""
     rest = suffix_dedup.without_earlier_substrings(table(spark, sf_dir, "documents"))
     return rest.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
@@ -37,24 +39,29 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of sources takes."""
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("copies")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of each document, by a model of those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, by a model of those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.learn(docs))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts that each document is in, and which row of it stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each text's ids and of the bytes that they decode to."""
     docs = table(spark, sf_dir, "documents")
     both = bpe.round_trip(docs, public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN)
     return both.select(
@@ -66,27 +73,33 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links and the component of each vector of ``embeddings``."""
     return hnsw.embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and the component of each document."""
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
 def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text of ``documents`` without repeated windows of 35 words, as a digest."""
     rest = window_dedup.without_repeated_windows(table(spark, sf_dir, "documents"))
     return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page of ``pages``."""
     return page_text.extracted(table(spark, sf_dir, "pages"))
 
 
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of ``documents``, and the commoner word that each is a variant of."""
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of ``documents`` in each order, by language."""
     return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

@@ -207,7 +207,8 @@ def near_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: i
     their class by a join that Spark can split when a fingerprint is very common.
 
     A null text counts as empty: fingerprint zero, which links like any other. Null ids never name
-    a component that has another id. Ids may repeat, row for row; other columns are ignored.
+    a component that has another id. Ids may repeat, row for row; other columns are ignored. A task
+    holds the words of one text at a time, however long.
     """
     marked = cut(fingerprints(docs, shingle_words))
     distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))

@@ -69,6 +69,7 @@ def without_earlier_substrings(docs: DataFrame, length: int = LENGTH, gram: int
     A null text counts as empty. A null id counts as greater than any other; rows that repeat an
     id are no earlier documents to each other. Texts shorter than ``length`` stay whole. Other
     columns are ignored; an empty table gives no rows.
+    A long text is hashed as a whole, in a task that needs some 40 bytes for each of its bytes.
     """
     columns = [
         ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),

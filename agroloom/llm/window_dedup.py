@@ -75,6 +75,7 @@ def without_repeated_windows(docs: DataFrame, words: int = WORDS, gram: int = GR
 
     A null text has no words. Ids may be null or repeat: each row is a document of its own. Texts
     with fewer words stay whole. Other columns are ignored; an empty table gives no rows.
+    A long text is hashed as a whole, in a task that needs some 40 bytes for each of its bytes.
     """
     columns = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())]
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
