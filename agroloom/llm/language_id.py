@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain, compress, repeat
 from uuid import uuid4
 
 import numpy as np
@@ -85,16 +86,18 @@ class Model:
         self.lang, self.value = lang.astype("u2"), np.log((count + 0.5) / below[n, lang]).astype("f4")
         self.unseen = np.log(0.5 / below).astype("f4")
 
-    def row(self, n: int, unit: str) -> np.ndarray | None:
-        """The unit's log frequency in each language; None if no language has it."""
-        key = unit_key(n, unit)
-        at = int(np.searchsorted(self.units, np.uint64(key)))
-        if at == self.units.size or int(self.units[at]) != key:
-            return None
-        own = slice(self.starts[at], self.starts[at + 1])
-        row = self.unseen[n].copy()
-        row[self.lang[own]] = self.value[own]
-        return row
+    def rows(self, n: int, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the units some language has, and the log frequencies of these in each language."""
+        keys = np.fromiter(map(unit_key, repeat(n), units), "u8", len(units))
+        at = np.searchsorted(self.units, keys)
+        known = np.append(self.units, 0)[at] == keys
+        known &= at < self.units.size
+        first, last = self.starts[at[known]], self.starts[at[known] + 1]
+        rows = np.tile(self.unseen[n], (first.size, 1))
+        of = np.repeat(np.arange(first.size), last - first)
+        entry = np.arange(of.size) + np.repeat(first - np.cumsum(last - first) + (last - first), last - first)
+        rows[of, self.lang[entry]] = self.value[entry]
+        return known, rows
 
 
 def unit_key(n: int, unit: str) -> int:
@@ -146,20 +149,31 @@ class _Scores(dict):
         self.model = model
         self.rows = np.zeros((1024, len(model.langs)), "f4")
 
-    def __missing__(self, word: str) -> int:
-        score = self.model.row(0, word)
-        if score is None:
-            score = 0
-            for n in range(LONGEST, 0, -1):
-                found = [r for g in grams(word, n) if (r := self.model.row(n, g)) is not None]
-                if found:
-                    score = np.mean(found, axis=0)
-                    break
-        if len(self) == len(self.rows):
+    def _keep(self, words: list[str], rows: np.ndarray) -> None:
+        while len(self) + len(words) > len(self.rows):
             self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-        self.rows[len(self)] = score
-        self[word] = len(self)
-        return self[word]
+        self.rows[len(self) : len(self) + len(words)] = rows
+        self.update(zip(words, range(len(self), len(self) + len(words)), strict=True))
+
+    def learn(self, new: list[str]) -> None:
+        """Score words that aren't kept yet, all of a text's at once; a word without a known unit scores nothing."""
+        known, rows = self.model.rows(0, new)
+        self._keep(list(compress(new, known)), rows)
+        rest = list(compress(new, ~known))
+        for n in range(LONGEST, 0, -1):
+            if not rest:
+                return
+            parts = [grams(word, n) for word in rest]
+            sizes = np.fromiter(map(len, parts), "i8", len(parts))
+            known, rows = self.model.rows(n, list(chain.from_iterable(parts)))
+            of = np.repeat(np.arange(len(rest)), sizes)[known]
+            times = np.bincount(of, minlength=len(rest))
+            sums = np.zeros((len(rest), rows.shape[1]))
+            np.add.at(sums, of, rows)
+            hit = times > 0
+            self._keep(list(compress(rest, hit)), sums[hit] / times[hit, None])
+            rest = list(compress(rest, ~hit))
+        self._keep(rest, np.zeros((len(rest), self.rows.shape[1])))
 
 
 def _predictor(model: Model, token: str):
@@ -172,6 +186,9 @@ def _predictor(model: Model, token: str):
         found = words(text or "")
         if not found or not langs:
             return UNKNOWN, 0.0
+        new = [word for word in set(found) if word not in scores]
+        if new:
+            scores.learn(new)
         rows = list(map(scores.__getitem__, found))
         total = scores.rows[rows].sum(axis=0, dtype="f8")
         best = int(total.argmax())
