@@ -35,10 +35,11 @@ CHUNK_BYTES = 8_000_000
 GROUP_BYTES = 1_000_000
 #: Symbols of runs that one index holds, unless those of a single owner gram are more.
 INDEXED = 2_000_000
-#: Documents (about) that common grams are learnt from, by so many tasks; how many of these
-#: documents hold one at least, and how many grams are kept. They decide which task does what,
-#: never what is found.
-SAMPLE, SAMPLERS, COMMON, MOST_COMMON = 1500, 4, 3, 65_536
+#: Documents (about) that common grams are learnt from: so many, and one of EVERY in a large corpus,
+#: so that a gram of 20,000 documents is in ten of the sample, whatever its share of the corpus. How
+#: many of them a task reads, how many hold a common gram at least, and how many grams are kept, the
+#: most common ones. They decide which task does what, never what is found.
+SAMPLE, EVERY, SAMPLED_TOGETHER, COMMON, MOST_COMMON = 1500, 2000, 375, 3, 262_144
 NO_ID = np.iinfo("i8").max
 _RECORD = np.dtype([("key", "<u4"), ("context", "<u8"), ("order", "<u4")])
 _MANY = np.uint32(1 << 31)
@@ -378,13 +379,19 @@ def _sampled(task: Task):
     return run
 
 
+def sample_size(n_docs: int) -> int:
+    """Of how many documents common grams are learnt: it grows with the corpus."""
+    return max(SAMPLE, n_docs // EVERY)
+
+
 def _common_grams(rows: DataFrame, n_docs: int, task: Task) -> np.ndarray | None:
     """The table of grams that several documents of a sample hold; None if there are none."""
-    share = SAMPLE / max(1, n_docs)
-    sample = rows.where(uniform(F.lit(31), F.col("doc_id"), F.col("key")) < share).select("text").repartition(SAMPLERS)
+    size = sample_size(n_docs)
+    sample = rows.where(uniform(F.lit(31), F.col("doc_id"), F.col("key")) < size / max(1, n_docs)).select("text")
+    sample = sample.repartition(max(1, size // SAMPLED_TOGETHER))
     counts = sample.mapInArrow(_sampled(task), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     counts = counts.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "gram").limit(MOST_COMMON)
-    grams = np.array([r["gram"] for r in counts.select("gram").collect()], "i8").view("u8")
+    grams = counts.select("gram").toArrow()["gram"].to_numpy().view("u8")
     return common_table(grams) if len(grams) else None
 
 

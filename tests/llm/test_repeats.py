@@ -163,6 +163,10 @@ def lines_in_every_document(n, seed=1):
     return [(i, noise(300) + line + noise(300)) for i in range(n)]
 
 
+def test_the_sample_grows_with_the_corpus():
+    assert [repeats.sample_size(n) for n in (0, 1000, 3_000_000, 10**10)] == [1500, 1500, 1500, 5_000_000]
+
+
 @pytest.mark.parametrize("common", [3, 10**9])
 def test_a_line_in_every_document_is_dealt_to_all_shards(spark, monkeypatch, common):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", 40_000)
