@@ -39,7 +39,7 @@ def _inside(points: DataFrame, polygons: DataFrame, name: str) -> DataFrame:
     only. Points meet the cells by an equi join, at each level that there are cells of.
     """
     parts = polygons.select(name, F.explode(polygons_column(polygons)).alias("rings"))
-    cells = cover.covers(parts, name)
+    cells = cut(cover.covers(parts, name))
     levels = [r["level"] for r in cells.select("level").distinct().collect()]  # a few of the quadtree's levels
     if not levels:
         return points.withColumn(name, F.lit(None)).where("false")
