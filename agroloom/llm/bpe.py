@@ -19,7 +19,7 @@ from .pretokens import splitters
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens that each of the two generations of a worker's cache holds, and their characters and
 #: bytes of ids.
-CACHED, CACHED_SIZE = 300_000, 12_000_000
+CACHED, CACHED_SIZE = 150_000, 6_000_000
 #: Bits of a rank that index within one leaf of the bitmap.
 LEAF_BITS = 8
 _LEAF = (1 << LEAF_BITS) - 1
