@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, worker_cache
+from .common import text_of, values, worker_cache
 from .pretokens import splitters
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -177,7 +177,7 @@ def _over(df: DataFrame, source: str, add: dict, path: str, pattern: str) -> Dat
         for batch in batches:
             ids, out, size = batch.column("doc_id"), {c: [] for c in add}, 0
             start = 0
-            for end, value in enumerate(batch.column(source).to_pylist(), 1):
+            for end, value in enumerate(values(batch.column(source)), 1):
                 row: dict = {source: value}
                 for c, f in add.items():
                     row[c] = f(coder, row)

@@ -75,6 +75,16 @@ def semi(docs: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
     return docs.join(rows, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), how)
 
 
+#: Texts that a worker holds as Python objects at once.
+TEXTS = 500
+
+
+def values(column):
+    """The values of an Arrow array one by one, TEXTS of them as Python objects at a time."""
+    for i in range(0, len(column), TEXTS):
+        yield from column.slice(i, TEXTS).to_pylist()
+
+
 _KEPT: dict = {}
 
 

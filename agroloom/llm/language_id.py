@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import content_key, cut, held_out, keyed, semi, text_of, uniform, worker_cache
+from .common import content_key, cut, held_out, keyed, semi, text_of, uniform, values, worker_cache
 
 UNKNOWN = "und"
 #: Bound of the training sample: about so many documents of each language.
@@ -213,7 +213,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         predict = _predictor(shared.value, token)
         for batch in batches:
-            found = list(map(predict, batch.column("text").to_pylist()))
+            found = list(map(predict, values(batch.column("text"))))
             names, scores = ([f[k] for f in found] for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
@@ -239,7 +239,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     def run(batches):
         predict = _predictor(shared.value, token)
         for batch in batches:
-            found = map(predict, batch.column("text").to_pylist())
+            found = map(predict, values(batch.column("text")))
             bad = [lang == UNKNOWN or score < least for lang, score in found]
             yield batch.select(["id", "key"]).filter(pa.array(bad, pa.bool_()))
 

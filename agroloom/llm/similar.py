@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import content_key, cut, keyed, row_key, semi, text_of, worker_cache
+from .common import TEXTS, content_key, cut, keyed, row_key, semi, text_of, worker_cache
 from .components import connected_labels
 
 SHINGLE_WORDS = 5
@@ -80,8 +80,8 @@ def may_be_similar(a: bytes, b: bytes) -> bool:
 def _sets(batches):
     """Rows (node, tokens)."""
     worker_cache()  # what an earlier stage left
-    for batch in batches:
-        found = [shingles(t) for t in batch.column("text").to_pylist()]
+    for whole, i in ((b, i) for b in batches for i in range(0, len(b), TEXTS)):
+        found = [shingles(t) for t in whole.column("text").slice(i, TEXTS).to_pylist()]
         columns = [nodes_of(found), pa.array(found, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, ["node", "tokens"])
 
