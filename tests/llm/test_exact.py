@@ -165,3 +165,23 @@ def test_merges_follow_the_library(library):
     for _ in range(500):
         piece = "".join(random.choice(["a", "an", "the", "é", "中", "ing", "q"]) for _ in range(random.randint(1, 40)))
         assert bpe.merge(piece.encode(), ranks) == library.encode_ordinary(piece)
+
+
+def test_new_pretokens_are_merged_together_as_one_by_one(library, monkeypatch):
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.RANKS))
+    random.seed(3)
+    parts = ["a", "an", "the", "é", "中", "ing", "q", " ", "aaaa", "\0", "es"]
+    words = sorted({"".join(random.choices(parts, k=random.randint(1, 25))) for _ in range(2000)} | {"a" * 300, "ab" * 40})
+    want = [np.array(bpe.merge(w.encode(), ranks), "<u4").tobytes() for w in words]
+    assert bpe.merge_all([w.encode() for w in words], ranks) == want
+    assert bpe.merge_all([], ranks) == []
+    # short new ones are never merged one by one, whatever the cache turns over
+    seen, merge = [], bpe.merge
+    monkeypatch.setattr(bpe, "merge", lambda piece, ranks: seen.append(piece) or merge(piece, ranks))
+    monkeypatch.setattr(bpe, "CACHED", 100)
+    pieces = bpe._Pieces(ranks)
+    for i in range(0, len(words), 50):
+        for _ in range(2):
+            assert pieces.encoded([words[i : i + 50], words[:3], []]) == [b"".join(want[i : i + 50]), b"".join(want[:3]), b""]
+    assert all(len(piece) > bpe.TOGETHER or piece in ranks for piece in seen)
+    assert len(pieces.new) + len(pieces.old) < 400 and not any("a" * 300 in kept for kept in (pieces.new, pieces.old))
