@@ -90,8 +90,8 @@ class Model:
         """Which of the units some language has, and the log frequencies of these in each language."""
         keys = np.fromiter(map(unit_key, repeat(n), units), "u8", len(units))
         at = np.searchsorted(self.units, keys)
-        known = np.append(self.units, 0)[at] == keys
-        known &= at < self.units.size
+        # a key beyond the last unit is compared with that one, which it isn't; the table is never copied
+        known = self.units.take(at, mode="clip") == keys if self.units.size else np.zeros(keys.size, bool)
         first, last = self.starts[at[known]], self.starts[at[known] + 1]
         rows = np.tile(self.unseen[n], (first.size, 1))
         of = np.repeat(np.arange(first.size), last - first)

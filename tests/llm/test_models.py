@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -241,3 +242,23 @@ def test_pipeline_stages(spark):
 @needs_tables
 def test_the_whole_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+
+
+def test_a_lookup_of_units_does_not_copy_the_table():
+    n = 1_000_000
+    keys = np.arange(1, n + 1, dtype="u8") * 7
+    model = language_id.Model(["a"], keys, np.zeros(n, "i8"), np.zeros(n, "i8"), np.ones(n), np.full((5, 1), float(n)))
+    tracemalloc.start()
+    known, _ = model.rows(0, ["word"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not known.any() and peak < n  # the table has 8 bytes a unit
+    # keys below, among, between and beyond the units, and no units at all
+    asked = np.sort(np.array([language_id.unit_key(1, x) for x in "abcdef"], "u8"))
+    by_key = sorted("abcdef", key=lambda x: language_id.unit_key(1, x))
+    held = asked[[1, 3, 4]]
+    model = language_id.Model(["a"], held, np.zeros(3, "i8"), np.ones(3, "i8"), np.ones(3), np.full((5, 1), 3.0))
+    assert model.rows(1, by_key)[0].tolist() == [False, True, False, True, True, False]
+    none = np.zeros(0, "i8")
+    model = language_id.Model(["a"], none.astype("u8"), none, none, none.astype("f8"), np.zeros((5, 1)))
+    assert not model.rows(1, by_key)[0].any()
