@@ -101,17 +101,18 @@ def _chunk(table: pa.Table, task: Task, shards: int, common) -> _Chunk:
         parts = [(np.zeros(0, "u8"), np.zeros(0, "u8"), *[np.zeros(0, "i8")] * 3)]
     key, context, begin, n, owner_id = map(np.concatenate, zip(*parts, strict=True))
     shard = (key >> np.uint64(32)) % np.uint64(shards)
-    order = np.argsort(context, kind="stable")
+    order = np.argsort(context)  # what follows doesn't depend on the order of ties
     new = np.ones(len(order), bool)
     new[1:] = context[order[1:]] != context[order[:-1]]
     first = np.flatnonzero(new)
     if len(first):
         least, most = (f.reduceat(owner_id[order], first) for f in (np.minimum, np.maximum))
+        sample = np.minimum.reduceat(order, first)
     else:
         least = most = owner_id
+        sample = order
     sizes = np.diff(np.append(first, len(order)))
     many = most > least if task.other_document else sizes > 1
-    sample = order[first]
     # records by shard
     by_shard = np.argsort(shard[sample], kind="stable")
     place = np.empty(len(first), "i8")

@@ -19,8 +19,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _COMBINE = np.uint64(0xD6E8FEB86659FD93)
 _SHIFT = np.uint64(29)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
-#: Symbols that are hashed at once.
-AT_ONCE = 400_000
+#: Symbols that are hashed at once: so few that the arrays of hashes stay in a core's cache.
+AT_ONCE = 65_536
 #: High bits of a gram's hash that say whether it counts as common.
 COMMON_BITS = 22
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -228,3 +229,19 @@ def test_batches_hold_whole_owner_grams(monkeypatch):
     found = list(repeats._batches(owner, symbols))
     assert found == [(0, 2), (2, 3), (3, 8), (8, 10)]
     assert [b for _, b in found][-1] == len(owner) and list(repeats._batches(owner[:0], symbols[:0])) == []
+
+
+def test_hashing_works_on_arrays_that_fit_a_cores_cache(monkeypatch):
+    symbols = windows.mixed(np.arange(1, 257, dtype="u8"))
+    h = symbols[np.random.default_rng(1).integers(0, 256, 400_000)]
+    tracemalloc.start()
+    r = windows.runs(h, np.array([0, len(h)]), 50, 24)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16_000_000  # 3.2 MB are the ends, one number a symbol
+    # the same windows under the same owners as in one block
+    monkeypatch.setattr(windows, "AT_ONCE", len(h))
+    whole = windows.runs(h, np.array([0, len(h)]), 50, 24)
+    assert r.n.sum() == whole.n.sum() == len(h) - 49
+    assert np.array_equal(np.repeat(r.owner, r.n), np.repeat(whole.owner, whole.n))
+    assert np.array_equal(np.repeat(r.key, r.n), np.repeat(whole.key, whole.n))
