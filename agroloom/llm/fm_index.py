@@ -6,6 +6,9 @@ import numpy as np
 
 from .suffix_sort import rank_by_doubling
 
+#: For each place in a word of 64 bits: the bits below it.
+_BELOW = (np.uint64(1) << np.arange(64, dtype="u8")) - np.uint64(1)
+
 
 class WaveletTree:
     """Ranks of symbols in a sequence, in about its zero-order entropy.
@@ -33,7 +36,7 @@ class WaveletTree:
         before = np.concatenate([[0], np.cumsum(counts[by_size])])
         self.codes, self.longest = codes, longest
         self.absent = counts == 0
-        self.words, self.counts, self.starts, self.ones, self.skipped = [], [], [], [], []
+        self.words, self.counts, self.starts, self.ones, self.bits, self.skipped = [], [], [], [], [], []
         level = self.rank[symbols]
         for k in range(longest):
             skipped = int(np.searchsorted(self.size, k, "right"))  # ranks whose codes have ended
@@ -49,6 +52,7 @@ class WaveletTree:
             self.starts.append(starts.astype("i4"))
             self.skipped.append(skipped)
             self.ones.append(self._ones(k, starts).astype("i4"))
+            self.bits.append((codes[skipped:] >> (longest - 1 - k) & 1).astype(bool))
             if k + 1 == longest:
                 break
             # where each symbol stands on the next level, of those that have one
@@ -67,23 +71,29 @@ class WaveletTree:
     def _ones(self, k: int, at: np.ndarray) -> np.ndarray:
         """Ones before each place of a level."""
         word = at >> 6
-        low = self.words[k][word] & ((np.uint64(1) << (at & 63).astype("u8")) - np.uint64(1))
-        return self.counts[k][word] + np.bitwise_count(low)
+        low = self.words[k][word]
+        low &= _BELOW[at & 63]
+        return self.counts[k][word] + np.bitwise_count(low).astype("i8")
 
     def ranks(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How often each symbol occurs before its place ``at``."""
-        of, at = self.rank[symbol], at.astype("i8")
-        live = np.arange(len(of))
+        """How often each symbol occurs before its place ``at``, or before each of its places in the rows of ``at``.
+
+        Symbols go down the tree in the order of their codes, so that those whose codes have ended
+        lie before the others.
+        """
+        order = np.argsort(self.rank[symbol], kind="stable")  # no work if they are in order already
+        of, at = self.rank[symbol][order], at[..., order].astype("i8")
         for k in range(self.longest):
-            live = live[of[live] >= self.skipped[k]]
-            if not len(live):
+            ended = int(np.searchsorted(of, self.skipped[k]))
+            if ended == len(of):
                 break
-            node = of[live] - self.skipped[k]
-            start = self.starts[k][node]
-            ones = self._ones(k, start + at[live]) - self.ones[k][node]
-            bit = (self.codes[of[live]] >> (self.longest - 1 - k)) & 1
-            at[live] = np.where(bit, ones, at[live] - ones)
-        return np.where(self.absent[symbol], 0, at)
+            node, here = of[ended:] - self.skipped[k], at[..., ended:]
+            ones = self._ones(k, here + self.starts[k][node])
+            ones -= self.ones[k][node]
+            here[...] = np.where(self.bits[k][node], ones, here - ones)
+        out = np.empty_like(at)
+        out[..., order] = at
+        return np.where(self.absent[symbol], 0, out)
 
     def nbytes(self) -> int:
         """Bytes of the bits and their counts."""
@@ -108,23 +118,25 @@ class FMIndex:
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray):
         """The intervals of the patterns with ``symbol`` put before them."""
-        both = self.tree.ranks(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
-        shift = self.first[symbol]
-        return both[: len(symbol)] + shift, both[len(symbol) :] + shift
+        low, high = self.tree.ranks(symbol, np.stack([low, high])) + self.first[symbol]
+        return low, high
 
     def matching_statistics(self, text: np.ndarray, ends: np.ndarray, cap: int, threshold: int = 2):
         """(lengths, matches): the longest stretch that stops before each end, up to ``cap`` symbols,
         which occurs ``threshold`` times or more in the index, and how often it does.
 
         All ends go one symbol to the left together; one stops when its interval, the matches of
-        what has been read, becomes smaller than the threshold.
+        what has been read, becomes smaller than the threshold. Ends with the same interval have
+        read the same symbols, so those whose next symbol agrees too ask the tree once.
         """
         lengths, matches = np.zeros(len(ends), "i8"), np.full(len(ends), self.n, "i8")
         live = np.arange(len(ends))
         low, high = np.zeros(len(ends), "i8"), matches.copy()
         for back in range(1, cap + 1):
             live, low, high = (x[ends[live] >= back] for x in (live, low, high))
-            low, high = self.extend(text[ends[live] - back], low, high)
+            symbol = text[ends[live] - back]
+            _, one, state = np.unique(self.tree.rank[symbol] * (self.n + 1) + low, return_index=True, return_inverse=True)
+            low, high = (x[state] for x in self.extend(symbol[one], low[one], high[one]))
             good = high - low >= threshold
             live, low, high = live[good], low[good], high[good]
             if not len(live):

@@ -2,38 +2,73 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import worker_cache
 from .fm_index import FMIndex
 from .repeats import NO_ID, Task, without_repeats
+from .windows import AT_ONCE, mixed
 
 WORDS = 35
 GRAM = 10
-#: Hashes of words that a worker keeps.
-CACHED = 400_000
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) >= CACHED:
-            self.clear()
-        self[word] = value
-        return value
+#: Bytes of the longest word that is hashed together with others, eight bytes at a time.
+SHORT = 64
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def _hash_short(lanes: np.ndarray, starts: np.ndarray, size: np.ndarray, out: np.ndarray) -> None:
+    """Puts the hashes of words up to SHORT bytes into ``out``, which has their mixed sizes."""
+    live = np.flatnonzero(size <= SHORT)
+    for done in range(0, SHORT, 8):
+        live = live[size[live] > done]
+        if not len(live):
+            break
+        at = starts[live] + done
+        lane, shift = at >> 3, ((at & 7) << 3).astype("u8")
+        eight = lanes[lane] >> shift
+        eight |= lanes[lane + 1] << np.uint64(1) << (np.uint64(63) - shift)
+        beyond = np.maximum(8 - (size[live] - done), 0) << 3
+        eight &= np.uint64(0xFFFFFFFFFFFFFFFF) >> beyond.astype("u8")
+        eight ^= out[live]
+        eight ^= eight >> np.uint64(32)
+        out[live] = mixed(eight)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word ``data[start:stop]``, from its bytes and their number alone.
+
+    All words of a block take their first eight bytes together, then the longer ones their next
+    eight, and so on; every step is a bijection of those bytes, so words of eight bytes or fewer
+    and one length never collide. ``data`` has whole lanes of eight bytes and one more after the
+    last word.
+    """
+    lanes = data.view("<u8")
+    out = np.empty(len(starts), "u8")
+    for first in range(0, len(out), AT_ONCE):
+        block = slice(first, first + AT_ONCE)
+        size = stops[block] - starts[block]
+        out[block] = mixed(size.astype("u8"))
+        _hash_short(lanes, starts[block], size, out[block])
+        for k in (first + np.flatnonzero(size > SHORT)).tolist():
+            out[k] = xxhash.xxh64_intdigest(data[starts[k] : stops[k]])
+    return out
 
 
 def _symbols(texts: list[bytes]):
-    hashes_of = worker_cache("words", _Hashes)
-    words = [t.split() for t in texts]  # of bytes: the six white-space bytes of the contract
-    bounds = np.cumsum([0, *map(len, words)])
-    hashes = np.fromiter(map(hashes_of.__getitem__, chain.from_iterable(words)), "<u8", int(bounds[-1]))
-    return hashes, bounds, hashes
+    length = sum(map(len, texts)) + len(texts)
+    data = np.frombuffer(b" ".join([*texts, b" " * (16 - length % 8)]), "u1")
+    space = _SPACE[data]  # the six white-space bytes of the contract
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    edges += 1
+    if not space[0]:
+        edges = np.append(0, edges)
+    starts, stops = edges[::2], edges[1::2]
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    hashes = word_hashes(data, starts, stops)
+    return hashes, np.searchsorted(starts, begins), hashes
 
 
 def repeated(texts: list[np.ndarray], windows, ids, counts, width: int) -> np.ndarray:

@@ -245,3 +245,44 @@ def test_hashing_works_on_arrays_that_fit_a_cores_cache(monkeypatch):
     assert r.n.sum() == whole.n.sum() == len(h) - 49
     assert np.array_equal(np.repeat(r.owner, r.n), np.repeat(whole.owner, whole.n))
     assert np.array_equal(np.repeat(r.key, r.n), np.repeat(whole.key, whole.n))
+
+
+@pytest.mark.parametrize("at_once", [65_536, 100])
+def test_words_are_hashed_together_by_their_bytes(monkeypatch, at_once):
+    monkeypatch.setattr(window_dedup, "AT_ONCE", at_once)
+    source = random.Random(4)
+    letters = [" ", "\t", "\x0b", "\x0c", "\r\n", "\0", "\x1c", "\x85", "\xa0", "a", "b", "中", "ab" * 17]
+    hash_of: dict[bytes, int] = {}
+    for _ in range(400):
+        texts = ["".join(source.choice(letters) for _ in range(source.randint(0, 40))).encode() for _ in range(source.randint(0, 6))]
+        hashes, bounds, sent = window_dedup._symbols(texts)
+        words = [t.split() for t in texts]
+        assert bounds.tolist() == np.cumsum([0, *map(len, words)]).tolist() and sent.dtype == "u8"
+        for word, value in zip([w for of in words for w in of], hashes.tolist(), strict=True):
+            assert hash_of.setdefault(word, value) == value
+    # words that differ in one byte, in the number of their zero bytes, or in where lanes of eight bytes meet
+    base = bytes(range(65, 65 + 70))
+    others = {base[:n] for n in range(1, 71)} | {b"\0" * n for n in range(1, 71)}
+    others |= {base[:k] + bytes([base[k] ^ flip]) + base[k + 1 : n] for n in (8, 9, 16, 64, 65, 70) for k in range(n) for flip in (1, 128)}
+    others = sorted(others - set(hash_of))
+    hash_of |= zip(others, window_dedup._symbols([b" ".join(others)])[0].tolist(), strict=True)
+    assert len(set(hash_of.values())) == len(hash_of) > 1000
+    # short words need no call each
+
+    def one_by_one(word):
+        raise AssertionError(word)
+
+    monkeypatch.setattr(window_dedup.xxhash, "xxh64_intdigest", one_by_one)
+    assert len(np.unique(window_dedup._symbols([" ".join(map(str, range(200_000))).encode()])[0])) == 200_000
+
+
+def test_equal_patterns_are_searched_once(monkeypatch):
+    piece = np.random.default_rng(5).integers(1, 50, 40)
+    text = np.concatenate([np.append(piece, 0)] * 30)
+    index = fm_index.FMIndex(text, 50, 40)
+    asked = []
+    plain = fm_index.FMIndex.extend
+    monkeypatch.setattr(fm_index.FMIndex, "extend", lambda self, symbol, *rest: asked.append(len(symbol)) or plain(self, symbol, *rest))
+    starts = np.arange(30) * 41
+    assert index.occurrences(text, starts, 35).tolist() == [30] * 30
+    assert asked == [1] * 35
