@@ -160,58 +160,67 @@ def mapped(rings: Column, place) -> Column:
     return F.transform(rings, lambda r: F.transform(r, lambda p: place(p["x"], p["y"])))
 
 
-def _ring_sums(ring: Column) -> Column:
-    """Twice the signed area, and six times the area's moments, of a ring; relative to its start."""
+def _ring_edges(ring: Column) -> Column:
+    """The edges of a ring, relative to its start, each with its cross product."""
     x0, y0 = ring[0]["x"], ring[0]["y"]
     n = F.size(ring)
-    edges = F.zip_with(
-        F.slice(ring, F.lit(1), n - 1),
-        F.slice(ring, F.lit(2), n - 1),
-        lambda a, b: F.struct(
-            (a["x"] - x0).alias("ax"), (a["y"] - y0).alias("ay"), (b["x"] - x0).alias("bx"), (b["y"] - y0).alias("by")
-        ),
-    )
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def add(s, e):
-        cross = e["ax"] * e["by"] - e["bx"] * e["ay"]
-        return F.struct(
-            (s["a"] + cross).alias("a"),
-            (s["mx"] + cross * (e["ax"] + e["bx"])).alias("mx"),
-            (s["my"] + cross * (e["ay"] + e["by"])).alias("my"),
-        )
 
-    return F.aggregate(edges, zero, add)
+    def edge(a, b):
+        ax, ay, bx, by = a["x"] - x0, a["y"] - y0, b["x"] - x0, b["y"] - y0
+        return F.struct((ax * by - bx * ay).alias("cross"), (ax + bx).alias("x"), (ay + by).alias("y"))
+
+    return F.zip_with(F.slice(ring, F.lit(1), n - 1), F.slice(ring, F.lit(2), n - 1), edge)
 
 
 def centroid_of(polygons: Column) -> Column:
     """The planar centroid of polygons together, weighted by area, by the shoelace sums; holes count against it.
 
-    Without an area it is the first point. Parts count where they overlap as often as they do.
+    Without an area it is the first point. Parts count where they overlap as often as they do. Sums
+    start at the first point, and edges weigh by their share of the area: so the middle of a rectangle
+    comes out as the mean of its sides does, to the last bit, and on a tile's border stays there.
     """
-    parts = F.transform(
+    rings = F.transform(
         F.flatten(F.transform(polygons, lambda rings: F.transform(rings, lambda r, i: F.struct(r.alias("r"), i.alias("i"))))),
         lambda e: F.struct(
-            _ring_sums(e["r"]).alias("s"), F.when(e["i"] == 0, 1.0).otherwise(-1.0).alias("sign"), e["r"][0].alias("p")
+            _ring_edges(e["r"]).alias("edges"), F.when(e["i"] == 0, 1.0).otherwise(-1.0).alias("sign"), e["r"][0].alias("p")
         ),
     )
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def add(s, e):
-        way = e["sign"] * F.signum(e["s"]["a"])
-        area = way * e["s"]["a"]
-        return F.struct(
-            (s["a"] + area).alias("a"),
-            (s["mx"] + way * e["s"]["mx"] + 3 * area * e["p"]["x"]).alias("mx"),
-            (s["my"] + way * e["s"]["my"] + 3 * area * e["p"]["y"]).alias("my"),
+    twice = _bound(rings)(
+        lambda rings: F.transform(
+            rings,
+            lambda e: F.struct(
+                e["edges"].alias("edges"), e["sign"].alias("sign"), e["p"].alias("p"),
+                F.aggregate(e["edges"], F.lit(0.0), lambda s, c: s + c["cross"]).alias("a"),
+            ),
+        )
+    )
+    start, zero = polygons[0][0][0], point(F.lit(0.0), F.lit(0.0))
+
+    def away(parts: Column, area: Column) -> Column:
+        """From the first point to the centroid."""
+
+        def add(s, e):
+            way, share = e["sign"] * F.signum(e["a"]), e["sign"] * F.abs(e["a"]) / area
+            moment = F.aggregate(
+                e["edges"], zero, lambda m, c: point(m["x"] + way * c["cross"] / area * c["x"], m["y"] + way * c["cross"] / area * c["y"])
+            )
+            return _bound(moment)(
+                lambda m: point(
+                    s["x"] + (m["x"] / 3 + share * (e["p"]["x"] - start["x"])), s["y"] + (m["y"] / 3 + share * (e["p"]["y"] - start["y"]))
+                )
+            )
+
+        return F.aggregate(parts, zero, add)
+
+    def middle(parts: Column) -> Column:
+        area = _bound(F.aggregate(parts, F.lit(0.0), lambda s, e: s + e["sign"] * F.abs(e["a"])))
+        return area(
+            lambda a: F.when(a != 0, _bound(away(parts, a))(lambda d: point(start["x"] + d["x"], start["y"] + d["y"]))).otherwise(
+                point(start["x"], start["y"])
+            )
         )
 
-    whole = _bound(F.aggregate(parts, zero, add))
-    start = polygons[0][0][0]
-    middle = whole(
-        lambda w: F.when(w["a"] != 0, point(w["mx"] / (3 * w["a"]), w["my"] / (3 * w["a"]))).otherwise(point(start["x"], start["y"]))
-    )
-    return F.when(F.size(polygons) > 0, middle)
+    return F.when(F.size(polygons) > 0, _bound(twice)(middle))
 
 
 def centroid(rings: Column) -> Column:
@@ -220,9 +229,12 @@ def centroid(rings: Column) -> Column:
 
 
 def centroid_of_by_mercator(polygons: Column) -> Column:
-    """The centroid of polygons together in Web Mercator, as longitude and latitude."""
-    planar = _bound(centroid_of(F.transform(polygons, lambda rings: mapped(rings, lambda x, y: point(mercator_x(x), mercator_y(y))))))
-    return planar(lambda p: point(mercator_lon(p["x"]), mercator_lat(p["y"])))
+    """The centroid of polygons together in Web Mercator, as longitude and latitude.
+
+    Its x is longitude times a number, which moves no centroid: so longitudes stay as they are.
+    """
+    planar = _bound(centroid_of(F.transform(polygons, lambda rings: mapped(rings, lambda x, y: point(x, mercator_y(y))))))
+    return planar(lambda p: point(p["x"], mercator_lat(p["y"])))
 
 
 def centroid_by_mercator(rings: Column) -> Column:

@@ -281,13 +281,14 @@ def country_grid_job(borders: DataFrame, country: str, epsg: int, size: float, p
 def utm_enriched(units: DataFrame, tiles: DataFrame, key: str, web_mercator: bool = False) -> DataFrame:
     """Units (key, and rings or polygons) with their MGRS tile, its UTM code and their text in that zone.
 
-    The centroid of all parts, taken in Web Mercator, picks the tile; units without one get nulls.
+    The centroid of all parts, taken in Web Mercator, picks the tile, of several the smallest; units
+    without one get nulls. Each unit is one row, and rows that share a key share its smallest tile.
     ``web_mercator`` also adds the text in that projection.
     """
     polygons = polygons_column(units)
     points = units.select(key, geo.centroid_of_by_mercator(polygons).alias("__p"))
     points = points.select(key, F.col("__p.x").alias("lon"), F.col("__p.y").alias("lat"))
-    found = point_in_polygon(points, tiles, "tile", key).select(key, "tile")
+    found = _inside(points, tiles, "tile").groupBy(key).agg(F.min("tile").alias("tile"))
     rows = units.join(found, key, "left").withColumn("epsg_utm", mgrs_to_epsg(F.col("tile")))
 
     def moved(place) -> Column:
