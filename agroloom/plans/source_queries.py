@@ -106,8 +106,7 @@ def json_list_roundtrip(t: Tables) -> DataFrame:
     rows = t("fx_links").select("tile_key")
     path = writers.scratch_path(t.spark, "ids.json")
     writers.write_id_list(rows, "tile_key", path)
-    text_ = t.spark.read.text(f"{path}/*.txt", wholetext=True)
-    return text_.select(F.explode(F.from_json("value", "array<bigint>")).alias("id"))
+    return readers.scan_id_list(t.spark, path)
 
 
 @query(f"select {_SPLIT} as split, count(*) as n, cast(2 as bigint) as n_reads from fx_samples group by 1")

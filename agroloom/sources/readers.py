@@ -132,6 +132,19 @@ def scan_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="sample_id string")
 
 
+def scan_id_list(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:
+    """Rows (id) of a JSON list of keys of a kind, in a file or folder; another value is an error.
+
+    Each line is parsed by itself, so a list with a key a line may have any size and goes to many tasks. A
+    line may hold several whole keys too: one without line breaks is a single row's.
+    """
+    lines = spark.read.text(path)
+    keys = F.regexp_replace(F.regexp_replace("value", r"^\s*[\[,]?\s*", ""), r"\s*[\],]?\s*$", "")
+    # as a field, since a parser of a list alone leaves out what comes after it
+    parsed = F.from_json(F.concat(F.lit('{"k":['), keys, F.lit("]}")), f"k array<{kind}>", {"mode": "FAILFAST"})
+    return lines.select(F.explode(parsed["k"]).alias("id"))
+
+
 def scan_job_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A job table that was written as delimited text."""
     return spark.read.csv(path, header=True, schema=schema)

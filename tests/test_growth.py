@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from agroloom.functions import geo
 from agroloom.plans.queries import ORACLE_SQL, QUERIES
+from agroloom.sources import readers
 
 from .sqlcheck import connect, rows
 from .test_shapes import polygons_table
@@ -69,3 +71,45 @@ def test_centroids_of_parts_far_apart_equal_those_of_plain_sums(spark):
     for k, parts in shapes:
         x, y = plain(parts)
         assert abs(got[k]["x"] - x) < 1e-9 and abs(got[k]["y"] - y) < 1e-9
+
+
+def test_a_long_list_of_ids_is_read_by_many_tasks(spark, tmp_path):
+    lines = spark.range(40_000).select(
+        (F.col("id") % 20_000 * 7).alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit("2024-05-01").cast("date").alias("l_shipdate")
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    _same(spark, "json_list_roundtrip", tmp_path)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "10k")
+        got = QUERIES["json_list_roundtrip"](spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
+    assert sum(r["count"] for r in got) == 20_000 and len(got) > 5
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "ids"),
+    [
+        ("[1, 2, 3]", "bigint", [1, 2, 3]),
+        ("[\r\n  1,\r\n  2\r\n]", "bigint", [1, 2]),
+        ("[\n1\n,null\n]\n", "bigint", [1, None]),
+        ("[ ]", "bigint", []),
+        ('["a]"\n,"[b\\n", ",c,"\n]', "string", ["a]", "[b\n", ",c,"]),
+        ("[1.5]", "bigint", None),
+        ('[1\n,"2"]', "bigint", None),
+        ("[1],[2]", "bigint", None),
+        ("[1 2]", "bigint", None),
+        ('{"a":1}', "bigint", None),
+    ],
+)
+def test_lists_of_ids_in_any_lines(spark, tmp_path, text, kind, ids):
+    (tmp_path / "ids.json").write_bytes(text.encode())
+    found = readers.scan_id_list(spark, f"{tmp_path}/ids.json", kind)
+    if ids is None:
+        with pytest.raises(Exception, match="(?i)malformed"):
+            found.collect()
+    else:
+        assert [r["id"] for r in found.collect()] == ids
